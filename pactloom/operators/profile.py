@@ -18,27 +18,13 @@ MAX_LISTED_VALUES = 20
 NUMBERED = r"^([A-Za-z_#-]+)([0-9]+)$"
 
 
-def _stats(name: str) -> Column:
-    """All first-pass facts of one column, as one struct of aggregates."""
-    value = norm_blank(F.col(f"`{name}`").cast("string"))
-    number = safe_cast(value, "NUMERIC")
-    prefix = F.regexp_extract(value, NUMBERED, 1)
-    digits = F.length(F.regexp_extract(value, NUMBERED, 2))
-    numbered = value.rlike(NUMBERED)
-    return F.struct(
-        F.lit(name).alias("column_name"),
-        F.count(F.lit(1)).alias("row_count"),
-        F.count(value).alias("filled"),
-        *[F.count(safe_cast(value, t)).alias(t.lower()) for t in CANDIDATE_TYPES],
-        F.min(number).alias("min_number"),
-        F.max(number).alias("max_number"),
-        F.count_if(numbered).alias("numbered"),
-        F.min(F.when(numbered, prefix)).alias("first_prefix"),
-        F.max(F.when(numbered, prefix)).alias("last_prefix"),
-        F.min(F.when(numbered, digits)).alias("min_digits"),
-        F.max(F.when(numbered, digits)).alias("max_digits"),
-        F.approx_count_distinct(value, 0.02).alias("approx_distinct"),
-    )
+def _pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The table as (column_name, value) rows: the work per row does not depend on how many columns there are."""
+    pairs = [
+        F.struct(F.lit(c).alias("column_name"), norm_blank(F.col(f"`{c}`").cast("string")).alias("value"))
+        for c in columns
+    ]
+    return df.select(F.inline(F.array(*pairs)))
 
 
 def _inferred_type() -> Column:
@@ -50,33 +36,40 @@ def _inferred_type() -> Column:
 
 def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row of facts per column, from a single pass over the table."""
-    names = list(columns or df.columns)
-    facts = df.agg(*[_stats(c).alias(f"s{i}") for i, c in enumerate(names)])
-    rows = facts.select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(names))])))
-    return rows.withColumn("inferred_type", _inferred_type())
+    value = F.col("value")
+    casts = {t.lower(): safe_cast(value, t) for t in CANDIDATE_TYPES}
+    cast = _pairs(df, list(columns or df.columns)).select("column_name", "value", *[c.alias(n) for n, c in casts.items()])
+    facts = cast.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count("value").alias("filled"),
+        F.min("numeric").alias("min_number"),
+        F.max("numeric").alias("max_number"),
+        F.approx_count_distinct("value").alias("approx_distinct"),
+        *[F.count(n).alias(n) for n in casts],
+    )
+    return facts.withColumn("inferred_type", _inferred_type())
 
 
-def value_counts(df: DataFrame, exact: Sequence[str], listed: Sequence[str]) -> DataFrame:
-    """Exact number of distinct values, the highest repeat, and the values of ``listed`` columns.
+def value_counts(df: DataFrame, columns: Sequence[str], listed: Sequence[str]) -> DataFrame:
+    """Exact number of distinct values, the highest repeat, the shape, and the values of ``listed`` columns.
 
     Counting by (column, value) combines before the shuffle and spreads wide
     columns; values are gathered only for columns known to have few.
     """
-    pairs = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(c).alias("column_name"), norm_blank(F.col(f"`{c}`").cast("string")).alias("value"))
-                for c in exact
-            ]
-        )
-    )
-    counted = df.select(pairs.alias("p")).select("p.*").where("value IS NOT NULL")
+    counted = _pairs(df, columns).where("value IS NOT NULL")
     repeats = counted.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    shown = F.when(F.col("column_name").isin(list(listed)), F.col("value"))
+    value = F.col("value")
+    prefix = F.regexp_extract(value, NUMBERED, 1)
+    digits = F.length(F.regexp_extract(value, NUMBERED, 2))
     return repeats.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("distinct_values"),
         F.max("n").alias("max_repeat"),
-        F.array_sort(F.collect_list(shown)).alias("listed_values"),
+        F.array_sort(F.collect_list(F.when(F.col("column_name").isin(list(listed)), value))).alias("listed_values"),
+        F.count_if(value.rlike(NUMBERED)).alias("numbered"),
+        F.min(prefix).alias("first_prefix"),
+        F.max(prefix).alias("last_prefix"),
+        F.min(digits).alias("min_digits"),
+        F.max(digits).alias("max_digits"),
     )
 
 
@@ -85,11 +78,13 @@ def _tests(stats: Row, counts: Row | None) -> tuple[ColumnTest, ...]:
         return (ColumnTest("range", low=stats["min_number"].normalize(), high=stats["max_number"].normalize()),)
     if stats["inferred_type"] != "STRING" or not stats["filled"]:
         return ()
-    if counts and counts["listed_values"] and len(counts["listed_values"]) <= MAX_LISTED_VALUES:
+    if counts is None:
+        return ()
+    if 0 < len(counts["listed_values"]) <= MAX_LISTED_VALUES:
         return (ColumnTest("accepted_values", values=tuple(counts["listed_values"])),)
-    if stats["numbered"] == stats["filled"] and stats["first_prefix"] == stats["last_prefix"]:
-        low, high = stats["min_digits"], stats["max_digits"]
-        return (ColumnTest("regex", pattern=f"^{stats['first_prefix']}[0-9]{{{low},{high}}}$"),)
+    if counts["numbered"] == counts["distinct_values"] and counts["first_prefix"] == counts["last_prefix"]:
+        low, high = counts["min_digits"], counts["max_digits"]
+        return (ColumnTest("regex", pattern=f"^{counts['first_prefix']}[0-9]{{{low},{high}}}$"),)
     return ()
 
 
@@ -124,7 +119,7 @@ def profile_contract(df: DataFrame, name: str, columns: Sequence[str] | None = N
             primary_key=c == key,
             not_null=c in full,
             unique=c in unique,
-            tests=_tests(stats[c], counts.get(c) if c in few_values else None),
+            tests=_tests(stats[c], counts.get(c)),
         )
         for c in names
     )

@@ -44,7 +44,7 @@ RULE_COLUMNS = (
 )
 
 # Up to this many rules, patterns are literals of the plan; past it they are a table.
-LITERAL_RULES = 500
+LITERAL_RULES = 2000
 
 
 def skip_paths(files: DataFrame, name: str = "file_name") -> DataFrame:
@@ -93,7 +93,8 @@ def route_files(files: DataFrame, registry: DataFrame, name: str = "file_name")
     ``name`` must be unique. The registry is a small table people maintain, and
     its size is checked: up to ``LITERAL_RULES`` patterns become one CASE
     expression, so routing needs no join and each pattern compiles once. A
-    larger registry is joined slice by slice, each slice within that bound.
+    larger registry is joined slice by slice, each slice within that bound;
+    that is slower, since patterns then compile per pair.
     """
     rules = active_rules(complete_rules(registry)).select(*RULE_COLUMNS)
     head = rules.limit(LITERAL_RULES + 1).collect()
@@ -136,7 +137,7 @@ def _route_by_slices(files: DataFrame, rules: DataFrame, name: str) -> DataFrame
             pending += [(parts * 2, index), (parts * 2, index + parts)]
             continue
         small = F.broadcast(distinct_patterns.withColumnRenamed("file_pattern", "_pattern"))
-        hits.append(files.select(name).join(small, F.col(name).rlike(F.col("_pattern"))).select(name, "rule"))
+        hits.append(files.select(name).join(small, F.regexp(F.col(name), F.col("_pattern"))).select(name, "rule"))
     best = reduce(DataFrame.unionByName, hits).groupBy(name).agg(F.min("rule").alias("_rule"))
     routed = files.join(best, name, "left")
     return routed.select(*[files[c] for c in files.columns], *[F.col(f"_rule.{c}").alias(c) for c in RULE_COLUMNS])

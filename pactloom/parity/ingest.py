@@ -43,11 +43,19 @@ def _filter_active(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _registry_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as files of their supplier, routed by a registry as large as the supplier table."""
-    part = F.concat_ws("_", "l_orderkey", "l_linenumber")
-    name = F.concat(F.lit("in/supplier_"), F.col("l_suppkey").cast("string"), F.lit("_"), part, F.lit(".csv"))
-    files = inputs.table(spark, sf_dir, "lineitem").select(name.alias("file_name")).distinct()
-    routed = routing.route_files(files, inputs.supplier_registry(spark, sf_dir))
+    """One file per order line, routed by a registry with a rule per nation; rules of one region are off."""
+    n = F.col("n_nationkey").cast("string")
+    registry = inputs.table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("^in/nation_"), n, F.lit("_")).alias("file_pattern"),
+        F.lit("raw").alias("target_dataset"),
+        F.concat(F.lit("nation_"), n).alias("target_table"),
+        F.concat(F.lit("region_"), F.col("n_regionkey").cast("string")).alias("domain"),
+        (F.col("n_regionkey") != 2).alias("is_active"),
+    )
+    nation = (F.col("l_suppkey") % 25).cast("string")
+    line = F.concat_ws("_", nation, F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    names = F.concat(F.lit("in/nation_"), line, F.lit(".csv")).alias("file_name")
+    routed = routing.route_files(inputs.table(spark, sf_dir, "lineitem").select(names), registry)
     return routed.groupBy("target_table", "domain").agg(F.count(F.lit(1)).alias("files"))
 
 
@@ -270,9 +278,9 @@ CASES = [
     Case("route_files", _route_files, f"WITH {ROUTED} SELECT event_id, file_name, file_pattern, target_dataset, target_table, domain FROM first_rule"),
     Case("first_match", _first_match, f"WITH {ROUTED} SELECT target_table, count(*) AS files FROM first_rule GROUP BY target_table"),
     Case("filter_active", _filter_active, f"WITH {SUPPLIER_REGISTRY} SELECT * FROM registry WHERE is_active"),
-    Case("registry_routing", _registry_routing, """SELECT CASE WHEN s_acctbal > 0 THEN concat('supplier_', CAST(l_suppkey AS VARCHAR), '_raw') END AS target_table,
-        CASE WHEN s_acctbal > 0 THEN concat('nation_', CAST(s_nationkey AS VARCHAR)) END AS domain, count(*) AS files
-        FROM (SELECT DISTINCT l_suppkey, l_orderkey, l_linenumber FROM lineitem) l LEFT JOIN supplier ON s_suppkey = l_suppkey GROUP BY ALL"""),
+    Case("registry_routing", _registry_routing, """SELECT CASE WHEN n_regionkey <> 2 THEN concat('nation_', CAST(n_nationkey AS VARCHAR)) END AS target_table,
+        CASE WHEN n_regionkey <> 2 THEN concat('region_', CAST(n_regionkey AS VARCHAR)) END AS domain, count(*) AS files
+        FROM lineitem LEFT JOIN nation ON n_nationkey = l_suppkey % 25 GROUP BY ALL"""),
     Case("schema_diff", _schema_diff, f"""WITH {HEADERS} SELECT e.event_id,
         coalesce(string_agg(d.column_name, ',' ORDER BY d.column_name) FILTER (d.change = 'unknown'), '') AS new_columns,
         coalesce(string_agg(d.column_name, ',' ORDER BY d.column_name) FILTER (d.change = 'missing'), '') AS deleted_columns

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,18 +24,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def workspace(spark: SparkSession, name: str) -> str:
-    """A database of its own for a query that writes tables, under the shared folder."""
-    database = f"pactloom_{name}"
+    """A new database for one run of a query that writes tables, under the shared folder."""
+    database = f"pactloom_{name}_{uuid.uuid4().hex[:8]}"
     location = f"{scratch_root(spark)}/warehouse/{database}.db"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
-    for t in spark.catalog.listTables(database):
-        if not t.isTemporary:
-            spark.sql(f"DROP TABLE IF EXISTS {database}.{t.name}")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{location}'")
     return database
 
 
 def folder(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/files/{name}"
+    """A new folder for one run of a query that writes files."""
+    return f"{scratch_root(spark)}/files/{name}-{uuid.uuid4().hex[:8]}"
 
 
 def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,7 +91,7 @@ def _quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _column_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = profile.column_stats(inputs.orders_raw(spark, sf_dir), BUSINESS)
-    return stats.drop("approx_distinct", "float64", "timestamp", "numbered", "first_prefix", "last_prefix", "min_digits", "max_digits")
+    return stats.drop("approx_distinct", "float64", "timestamp")
 
 
 def _profile_contract(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,8 +75,8 @@ def _scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the raw orders as delimited text and reads them back by position."""
     target = inputs.folder(spark, "scan_csv")
     raw = inputs.orders_raw(spark, sf_dir).select(*BUSINESS)
-    raw.write.mode("overwrite").options(sep="|", header="true", quote="'", emptyValue="''").csv(target)
-    return files.scan_csv(spark, target, BUSINESS, delimiter="|", quote="'").drop(files.SOURCE_FILE)
+    raw.write.mode("overwrite").options(sep="|", header="true").csv(target)
+    return files.scan_csv(spark, target, BUSINESS, delimiter="|").drop(files.SOURCE_FILE)
 
 
 def _scan_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:

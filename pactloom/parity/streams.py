@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,11 +15,6 @@ from pactloom.sources.tables import create_table
 from pactloom.streaming import arrivals, events
 
 
-def _run_folder(spark: SparkSession, name: str) -> str:
-    """A folder of its own for each run: a stream's checkpoint must not meet another run's files."""
-    return f"{inputs.folder(spark, name)}/{uuid.uuid4().hex}"
-
-
 def _text_fields(names: list[str]) -> list[dict]:
     return [{"name": n, "type": "STRING", "defaultValueExpression": "NULL"} for n in names] + list(AUDIT_FIELDS)
 
@@ -31,7 +24,7 @@ def _file_arrival_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Result: all raw tables as text rows, and the counts of the ledger.
     """
-    run = _run_folder(spark, "file_arrival_stream")
+    run = inputs.folder(spark, "file_arrival_stream")
     database = inputs.workspace(spark, "file_arrival_stream")
     orders = inputs.orders_raw(spark, sf_dir).select("order_id", "customer_name", "status")
     orders.write.options(header="true", sep="|").csv(f"{run}/landing/orders")
@@ -88,14 +81,14 @@ def _stream_result(stream: DataFrame, run: str) -> DataFrame:
 
 
 def _drift_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = _run_folder(spark, "drift_event_stream")
+    run = inputs.folder(spark, "drift_event_stream")
     _envelopes(spark, sf_dir, f"{run}/in", 1)
     return _stream_result(events.drift_messages(spark, f"{run}/in"), run)
 
 
 def _dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each message arrives three times; each request is answered once."""
-    run = _run_folder(spark, "dedup_events")
+    run = inputs.folder(spark, "dedup_events")
     _envelopes(spark, sf_dir, f"{run}/in", 3)
     requests = events.drift_requests(events.drift_messages(spark, f"{run}/in"))
     flat = requests.withColumns({"added": F.array_join("added", ","), "removed": F.array_join("removed", ",")})

@@ -70,6 +70,8 @@ def scan_csv(
         "sep": delimiter or DEFAULT_DELIMITER,
         "quote": quote or DEFAULT_QUOTE,
         "escape": quote or DEFAULT_QUOTE,
+        # An empty field is NULL, a quoted empty field is an empty text.
+        "nullValue": "\0",
         "mode": "FAILFAST" if fail_fast else "PERMISSIVE",
     }
     if not fail_fast:
