@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pactloom.functions.text import norm_blank
@@ -37,27 +37,35 @@ def has_key(message: Column, key: str) -> Column:
     return F.coalesce(F.array_contains(F.json_object_keys(message), key), F.lit(False))
 
 
-def _either_key(message: Column, event: Column, first: str, second: str) -> Column:
-    chosen = F.when(has_key(message, first), event[first]).otherwise(event[second])
+def _either_key(event: Column, keys: Column, first: str, second: str) -> Column:
+    chosen = F.when(F.array_contains(keys, first), event[first]).otherwise(event[second])
     return F.coalesce(chosen, F.array().cast("array<string>"))
 
 
-def parse_event(message: Column) -> dict[str, Column]:
-    """Named columns of one JSON drift message, defaults filled in."""
-    event = F.from_json(message, EVENT_SCHEMA)
+def read_messages(messages: DataFrame, value: str) -> DataFrame:
+    """Named columns of JSON drift messages, defaults filled in; other columns stay.
+
+    The generator makes each message parse once: as a plain expression it would
+    be parsed again for every field and every later filter.
+    """
+    kept = [c for c in messages.columns if c != value]
+    parsed = F.struct(F.json_object_keys(value).alias("_keys"), F.from_json(value, EVENT_SCHEMA).alias("_event"))
+    event, keys = F.col("_event"), F.col("_keys")
     platform_error = F.coalesce(event["protoPayload"]["status"]["message"], F.lit(DEFAULT_PLATFORM_ERROR))
     plain_error = F.coalesce(event["error_message"], F.lit(DEFAULT_ERROR))
-    return {
+    named = {
         "trace_id": F.coalesce(event["trace_id"], F.lit("unknown")),
         "table_ref": F.coalesce(event["table_ref"], F.lit(UNKNOWN_TABLE)),
         "domain": F.coalesce(event["domain"], F.lit(UNKNOWN_DOMAIN)),
         "data_contracts": norm_blank(event["data_contracts"]),
-        "error_context": F.when(has_key(message, "protoPayload"), platform_error).otherwise(plain_error),
-        "added": _either_key(message, event, "added_columns", "new_column_headers"),
-        "removed": _either_key(message, event, "removed_columns", "deleted_column_headers"),
+        "error_context": F.when(F.array_contains(keys, "protoPayload"), platform_error).otherwise(plain_error),
+        "added": _either_key(event, keys, "added_columns", "new_column_headers"),
+        "removed": _either_key(event, keys, "removed_columns", "deleted_column_headers"),
         "sample_rows": event["sample_data_rows"],
         "deletion_flag": F.coalesce(event["is_deletion"], F.lit(False)),
     }
+    rows = messages.select(*kept, F.inline(F.array(parsed)))
+    return rows.where(keys.isNotNull()).select(*kept, *[c.alias(n) for n, c in named.items()])
 
 
 def first_sample_keys(rows: Column) -> Column:

@@ -11,8 +11,10 @@ PRICE_PER_TIB = 6.25
 DEFAULT_DATASET = "raw"
 FENCE = "```"
 
-# Every character that counts as white space in Unicode text.
-WHITESPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+# Every character that counts as white space in Unicode text. The ones past
+# Latin-1 sit behind a range test of their own, which spares letters their list.
+_RARE_SPACE = r"[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
+WHITESPACE = rf"[ \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0{_RARE_SPACE}]+"
 
 
 def norm_blank(col: Column) -> Column:

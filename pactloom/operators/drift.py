@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pactloom.contract import AUDIT_COLUMNS, BATCH_DATE, PROCESSED
-from pactloom.functions.messages import PLATFORM_WORD, first_sample_keys, parse_event
+from pactloom.functions.messages import PLATFORM_WORD, first_sample_keys, read_messages
 from pactloom.operators import routing
 
 EVENT_TYPE = "SCHEMA_DRIFT_AI"
@@ -19,11 +19,11 @@ def _without_audit(columns: Column) -> Column:
 
 
 def unknown_columns(headers: Column, table_columns: Column) -> Column:
-    return F.array_sort(F.array_except(headers, _without_audit(table_columns)))
+    return F.sort_array(F.array_except(headers, _without_audit(table_columns)))
 
 
 def missing_columns(headers: Column, table_columns: Column) -> Column:
-    return F.array_sort(F.array_except(_without_audit(table_columns), headers))
+    return F.sort_array(F.array_except(_without_audit(table_columns), headers))
 
 
 def schema_diff(files: DataFrame, tables: DataFrame, on: Sequence[str] = ("table_ref",)) -> DataFrame:
@@ -142,8 +142,7 @@ def classify_drift_events(messages: DataFrame, value: str = "value") -> DataFram
     A message counts when it adds or removes columns, names a contract, comes
     from the transformation layer, or asks for a deletion.
     """
-    kept = [c for c in messages.columns if c != value]
-    parsed = messages.select(*kept, *[c.alias(n) for n, c in parse_event(F.col(value)).items()])
+    parsed = read_messages(messages, value)
     inferred = (F.size("added") == 0) & (F.size("removed") == 0) & (F.size("sample_rows") > 0)
     context = F.lower("error_context")
     judged = parsed.withColumns(

@@ -101,5 +101,5 @@ def last_turns(turns: DataFrame, keep: int = 5, *, by: Sequence[str] = ("conv_id
     window = Window.partitionBy(*by).orderBy(F.col(order).desc())
     recent = turns.withColumn("_rank", F.row_number().over(window)).where(f"_rank <= {int(keep)}")
     line = F.concat(F.upper("role"), F.lit(": "), F.col("text"))
-    listed = F.array_sort(F.collect_list(F.struct(F.col(order), line.alias("line"))))
+    listed = F.sort_array(F.collect_list(F.struct(F.col(order), line.alias("line"))))
     return recent.groupBy(*by).agg(F.array_join(F.transform(listed, lambda t: t["line"]), "\n").alias("context"))

@@ -64,7 +64,7 @@ def value_counts(df: DataFrame, columns: Sequence[str], listed: Sequence[str]) -
     return repeats.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("distinct_values"),
         F.max("n").alias("max_repeat"),
-        F.array_sort(F.collect_list(F.when(F.col("column_name").isin(list(listed)), value))).alias("listed_values"),
+        F.sort_array(F.collect_list(F.when(F.col("column_name").isin(list(listed)), value))).alias("listed_values"),
         F.count_if(value.rlike(NUMBERED)).alias("numbered"),
         F.min(prefix).alias("first_prefix"),
         F.max(prefix).alias("last_prefix"),

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pactloom.functions.text import basename, compact_timestamp, extension
 
@@ -108,16 +109,17 @@ def _route_by_case(files: DataFrame, rules: DataFrame, rows: list[Row], name: st
     types = {f.name: f.dataType for f in rules.schema}
     if not ordered:
         return files.withColumns({c: F.lit(None).cast(types[c]) for c in RULE_COLUMNS})
-    first = reduce(
-        lambda chain, item: chain.when(F.col(name).rlike(item[1]["file_pattern"]), F.lit(item[0])),
-        enumerate(ordered[1:], start=1),
-        F.when(F.col(name).rlike(ordered[0]["file_pattern"]), F.lit(0)),
+    tests = [f"WHEN `{name}` RLIKE {_literal(r['file_pattern'])} THEN {i}" for i, r in enumerate(ordered)]
+    numbered = rules.sparkSession.createDataFrame(
+        [(i, *r) for i, r in enumerate(ordered)], T.StructType([T.StructField("_rule", T.IntegerType()), *rules.schema])
     )
-    attributes = F.array(
-        *[F.struct(*[F.lit(r[c]).cast(types[c]).alias(c) for c in RULE_COLUMNS]) for r in ordered]
-    )
-    matched = files.withColumn("_rule", first).withColumn("_rule", F.get(attributes, F.col("_rule")))
-    return matched.select(*files.columns, *[F.col(f"_rule.{c}").alias(c) for c in RULE_COLUMNS])
+    matched = files.withColumn("_rule", F.expr(f"CASE {' '.join(tests)} END"))
+    routed = matched.join(F.broadcast(numbered), "_rule", "left")
+    return routed.select(*files.columns, *RULE_COLUMNS)
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _route_by_slices(files: DataFrame, rules: DataFrame, name: str) -> DataFrame:

@@ -138,7 +138,7 @@ def ndjson_columns(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     keys = spark.read.text(list(paths)).select(
         F.col("_metadata.file_path").alias("path"), F.explode(F.json_object_keys("value")).alias("key")
     )
-    return keys.distinct().groupBy("path").agg(F.array_sort(F.collect_list("key")).alias("headers"))
+    return keys.distinct().groupBy("path").agg(F.sort_array(F.collect_list("key")).alias("headers"))
 
 
 def _distinct_names(names: list[str]) -> list[str]:

@@ -52,7 +52,7 @@ def catalog_columns(spark: SparkSession, database: str, shown: int = COLUMNS_SHO
 def columns_per_table(columns: DataFrame, shown: int = COLUMNS_SHOWN) -> DataFrame:
     """Gathers catalog rows (table_name, position, column_name), cut to the first ``shown``."""
     kept = columns.where(F.col("position") < shown)
-    ordered = F.array_sort(F.collect_list(F.struct("position", "column_name")))
+    ordered = F.sort_array(F.collect_list(F.struct("position", "column_name")))
     return kept.groupBy("table_name").agg(ordered.alias("c")).select(
         "table_name", F.transform("c", lambda x: x["column_name"]).alias("columns")
     )
