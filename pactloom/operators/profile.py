@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from pactloom.contract import BATCH_DATE, ColumnTest, Contract, ContractColumn
+from pactloom.contract import BATCH_DATE, ColumnTest, Contract, ContractColumn, default_contract
 from pactloom.functions.casts import safe_cast
 from pactloom.functions.text import norm_blank
 
@@ -96,6 +96,8 @@ def profile_contract(df: DataFrame, name: str, columns: Sequence[str] | None = N
     """
     names = list(columns or df.columns)
     stats = {r["column_name"]: r for r in column_stats(df, names).collect()}
+    if not stats:
+        return default_contract(name, names)
     full = [c for c in names if stats[c]["filled"] == stats[c]["row_count"] > 0]
     nearly_unique = [
         c

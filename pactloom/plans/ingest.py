@@ -129,10 +129,11 @@ def _load_groups(manifest: DataFrame) -> DataFrame:
 
 def _scan(spark: SparkSession, group: Row) -> DataFrame:
     kind = routing.FORMATS[group["file_format"]]
+    paths = sources.readable(group["paths"])
     if kind == "csv":
         return sources.scan_csv(
             spark,
-            group["paths"],
+            paths,
             group["headers"],
             delimiter=group["delimiter"],
             quote=group["quote_char"],
@@ -140,8 +141,8 @@ def _scan(spark: SparkSession, group: Row) -> DataFrame:
             fail_fast=False,
         )
     if kind == "json":
-        return sources.scan_ndjson(spark, group["paths"], group["headers"], fail_fast=False)
-    return sources.scan_parquet(spark, group["paths"], group["headers"])
+        return sources.scan_ndjson(spark, paths, group["headers"], fail_fast=False)
+    return sources.scan_parquet(spark, paths, group["headers"])
 
 
 def _load_group(spark: SparkSession, group: Row, manifest: DataFrame, replaced: dict, as_of: str) -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 import csv
 import io
 import json
-from collections.abc import Iterator, Sequence
+import re
+from collections.abc import Iterable, Iterator, Sequence
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,15 +42,21 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
 
 def file_columns(root: str) -> list[Column]:
     path = F.col("_metadata.file_path")
-    root_path = root.split(":", 1)[-1].lstrip("/").rstrip("/") + "/"
+    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    root_path = root.split(":", 1)[-1].strip("/") + "/"
     return [
         path.alias("path"),
-        F.substring_index(path, root_path, -1).alias("file_name"),
+        F.substr(plain, F.locate(root_path, plain) + len(root_path)).alias("file_name"),
         F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_modification_time").alias("modified_at"),
     ]
 
 
+def readable(paths: Iterable[str]) -> list[str]:
+    """Paths as readers take them, from paths as the ``_metadata`` column gives them: decoded, globs escaped."""
+    return [re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(p)) for p in paths]
+
+
 def scan_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -135,7 +143,7 @@ def scan_parquet(
 
 def ndjson_columns(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Every key of every record, per file; counting starts before the shuffle."""
-    keys = spark.read.text(list(paths)).select(
+    keys = spark.read.text(readable(paths)).select(
         F.col("_metadata.file_path").alias("path"), F.explode(F.json_object_keys("value")).alias("key")
     )
     return keys.distinct().groupBy("path").agg(F.sort_array(F.collect_list("key")).alias("headers"))
