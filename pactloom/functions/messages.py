@@ -46,15 +46,20 @@ def read_messages(messages: DataFrame, value: str) -> DataFrame:
     """Named columns of JSON drift messages, defaults filled in; other columns stay.
 
     The generator makes each message parse once: as a plain expression it would
-    be parsed again for every field and every later filter.
+    be parsed again for every field and every later filter. A message without
+    a trace id gets one made from its text.
     """
     kept = [c for c in messages.columns if c != value]
-    parsed = F.struct(F.json_object_keys(value).alias("_keys"), F.from_json(value, EVENT_SCHEMA).alias("_event"))
+    parsed = F.struct(
+        F.json_object_keys(value).alias("_keys"),
+        F.from_json(value, EVENT_SCHEMA).alias("_event"),
+        F.concat(F.lit("unknown-"), F.md5(value)).alias("_stand_in"),
+    )
     event, keys = F.col("_event"), F.col("_keys")
     platform_error = F.coalesce(event["protoPayload"]["status"]["message"], F.lit(DEFAULT_PLATFORM_ERROR))
     plain_error = F.coalesce(event["error_message"], F.lit(DEFAULT_ERROR))
     named = {
-        "trace_id": F.coalesce(event["trace_id"], F.lit("unknown")),
+        "trace_id": F.coalesce(event["trace_id"], F.col("_stand_in")),
         "table_ref": F.coalesce(event["table_ref"], F.lit(UNKNOWN_TABLE)),
         "domain": F.coalesce(event["domain"], F.lit(UNKNOWN_DOMAIN)),
         "data_contracts": norm_blank(event["data_contracts"]),

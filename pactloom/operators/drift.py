@@ -26,6 +26,17 @@ def missing_columns(headers: Column, table_columns: Column) -> Column:
     return F.sort_array(F.array_except(_without_audit(table_columns), headers))
 
 
+def type_changes(file_types: Column, table_types: Column) -> Column:
+    """Columns both sides have under different types, as a map from name to the file's type.
+
+    Drift itself looks at names only, since raw tables hold text; this is for
+    callers that want to know more.
+    """
+    return F.map_filter(
+        file_types, lambda name, kind: F.coalesce(F.try_element_at(table_types, name) != kind, F.lit(False))
+    )
+
+
 def schema_diff(files: DataFrame, tables: DataFrame, on: Sequence[str] = ("table_ref",)) -> DataFrame:
     """Per file, the names only the file has and those only its table has.
 

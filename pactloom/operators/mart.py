@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pactloom.contract import BATCH_DATE, PROCESSED
+from pactloom.functions.predicates import any_null
 
 EPOCH = "1970-01-01 00:00:00"
 RETENTION_DAYS = 30
+NULL_KEY_TASKS = 256
 
 
 def high_water(target: DataFrame, column: str = PROCESSED, floor: str = EPOCH) -> Column:
@@ -44,9 +46,15 @@ def incremental_filter(
 def upsert_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key is not in the source, and all source rows.
 
-    A NULL key matches nothing, so such rows stay and are added to.
+    A NULL key matches nothing, so such rows stay and are added to. Since they
+    need no partner they are spread over many tasks, however many there are;
+    keys with many rows are left to adaptive skew handling, which splits the
+    kept side of an anti join.
     """
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
+    no_key = any_null(keys)
+    spread = F.when(no_key, 1 + F.pmod(F.spark_partition_id(), F.lit(NULL_KEY_TASKS))).otherwise(0)
+    replaced = source.where(~no_key).select(*keys, F.lit(0).alias("_spread"))
+    kept = target.withColumn("_spread", spread).join(replaced, [*keys, "_spread"], "left_anti")
     return kept.select(*target.columns).unionByName(source.select(*target.columns))
 
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pactloom.contract import PROCESSED, Rules
-from pactloom.functions.predicates import any_blank, any_null
+from pactloom.functions.predicates import any_blank, any_null, no_nulls
 
 FRESHNESS_REASON = "Freshness Breach: Max processed_dttm is older than {hours:g} hours"
 COMPLETENESS_REASON = "Completeness Breach: share of good records is below the objective"
@@ -48,16 +49,41 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).where("row_count > 1")
 
 
-def assertion_report(df: DataFrame, rules: Rules) -> DataFrame:
-    """Failing rows per rule: one scan for all row rules, one of the key column for uniqueness."""
+@dataclass(frozen=True)
+class Objectives:
+    """Service levels of a table; None leaves one out."""
+
+    freshness_hours: float | None = None
+    completeness_percent: float | None = None
+
+
+def assertion_report(
+    df: DataFrame, rules: Rules, objectives: Objectives = Objectives(), as_of: str | None = None
+) -> DataFrame:
+    """Failing rows per rule, and one row for every objective that is missed.
+
+    All row rules and objectives come from one scan, uniqueness from one of
+    the key columns. A row counts as complete when it meets the not-null rules.
+    """
     checks = [("nonNull", c, F.col(f"`{c}`").isNull()) for c in rules.non_null]
     checks += [("rowCondition", r.name, ~r.condition) for r in rules.row_conditions]
-    counts = df.agg(*[F.count_if(failed).alias(f"n{i}") for i, (_, _, failed) in enumerate(checks)])
+    facts = df.agg(
+        *[F.count_if(failed).alias(f"n{i}") for i, (_, _, failed) in enumerate(checks)],
+        F.max(PROCESSED).alias("newest"),
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(no_nulls(rules.non_null)).alias("complete"),
+    )
+    lines = [(kind, name, F.col(f"n{i}")) for i, (kind, name, _) in enumerate(checks)]
+    if objectives.freshness_hours is not None:
+        lines.append(("sla", "freshness", _missed(_is_stale(F.col("newest"), objectives.freshness_hours, as_of))))
+    if objectives.completeness_percent is not None:
+        short = _percent(F.col("complete"), F.col("total")) < objectives.completeness_percent
+        lines.append(("sla", "completeness", _missed(short)))
     rows = [
-        F.struct(F.lit(kind).alias("rule_type"), F.lit(name).alias("rule_name"), F.col(f"n{i}").alias("failing_rows"))
-        for i, (kind, name, _) in enumerate(checks)
+        F.struct(F.lit(kind).alias("rule_type"), F.lit(name).alias("rule_name"), failing.alias("failing_rows"))
+        for kind, name, failing in lines
     ]
-    report = counts.select(F.inline(F.array(*rows)))
+    report = facts.select(F.inline(F.array(*rows))).where("failing_rows IS NOT NULL")
     if not rules.unique_key:
         return report
     unique = duplicate_keys(df, rules.unique_key).agg(F.count(F.lit(1)).alias("failing_rows"))
@@ -70,6 +96,18 @@ def assertion_report(df: DataFrame, rules: Rules) -> DataFrame:
     )
 
 
+def _missed(condition: Column) -> Column:
+    return F.when(condition, F.lit(1).cast("bigint"))
+
+
+def _is_stale(newest: Column, hours: float, as_of: str | None) -> Column:
+    return newest < _now(as_of) - F.make_dt_interval(mins=F.lit(int(round(hours * 60))))
+
+
+def _percent(part: Column, total: Column) -> Column:
+    return part * 100.0 / F.nullif(total, F.lit(0))
+
+
 def freshness_breach(
     df: DataFrame,
     hours: float = 24,
@@ -83,8 +121,7 @@ def freshness_breach(
     An empty table passes, since it has no newest record, unless
     ``fail_on_empty`` is set.
     """
-    limit = _now(as_of) - F.make_dt_interval(mins=F.lit(int(round(hours * 60))))
-    stale = F.col("last_processed_at") < limit
+    stale = _is_stale(F.col("last_processed_at"), hours, as_of)
     if fail_on_empty:
         stale = stale | F.col("last_processed_at").isNull()
     reason = F.lit(FRESHNESS_REASON.format(hours=hours)).alias("failure_reason")
@@ -92,9 +129,8 @@ def freshness_breach(
 
 
 def completeness(df: DataFrame, good: Column) -> DataFrame:
-    return df.agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(good).alias("good")
-    ).withColumn("good_percent", F.col("good") * 100.0 / F.nullif(F.col("total"), F.lit(0)))
+    counted = df.agg(F.count(F.lit(1)).alias("total"), F.count_if(good).alias("good"))
+    return counted.withColumn("good_percent", _percent(F.col("good"), F.col("total")))
 
 
 def completeness_breach(df: DataFrame, good: Column, percent: float = 98.0) -> DataFrame:

@@ -32,15 +32,6 @@ def _size_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "question string, row_count bigint, needs_confirmation boolean")
 
 
-def _dry_run_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns, by analysis alone, of a question over the orders, beside a question that cannot be answered."""
-    _views(spark, sf_dir)
-    good = gate.dry_run(spark, QUESTIONS["by_priority"])
-    wrong = gate.dry_run(spark, "SELECT no_such_column FROM pactloom_orders")
-    rows = [("by_priority", good.valid, c["name"], c["type"]) for c in good.schema] + [("wrong", wrong.valid, None, None)]
-    return spark.createDataFrame(rows, "question string, valid boolean, column_name string, type string")
-
-
 def _group_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per ship mode of a table of results: how many rows, and whether that needs a confirmation."""
     counted = inputs.table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(

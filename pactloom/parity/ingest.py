@@ -60,7 +60,7 @@ def _registry_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    diff = drift.schema_diff(inputs.file_headers(spark, sf_dir), inputs.orders_table_columns(spark))
+    diff = drift.schema_diff(inputs.file_headers(spark, sf_dir), inputs.table_columns(spark, sf_dir))
     return diff.select(
         "event_id",
         F.array_join("new_columns", ",").alias("new_columns"),
@@ -70,7 +70,7 @@ def _schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _schema_diff_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = inputs.file_headers(spark, sf_dir).select("event_id", "table_ref", F.explode("headers").alias("column_name"))
-    columns = inputs.orders_table_columns(spark).select("table_ref", F.explode("columns").alias("column_name"))
+    columns = inputs.table_columns(spark, sf_dir).select("table_ref", F.explode("columns").alias("column_name"))
     return drift.schema_diff_rows(names, columns, ["event_id"]).select("event_id", "column_name", "change")
 
 

@@ -180,13 +180,15 @@ def file_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(e % 11 != 0, F.lit("status")),
     ]
     return table(spark, sf_dir, "events").select(
-        "event_id", F.lit("raw.orders_raw").alias("table_ref"), F.array_compact(F.array(*names, *optional)).alias("headers")
+        "event_id", F.concat(F.lit("raw."), "event_type").alias("table_ref"), F.array_compact(F.array(*names, *optional)).alias("headers")
     )
 
 
-def orders_table_columns(spark: SparkSession) -> DataFrame:
-    row = [("raw.orders_raw", [*BUSINESS, "batch_date", "processed_dttm"])]
-    return spark.createDataFrame(row, "table_ref string, columns array<string>")
+def table_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table per event type, all with the columns of the orders."""
+    names = [F.lit(c) for c in [*BUSINESS, "batch_date", "processed_dttm"]]
+    kinds = table(spark, sf_dir, "events").select("event_type").distinct()
+    return kinds.select(F.concat(F.lit("raw."), "event_type").alias("table_ref"), F.array(*names).alias("columns"))
 
 
 HEADERS = """file_columns AS (

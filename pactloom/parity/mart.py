@@ -11,6 +11,7 @@ from pactloom.parity import inputs
 from pactloom.parity.case import Case
 from pactloom.parity.inputs import AS_OF, AS_OF_DATE, BUSINESS, ORDERS_RAW, SECOND_LOAD, STG_ORDERS, WITH_RAW, typed_sql
 from pactloom.parity.staging import stg_orders
+from pactloom.session import cut_lineage
 from pactloom.sinks import tables as sinks
 from pactloom.sources.tables import create_table
 
@@ -69,8 +70,9 @@ def _incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = first_mart(spark, sf_dir)
-    return mart.upsert_by_key(target, mart.incremental_filter(stg_orders(spark, sf_dir), target), ["order_id"])
+    target = cut_lineage(first_mart(spark, sf_dir))
+    batch = cut_lineage(mart.incremental_filter(stg_orders(spark, sf_dir), target))
+    return mart.upsert_by_key(target, batch, ["order_id"])
 
 
 def _raw_table(spark: SparkSession, database: str, name: str = "orders_raw") -> str:

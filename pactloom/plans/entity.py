@@ -42,22 +42,8 @@ def refresh_mart(
 
 def check_report(df: DataFrame, layer: str, contract: Contract, as_of: str | None = None) -> DataFrame:
     """All checks of one table as rows of the quality layer."""
-    rules = contract_rules(contract)
-    report = quality.assertion_report(df, rules)
-    one = F.lit(1).cast("bigint").alias("failing_rows")
-    if contract.freshness_hours is not None:
-        stale = quality.freshness_breach(df, contract.freshness_hours, as_of)
-        report = report.unionByName(
-            stale.select(F.lit("sla").alias("rule_type"), F.lit("freshness").alias("rule_name"), one)
-        )
-    if contract.completeness_percent is not None:
-        good = F.lit(True)
-        for name in rules.non_null:
-            good = good & F.col(f"`{name}`").isNotNull()
-        short = quality.completeness_breach(df, good, contract.completeness_percent)
-        report = report.unionByName(
-            short.select(F.lit("sla").alias("rule_type"), F.lit("completeness").alias("rule_name"), one)
-        )
+    objectives = quality.Objectives(contract.freshness_hours, contract.completeness_percent)
+    report = quality.assertion_report(df, contract_rules(contract), objectives, as_of)
     now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     return report.select(F.lit(layer).alias("table_name"), now.alias("checked_at"), *report.columns)
 

@@ -158,6 +158,7 @@ def _load_group(spark: SparkSession, group: Row, manifest: DataFrame, replaced:
         rows = rows.withColumn(sources.CORRUPT, F.lit(None).cast("string"))
     table = group["table_ref"]
     landed = F.struct("modified_at", "path")
+    headers = [f"`{c}`" for c in group["headers"]]
 
     def finish(staged: DataFrame) -> DataFrame:
         per_file = staged.groupBy(F.col(sources.SOURCE_FILE).alias("path")).agg(
@@ -166,29 +167,26 @@ def _load_group(spark: SparkSession, group: Row, manifest: DataFrame, replaced:
             F.count(sources.CORRUPT).alias("unreadable"),
         )
         counts = cut_lineage(per_file.join(manifest.select("path", "modified_at"), "path"))
-        whole = counts.where("unreadable = 0")
         before = replaced.get(table)
         if group["write_disposition"] == "WRITE_TRUNCATE":
-            newest = whole.agg(F.max(landed)).first()[0]
-            if newest is None or (before is not None and newest < before):
-                return counts
-            replaced[table] = newest
-            sinks.replace_raw(_rows_of(staged, whole.where(F.col("path") == newest["path"]), group), table, as_of)
+            newest = counts.where("unreadable = 0").agg(F.max(landed)).first()[0]
+            if newest is not None and (before is None or newest > before):
+                replaced[table] = newest
+                only = staged.where(F.col(sources.SOURCE_FILE) == newest["path"])
+                sinks.replace_raw(only.select(*headers), table, as_of)
             return counts
+        left_out = F.col("unreadable") > 0
         if before is not None:
-            limit = F.struct(F.lit(before["modified_at"]), F.lit(before["path"]))
-            whole = whole.where(landed > limit)
-        sinks.append_raw(_rows_of(staged, whole, group), table, as_of)
+            left_out = left_out | (landed <= F.struct(F.lit(before["modified_at"]), F.lit(before["path"])))
+        # At most the files of one load, so they fit in the plan; the rows need no join.
+        paths = [r[0] for r in counts.where(left_out).select("path").collect()]
+        rest = staged.where(~F.col(sources.SOURCE_FILE).isin(paths)) if paths else staged
+        sinks.append_raw(rest.select(*headers), table, as_of)
         return counts
 
     return sinks.staged_load(rows, table, finish)
 
 
-def _rows_of(staged: DataFrame, files: DataFrame, group: Row) -> DataFrame:
-    wanted = files.select(F.col("path").alias(sources.SOURCE_FILE))
-    return staged.join(wanted, sources.SOURCE_FILE, "left_semi").select(*[f"`{c}`" for c in group["headers"]])
-
-
 _NO_COUNTS = "path string, total bigint, bad bigint, unreadable bigint"
 
 

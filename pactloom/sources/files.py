@@ -9,7 +9,7 @@ import re
 from collections.abc import Iterable, Iterator, Sequence
 from urllib.parse import unquote
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -183,7 +183,8 @@ def _read_head(path: str, fmt: str, delimiter: str, quote: str, skip_rows: int)
     from pyarrow import fs
     from pyarrow import parquet as pq
 
-    filesystem, inner = fs.FileSystem.from_uri(path.replace(" ", "%20"))
+    uri = re.sub(r"^s3[an]://", "s3://", path.replace(" ", "%20"))
+    filesystem, inner = fs.FileSystem.from_uri(uri)
     if fmt == "parquet":
         with filesystem.open_input_file(inner) as source:
             file = pq.ParquetFile(source)
@@ -207,17 +208,28 @@ def _read_head(path: str, fmt: str, delimiter: str, quote: str, skip_rows: int)
     return {"headers": names, "types": ["string"] * len(names), "samples": samples}
 
 
-def _read_heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _read_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    text, names = pa.string(), pa.list_(pa.string())
+    schema = pa.schema(
+        [
+            ("path", text),
+            ("headers", names),
+            ("types", names),
+            ("samples", pa.list_(pa.map_(text, text))),
+            ("header_error", text),
+        ]
+    )
     for batch in batches:
         rows = []
-        for r in batch.itertuples(index=False):
-            row = {"path": r.path, "headers": None, "types": None, "samples": None, "header_error": None}
+        for r in batch.to_pylist():
+            row = {"path": r["path"]}
             try:
-                row |= _read_head(r.path, r.file_format, r.delimiter, r.quote_char, int(r.skip_header_rows))
+                row |= _read_head(r["path"], r["file_format"], r["delimiter"], r["quote_char"], r["skip_header_rows"])
+                row["samples"] = [list(sample.items()) for sample in row["samples"]]
             except Exception as error:  # noqa: BLE001 - one bad file must not stop the others
-                row["header_error"] = f"Failed to read metadata from {r.path.rsplit('/', 1)[-1]}: {error}"
+                row["header_error"] = f"Failed to read metadata from {r['path'].rsplit('/', 1)[-1]}: {error}"
             rows.append(row)
-        yield pd.DataFrame(rows, columns=["path", "headers", "types", "samples", "header_error"])
+        yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
 def read_headers(files: DataFrame) -> DataFrame:
@@ -228,7 +240,7 @@ def read_headers(files: DataFrame) -> DataFrame:
     """
     wanted = files.select("path", "file_format", "delimiter", "quote_char", "skip_header_rows")
     spread = wanted.repartition(F.col("path"))
-    return spread.mapInPandas(_read_heads, _HEADER_SCHEMA)
+    return spread.mapInArrow(_read_heads, _HEADER_SCHEMA)
 
 
 def sample_rows(df: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
