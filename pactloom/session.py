@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The default, INT96, has no statistics: a high-water mark could skip no row group.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 _local_scratch: str | None = None
@@ -28,6 +30,13 @@ def build_session(app_name: str = "pactloom", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """The same settings for a session that somebody else started."""
+    for key, value in DEFAULTS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
