@@ -76,10 +76,10 @@ def _schema_diff_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every kind of outcome: no rule, unknown format, no table, drift, success."""
-    headers = inputs.file_headers(spark, sf_dir).select("event_id", "headers")
     fmt = routing.file_format(F.col("file_format"), F.col("file_name"))
-    planned = _routed(spark, sf_dir).join(headers, "event_id").withColumns(
+    planned = _routed(spark, sf_dir).withColumns(
         {
+            "headers": inputs.headers(),
             "table_ref": F.concat_ws(".", "target_dataset", "target_table"),
             "header_error": F.when(~routing.supported_format(fmt), F.concat(F.lit("Unsupported file format: "), fmt)),
         }
@@ -136,9 +136,8 @@ def _archive_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _audit_ingestion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger rows of all files; counts exist only for files that were loaded."""
-    events = inputs.table(spark, sf_dir, "events").select("event_id", "user_id")
     loaded = F.col("status") == routing.SUCCESS
-    counted = outcomes(spark, sf_dir).join(events, "event_id").withColumns(
+    counted = outcomes(spark, sf_dir).withColumns(
         {
             "ingestion_id": F.sha2(F.col("event_id").cast("string"), 256),
             "file_uri": F.concat(F.lit("landing/"), "file_name"),

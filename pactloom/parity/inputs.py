@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactloom.session import scratch_root
@@ -110,7 +110,7 @@ def landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(e % 37 == 0, "/").when(e % 5 == 0, ".json").when(e % 7 == 0, ".PARQUET").when(e % 17 == 0, ".avro")
     ).otherwise(".csv")
     name = F.concat(place, "event_type", F.lit("_"), e.cast("string"), ending)
-    return table(spark, sf_dir, "events").select("event_id", "ts", name.alias("file_name"))
+    return table(spark, sf_dir, "events").select("event_id", "ts", "user_id", name.alias("file_name"))
 
 
 FILES = """files AS (
@@ -170,18 +170,21 @@ FROM supplier
 )"""
 
 
-def file_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Column names of one file per event: some gain ``coupon`` or ``Amount``, some lose ``status``."""
-    e = F.col("event_id")
+def headers(event_id: str = "event_id") -> Column:
+    """Column names of the file of an event: some gain ``coupon`` or ``Amount``, some lose ``status``."""
+    e = F.col(event_id)
     names = [F.lit(c) for c in BUSINESS if c != "status"]
     optional = [
         F.when(e % 13 == 0, F.lit("coupon")),
         F.when(e % 19 == 0, F.lit("Amount")),
         F.when(e % 11 != 0, F.lit("status")),
     ]
-    return table(spark, sf_dir, "events").select(
-        "event_id", F.concat(F.lit("raw."), "event_type").alias("table_ref"), F.array_compact(F.array(*names, *optional)).alias("headers")
-    )
+    return F.array_compact(F.array(*names, *optional))
+
+
+def file_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table_ref = F.concat(F.lit("raw."), "event_type").alias("table_ref")
+    return table(spark, sf_dir, "events").select("event_id", table_ref, headers().alias("headers"))
 
 
 def table_columns(spark: SparkSession, sf_dir: str) -> DataFrame:

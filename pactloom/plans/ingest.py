@@ -187,9 +187,6 @@ def _load_group(spark: SparkSession, group: Row, manifest: DataFrame, replaced:
     return sinks.staged_load(rows, table, finish)
 
 
-_NO_COUNTS = "path string, total bigint, bad bigint, unreadable bigint"
-
-
 def ingest(
     spark: SparkSession,
     files: DataFrame,
@@ -202,46 +199,63 @@ def ingest(
 ) -> DataFrame:
     """Ingests a batch of files (path, file_name, modified_at) and returns their outcomes.
 
-    ``batch_id`` names the batch: files the ledger already lists under the same
-    batch are left alone, so a batch that is delivered again adds nothing.
+    ``batch_id`` names the batch. The ledger is written after every load, and
+    files it lists under the same batch are not loaded again: a batch that is
+    delivered again after a crash goes on where it stopped. A very large
+    backlog is best taken through the file stream, which cuts it into batches.
     """
     started = as_of or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+    at = F.lit(started).cast("timestamp")
+    ended = at if as_of else F.current_timestamp()
     batch_id = batch_id or uuid.uuid4().hex
     arrived = files.withColumn("ingestion_id", F.sha2(F.concat_ws("|", F.lit(batch_id), "path"), 256))
-    if spark.catalog.tableExists(targets.ledger):
-        # The ledger grows for ever, the batch does not: narrow the ledger first.
-        ledger = spark.table(targets.ledger).select("ingestion_id")
-        recorded = ledger.join(arrived.select("ingestion_id"), "ingestion_id", "left_semi")
-        arrived = arrived.join(recorded, "ingestion_id", "left_anti")
-    planned = plan_files(arrived, registry)
     manifest = cut_lineage(
-        inspect_files(planned, registry, all_json_keys=all_json_keys)
+        inspect_files(plan_files(_with_records(arrived, targets), registry), registry, all_json_keys=all_json_keys)
         .withColumn("trace_id", F.concat(F.lit("traces/"), F.col("ingestion_id")))
         .withColumn("bucket", F.lit(targets.bucket))
     )
-    replaced: dict = {}
-    counts = [
-        _load_group(spark, group, manifest, replaced, started).drop("modified_at")
-        for group in _load_groups(manifest).toLocalIterator()
-    ]
-    counted = reduce(DataFrame.unionByName, counts, spark.createDataFrame([], _NO_COUNTS))
-    outcomes = cut_lineage(_with_counts(manifest, counted, targets, started))
+    open_files = manifest.where("recorded IS NULL")
+    replaced = _replaced_before(manifest)
+    parts = []
+    for group in _load_groups(open_files).toLocalIterator():
+        counts = _load_group(spark, group, open_files, replaced, started)
+        loaded = _with_counts(open_files.join(counts.drop("modified_at"), "path"), targets, started)
+        audit_ingestion(loaded, targets.ledger, at, ended)
+        parts.append(loaded)
+    no_counts = {c: F.lit(None).cast("bigint") for c in ("total", "bad", "unreadable")}
+    refused = open_files.where(F.col("status") != routing.SUCCESS).withColumns(no_counts)
+    refused = _with_counts(refused, targets, started)
     if targets.events_folder:
-        emit_drift_events(drift.drift_events(outcomes, F.lit(started).cast("timestamp")), targets.events_folder)
-    ended = F.lit(started).cast("timestamp") if as_of else F.current_timestamp()
-    audit_ingestion(outcomes, targets.ledger, F.lit(started).cast("timestamp"), ended)
-    return outcomes
+        emit_drift_events(drift.drift_events(refused, at), targets.events_folder)
+    audit_ingestion(refused, targets.ledger, at, ended)
+    return reduce(DataFrame.unionByName, parts, refused)
+
+
+def _with_records(arrived: DataFrame, targets: IngestTargets) -> DataFrame:
+    """Adds the status an earlier delivery of the batch recorded for a file, if it did."""
+    spark = arrived.sparkSession
+    if not spark.catalog.tableExists(targets.ledger):
+        return arrived.withColumn("recorded", F.lit(None).cast("string"))
+    # The ledger grows for ever, the batch does not: narrow the ledger first.
+    ledger = spark.table(targets.ledger).select("ingestion_id", F.col("status").alias("recorded"))
+    known = ledger.join(arrived.select("ingestion_id"), "ingestion_id", "left_semi")
+    return arrived.join(known.dropDuplicates(["ingestion_id"]), "ingestion_id", "left")
+
 
+def _replaced_before(manifest: DataFrame) -> dict:
+    """Per table, the newest replacing file an earlier delivery of the batch loaded."""
+    done = manifest.where((F.col("recorded") == routing.SUCCESS) & (F.col("write_disposition") == "WRITE_TRUNCATE"))
+    newest = done.groupBy("table_ref").agg(F.max(F.struct("modified_at", "path")).alias("newest"))
+    return {r["table_ref"]: r["newest"] for r in newest.collect()}
 
-def _with_counts(manifest: DataFrame, counts: DataFrame, targets: IngestTargets, started: str) -> DataFrame:
-    joined = manifest.join(counts, "path", "left")
+
+def _with_counts(counted: DataFrame, targets: IngestTargets, started: str) -> DataFrame:
     unreadable = F.coalesce(F.col("unreadable"), F.lit(0)) > 0
-    failed = joined.withColumns(
+    message = F.concat(F.col("unreadable").cast("string"), F.lit(" unreadable rows in "), F.col("file_name"))
+    failed = counted.withColumns(
         {
             "status": F.when(unreadable, routing.FAILED).otherwise(F.col("status")),
-            "error_message": F.when(
-                unreadable, F.concat(F.col("unreadable").cast("string"), F.lit(" unreadable rows in "), F.col("file_name"))
-            ).otherwise(F.col("error_message")),
+            "error_message": F.when(unreadable, message).otherwise(F.col("error_message")),
             "total": F.when(~unreadable, F.col("total")),
             "bad": F.when(~unreadable, F.col("bad")),
         }
@@ -251,5 +265,9 @@ def _with_counts(manifest: DataFrame, counts: DataFrame, targets: IngestTargets,
         routing.archive_folder(F.col("status")), F.col("file_name"), F.lit(started).cast("timestamp")
     )
     return failed.withColumns(
-        {"good": F.col("total") - F.col("bad"), "file_uri": F.concat(F.lit(root + "/"), path)}
-    ).withColumn("target_table", F.nullif("table_ref", F.lit("")))
+        {
+            "good": F.col("total") - F.col("bad"),
+            "file_uri": F.concat(F.lit(root + "/"), path),
+            "target_table": F.nullif("table_ref", F.lit("")),
+        }
+    )

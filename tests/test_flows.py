@@ -150,6 +150,40 @@ def test_replacing_loads_keep_the_newest_file(spark, db, landing):
     assert rows(statuses) == [("snap_1.csv", "SUCCESS"), ("snap_2.csv", "SUCCESS"), ("snap_3.csv", "FAILED")]
 
 
+def test_appends_after_a_replacing_file_stay(spark, db, landing):
+    targets = flow.IngestTargets(ledger=f"{db}.ingestion_log")
+    rules = spark.table(f"{db}.rules").withColumn(
+        "target_table", F.when(F.col("file_pattern") == "bare_", "snap_raw").otherwise(F.col("target_table"))
+    )
+    for i, (name, content) in enumerate([("bare_2.csv", "old,1\n"), ("snap_1.csv", "a,b\nsnap,1\n"), ("bare_3.csv", "new,1\n")]):
+        (landing / name).write_text(content)
+        os.utime(landing / name, (1900000000 + i, 1900000000 + i))
+    flow.ingest(spark, files.list_files(spark, str(landing)), rules, targets, as_of=AS_OF)
+    assert rows(spark.table(f"{db}.snap_raw").select("a", "b")) == [("new", "1"), ("snap", "1")]
+
+
+def test_ingest_goes_on_after_a_crash(spark, db, landing, tmp_path, monkeypatch):
+    targets = flow.IngestTargets(ledger=f"{db}.ingestion_log")
+    load, done = flow._load_group, []
+
+    def crash_on_third(*args):
+        if len(done) == 2:
+            raise RuntimeError("lost")
+        done.append(args[1]["paths"])
+        return load(*args)
+
+    def run():
+        listed = files.list_files(spark, str(landing))
+        flow.ingest(spark, listed, spark.table(f"{db}.rules"), targets, as_of=AS_OF, batch_id="b1")
+
+    monkeypatch.setattr(flow, "_load_group", crash_on_third)
+    with pytest.raises(RuntimeError):
+        run()
+    monkeypatch.setattr(flow, "_load_group", load)
+    run()
+    check_ledger(spark, db)
+
+
 def test_ingest_nothing(spark, db, landing):
     targets = flow.IngestTargets(ledger=f"{db}.ingestion_log")
     none = files.list_files(spark, str(landing)).where("false")
