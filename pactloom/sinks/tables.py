@@ -110,6 +110,7 @@ def incremental_merge(
 ) -> None:
     """Takes the rows past the mart's high-water mark and replaces rows of the same key."""
     spark = source.sparkSession
+    recover_table(spark, table)
     if not spark.catalog.tableExists(table):
         append_table(source, table, partition_by=partition_by)
         return
@@ -137,6 +138,7 @@ def resume_merge(
     spark: SparkSession, table: str, keys: Sequence[str], *, partition_by: str | None = BATCH_DATE
 ) -> None:
     """Finishes a merge that was interrupted, if there is one."""
+    recover_table(spark, table)
     pending = f"{table}__batch"
     if spark.catalog.tableExists(pending):
         _merge_stored(spark, pending, table, keys, partition_by)
@@ -148,35 +150,49 @@ def _merge_stored(spark: SparkSession, pending: str, table: str, keys: Sequence[
         _merge_by_partition(batch, table, keys, partition_by)
     else:
         swap_table(upsert_by_key(spark.table(table), batch, keys), table)
-    spark.sql(f"DROP TABLE IF EXISTS {pending}")
+    drop_tables(spark, [pending])
 
 
 def _merge_by_partition(batch: DataFrame, table: str, keys: Sequence[str], partition_by: str) -> None:
     """Rewrites only partitions that hold a key of the batch, or that the batch adds to.
 
-    Finding them reads the key columns alone; all other partitions stay as
-    they are.
+    Finding them reads the key columns alone; all other partitions stay as they
+    are. The new partitions are stored before they replace the old ones, and a
+    run that finds them stored goes on from there: an interrupted replacement
+    may have removed rows that exist nowhere else.
     """
     spark = batch.sparkSession
-    target = spark.table(table)
-    batch_keys = batch.select(*keys)
-    old = target.select(*keys, partition_by).join(batch_keys, list(keys), "left_semi").select(partition_by)
-    touched = [r[0] for r in old.unionByName(batch.select(partition_by)).distinct().collect()]
-    if not touched:
-        return
-    names = [v for v in touched if v is not None]
-    within = F.col(partition_by).isin(names)
-    if None in touched:
-        within = within | F.col(partition_by).isNull()
-    merged = upsert_by_key(target.where(within), batch, keys)
     rebuilt = f"{table}__rebuilt"
-    spark.sql(f"DROP TABLE IF EXISTS {rebuilt}")
-    merged.write.partitionBy(partition_by).saveAsTable(rebuilt, format="parquet", mode="overwrite")
-    filled = {r[0] for r in spark.table(rebuilt).select(partition_by).distinct().collect()}
-    _overwrite_partitions(spark.table(rebuilt).select(*target.columns), table)
-    for value in (v for v in names if v not in filled):
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_by} = '{value}')")
-    spark.sql(f"DROP TABLE IF EXISTS {rebuilt}")
+    touched = None
+    if not spark.catalog.tableExists(rebuilt):
+        target = spark.table(table)
+        touched = _partitions_with_keys(target, batch, keys, partition_by)
+        added = {r[0] for r in batch.select(partition_by).distinct().collect()}
+        merged = upsert_by_key(target.where(_in_partitions(touched | added, partition_by)), batch, keys)
+        merged.write.partitionBy(partition_by).saveAsTable(rebuilt, format="parquet", mode="overwrite")
+    fresh = spark.table(rebuilt)
+    filled = {r[0] for r in fresh.select(partition_by).distinct().collect()}
+    _overwrite_partitions(fresh.select(*spark.table(table).columns), table)
+    if touched is None:
+        touched = _partitions_with_keys(spark.table(table), batch, keys, partition_by)
+    for value in touched - filled:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_by} = {_partition_literal(value)})")
+    drop_tables(spark, [rebuilt])
+
+
+def _partitions_with_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str], partition_by: str) -> set:
+    matching = target.select(*keys, partition_by).join(batch.select(*keys), list(keys), "left_semi")
+    return {r[0] for r in matching.select(partition_by).distinct().collect()}
+
+
+def _in_partitions(values: set, partition_by: str) -> Column:
+    column = F.col(partition_by)
+    within = column.isin([v for v in values if v is not None])
+    return within | column.isNull() if None in values else within
+
+
+def _partition_literal(value) -> str:
+    return "NULL" if value is None else f"'{value}'"
 
 
 def _overwrite_partitions(df: DataFrame, table: str) -> None:
@@ -194,12 +210,18 @@ def swap_table(df: DataFrame, table: str) -> None:
     """Replaces a table by a result that reads it: written beside it, then renamed."""
     spark = df.sparkSession
     fresh, old = f"{table}__next", f"{table}__old"
-    for leftover in (fresh, old):
-        spark.sql(f"DROP TABLE IF EXISTS {leftover}")
+    drop_tables(spark, [fresh, old])
     df.write.saveAsTable(fresh, format="parquet", mode="overwrite")
     spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
-    spark.sql(f"DROP TABLE {old}")
+    drop_tables(spark, [old])
+
+
+def recover_table(spark: SparkSession, table: str) -> None:
+    """Brings back a table whose swap stopped between the two renames."""
+    for beside in (f"{table}__next", f"{table}__old"):
+        if not spark.catalog.tableExists(table) and spark.catalog.tableExists(beside):
+            spark.sql(f"ALTER TABLE {beside} RENAME TO {table}")
 
 
 def archive_history(
@@ -217,6 +239,7 @@ def archive_history(
     bounds the move by the staged high-water mark; rows that landed later stay
     in the raw table.
     """
+    _finish_emptying(spark, raw_table)
     raw = spark.table(raw_table)
     leaving = raw if up_to is None else raw.where(F.col(PROCESSED) <= F.lit(up_to).cast("timestamp"))
     if business_columns is not None:
@@ -229,8 +252,23 @@ def archive_history(
     later = raw.where((F.col(PROCESSED) > F.lit(up_to).cast("timestamp")) | F.col(PROCESSED).isNull())
     held = f"{raw_table}__held"
     later.write.saveAsTable(held, format="parquet", mode="overwrite")
-    _overwrite_all(spark.table(held).select(*raw.columns), raw_table)
-    spark.sql(f"DROP TABLE IF EXISTS {held}")
+    _put_back(spark, held, raw_table)
+
+
+def _put_back(spark: SparkSession, held: str, raw_table: str) -> None:
+    _overwrite_all(spark.table(held).select(*spark.table(raw_table).columns), raw_table)
+    drop_tables(spark, [held])
+
+
+def _finish_emptying(spark: SparkSession, raw_table: str) -> None:
+    """Puts back the rows an interrupted archive held, beside those that landed since."""
+    held = f"{raw_table}__held"
+    recover_table(spark, held)
+    if spark.catalog.tableExists(held):
+        kept = spark.table(held)
+        landed = not_yet_archived(spark.table(raw_table), kept, kept.columns)
+        swap_table(kept.unionByName(landed.select(*kept.columns)), held)
+        _put_back(spark, held, raw_table)
 
 
 def expire_partitions(

@@ -80,20 +80,62 @@ def test_merge(spark, db, partition_by):
         assert kept == {"batch_date=2024-01-02", "batch_date=2024-01-03", "batch_date=2024-01-04"}
 
 
-def test_merge_finishes_an_interrupted_run(spark, db, monkeypatch):
+class Lost(RuntimeError):
+    pass
+
+
+def broken(function, before):
+    """The function, failing before it starts or right after it is done."""
+
+    def run(*args, **kwargs):
+        if not before:
+            function(*args, **kwargs)
+        raise Lost
+
+    return run
+
+
+@pytest.mark.parametrize("before", [True, False])
+@pytest.mark.parametrize("step", ["_merge_stored", "_overwrite_partitions", "drop_tables"])
+def test_merge_finishes_an_interrupted_run(spark, db, monkeypatch, step, before):
     table = f"{db}.fct"
-    sinks.append_table(mart_rows(spark, (1, "a", 1, 1), (2, "a", 2, 1)), table)
-    overwrite = sinks._overwrite_partitions
+    sinks.append_table(mart_rows(spark, (1, "a", 1, 1), (2, "a", 2, 1), (3, "a", 2, 1)), table)
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks, step, broken(getattr(sinks, step), before))
+        with pytest.raises(Lost):
+            sinks.incremental_merge(mart_rows(spark, (1, "b", 4, 1), (3, "b", 4, 1)), table, ["k"])
+    sinks.incremental_merge(mart_rows(spark, (4, "c", 5, 1)), table, ["k"])
+    assert rows(spark.table(table).select("k", "v")) == [(1, "b"), (2, "a"), (3, "b"), (4, "c")]
+    assert len(spark.catalog.listTables(db)) == 1
+
+
+def test_merge_recovers_a_half_replaced_partition(spark, db, monkeypatch):
+    """The old partition is gone and the new one has not arrived when the run stops."""
+    table = f"{db}.fct"
+    sinks.append_table(mart_rows(spark, (1, "a", 1, 1), (2, "a", 1, 1)), table)
 
-    def stop_half_way(df, name):
-        overwrite(df, name)
-        raise RuntimeError("lost")
+    def lose(df, name):
+        spark.sql(f"ALTER TABLE {name} DROP PARTITION (batch_date = '2024-01-01')")
+        raise Lost
 
-    monkeypatch.setattr(sinks, "_overwrite_partitions", stop_half_way)
-    with pytest.raises(RuntimeError):
-        sinks.incremental_merge(mart_rows(spark, (1, "b", 4, 1)), table, ["k"])
-    monkeypatch.setattr(sinks, "_overwrite_partitions", overwrite)
-    sinks.incremental_merge(mart_rows(spark, (1, "b", 4, 1)), table, ["k"])
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks, "_overwrite_partitions", lose)
+        with pytest.raises(Lost):
+            sinks.incremental_merge(mart_rows(spark, (1, "b", 4, 1)), table, ["k"])
+    sinks.resume_merge(spark, table, ["k"])
+    assert rows(spark.table(table).select("k", "v")) == [(1, "b"), (2, "a")]
+
+
+@pytest.mark.parametrize("renames", [0, 1])
+def test_swap_recovers(spark, db, renames):
+    table = f"{db}.fct"
+    first, second = mart_rows(spark, (1, "a", 1, 1), (2, "a", 1, 1)), mart_rows(spark, (1, "b", 4, 1))
+    sinks.append_table(first, table, partition_by=None)
+    second.write.saveAsTable(f"{table}__batch")
+    spark.table(table).write.saveAsTable(f"{table}__next")
+    if renames:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {table}__old")
+    sinks.incremental_merge(second, table, ["k"], partition_by=None)
     assert rows(spark.table(table).select("k", "v")) == [(1, "b"), (2, "a")]
 
 
@@ -128,6 +170,27 @@ def test_archive_is_bounded_and_idempotent(spark, raw):
     assert (spark.table(raw).count(), spark.table(history).count()) == (0, 4)
 
 
+@pytest.mark.parametrize("emptied", [True, False])
+def test_archive_finishes_an_interrupted_run(spark, raw, monkeypatch, emptied):
+    history = raw + "_hist"
+    sinks.append_raw(batch(spark, ("a", "1")), raw, AS_OF)
+    sinks.append_raw(batch(spark, ("late", "9"), ("late", "9")), raw, "2024-01-07 13:00:00")
+
+    def lose(df, table):
+        if emptied:
+            spark.sql(f"TRUNCATE TABLE {table}")
+        raise Lost
+
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks, "_overwrite_all", lose)
+        with pytest.raises(Lost):
+            sinks.archive_history(spark, raw, history, "2024-01-07", business_columns=["k", "v"], up_to=AS_OF)
+    sinks.append_raw(batch(spark, ("new", None)), raw, "2024-01-07 14:00:00")
+    sinks.archive_history(spark, raw, history, "2024-01-08", business_columns=["k", "v"], up_to=AS_OF)
+    assert rows(spark.table(raw).select("k")) == [("late",), ("late",), ("new",)]
+    assert rows(spark.table(history).select("k")) == [("a",)]
+
+
 def test_retention_drops_whole_partitions(spark, db):
     table = f"{db}.hist"
     sinks.append_table(mart_rows(spark, (1, "a", 1, 1), (2, "a", 2, 1)), table)
