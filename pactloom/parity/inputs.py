@@ -36,6 +36,13 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/files/{name}-{uuid.uuid4().hex[:8]}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table, for queries that read it more than once, as they would in use."""
+    target = folder(df.sparkSession, name)
+    df.write.parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)
+
+
 def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty text rows of the orders; every tenth order has a later version."""
     orders = table(spark, sf_dir, "orders")

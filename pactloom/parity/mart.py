@@ -11,7 +11,6 @@ from pactloom.parity import inputs
 from pactloom.parity.case import Case
 from pactloom.parity.inputs import AS_OF, AS_OF_DATE, BUSINESS, ORDERS_RAW, SECOND_LOAD, STG_ORDERS, WITH_RAW, typed_sql
 from pactloom.parity.staging import stg_orders
-from pactloom.session import cut_lineage
 from pactloom.sinks import tables as sinks
 from pactloom.sources.tables import create_table
 
@@ -70,8 +69,8 @@ def _incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = cut_lineage(first_mart(spark, sf_dir))
-    batch = cut_lineage(mart.incremental_filter(stg_orders(spark, sf_dir), target))
+    target = inputs.stored(first_mart(spark, sf_dir), "upsert_target")
+    batch = inputs.stored(mart.incremental_filter(stg_orders(spark, sf_dir), target), "upsert_batch")
     return mart.upsert_by_key(target, batch, ["order_id"])
 
 

@@ -77,11 +77,12 @@ def _assert_custom_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _assertion_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.assertion_report(stg_orders(spark, sf_dir), _rules())
+    return quality.assertion_report(inputs.stored(stg_orders(spark, sf_dir), "assertion_report"), _rules())
 
 
 def _check_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return check_report(stg_orders(spark, sf_dir), "stg_orders", orders_contract(), STALE)
+    staged = inputs.stored(stg_orders(spark, sf_dir), "check_report")
+    return check_report(staged, "stg_orders", orders_contract(), STALE)
 
 
 def _quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
