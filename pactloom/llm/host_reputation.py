@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactloom.llm.common import table
+from pactloom.llm.common import stored, table
 
 #: (host, path, verdict), as the contract of the query fixes them.
 RULES = (
@@ -92,7 +92,8 @@ def host_reputation(pages: DataFrame, labels: DataFrame) -> DataFrame:
         F.element_at(parts, -1).alias("suffix"),
         "n",
         "bad",
-    ).persist()
+    )
+    seen = stored(seen, "hosts")
     total = seen.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     overall = ((total["bad"] or 0) + 0.5) / ((total["n"] or 0) + 1.0)
 

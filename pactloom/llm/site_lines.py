@@ -69,7 +69,7 @@ counts AS (SELECT host, line, count(*) AS n FROM (SELECT host, unnest(list_disti
            WHERE line <> '' GROUP BY host, line),
 boiler AS (SELECT host, list(line) AS gone FROM counts JOIN totals USING (host)
            WHERE n >= {MIN_PAGES} AND n > {RATIO}::DOUBLE * pages GROUP BY host),
-kept AS (SELECT doc_id, text, lines, list_filter(lines, x -> NOT list_contains(coalesce(gone, []), x)) AS rest
+kept AS (SELECT doc_id, text, lines, list_filter(lines, lambda x: NOT list_contains(coalesce(gone, []), x)) AS rest
          FROM split LEFT JOIN boiler USING (host))
 SELECT doc_id, coalesce(len(lines), 0) AS n_lines, coalesce(len(lines) - len(rest), 0) AS n_dropped,
        CASE WHEN text IS NOT NULL THEN coalesce(array_to_string(rest, chr(10)), '') END AS text FROM kept
