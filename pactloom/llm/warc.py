@@ -219,7 +219,8 @@ def read_archives(manifest: DataFrame, folder: str, texts: bool = False) -> Data
     Each file is read as a stream, a record at a time; payloads are held against their digests.
     """
     prepare(manifest.sparkSession)
-    files = manifest.select("archive").repartition("archive")
+    # A number of partitions that adaptive execution leaves as it is: the rows are small, the files behind them aren't.
+    files = manifest.select("archive").repartition(max(1, manifest.count()))
     return files.mapInArrow(_read(folder, texts), READ + ", html string" * texts)
 
 
