@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pactloom.llm.common import table
+from pactloom.llm.common import stored, table
 
 #: Words of a gram, and grams of a window (a power of two): 12 words in common always share a fingerprint.
 GRAM = 5
@@ -105,7 +105,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     # The first document of the next group visits, to be the next of the group's last.
     firsts = own.groupBy("g").agg(F.min("k").alias("k"))
     after = successors(firsts.select(F.col("g").alias("id")))
-    visits = after.join(firsts.select(F.col("g").alias("next"), "k"), "next").select("k", F.col("id").alias("g"))
+    # Written down, so that its size is known and a small one is broadcast instead of shuffling the texts to it.
+    visits = stored(after.join(firsts.select(F.col("g").alias("next"), "k"), "next").select("k", F.col("id").alias("g")), "visits")
     guests = own.drop("g").join(visits, "k").withColumn("guest", F.lit(True))
     order = ["g", "guest", "k", "text"]
     rows = own.unionByName(guests).repartition("g").sortWithinPartitions(*order)
