@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pactloom.session import scratch_root
 
@@ -18,6 +19,9 @@ BATCH_ROWS = 256
 #: Bytes of text that are turned into arrays at once inside a task.
 CHUNK_BYTES = 2_000_000
 
+#: Bits of the bitmap that ``listed`` holds keys against (2 MB), however many keys there are.
+FILTER_BITS = 24
+
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -131,3 +135,27 @@ def window_hashes(words: np.ndarray, owner: np.ndarray, width: int) -> tuple[np.
         hashes.append(np.array([value], np.uint64))
         owners.append(np.array([t], owner.dtype))
     return mix(np.concatenate(hashes)), np.concatenate(owners)
+
+
+def _slot(key: str):
+    return F.shiftrightunsigned(F.xxhash64(key), 64 - FILTER_BITS).cast("int")
+
+
+def listed(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``rows`` without most of those whose ``key`` isn't in ``keys``: what a join with ``keys`` needs, before its shuffle.
+
+    Tasks look into a bitmap of fixed size over a hash of the keys; at most 2^24 slots come to the driver. Where there
+    are so many keys that all bits are set, all rows stay and the join alone decides.
+    """
+    slots = keys.select(_slot(key).alias("slot")).distinct().toPandas()["slot"].to_numpy(np.int64)
+    bits = np.zeros(1 << FILTER_BITS, bool)
+    bits[slots] = True
+    held = rows.sparkSession.sparkContext.broadcast(np.packbits(bits).tobytes())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.unpackbits(np.frombuffer(held.value, np.uint8)).astype(bool)
+        for batch in batches:
+            fine = pa.array(known[batch.column("_slot").to_numpy()])
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1], batch.schema.names[:-1]).filter(fine)
+
+    return rows.withColumn("_slot", _slot(key)).mapInArrow(run, rows.schema)

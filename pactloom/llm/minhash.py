@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pactloom.llm.common import GOLDEN, mix, prepare, stored, table, text_chunks, uniform, window_hashes, word_hashes
+from pactloom.llm.common import GOLDEN, listed, mix, prepare, stored, table, text_chunks, uniform, window_hashes, word_hashes
 from pactloom.llm.graph import components
 
 WORDS = 5
@@ -225,9 +225,9 @@ def near_copies(docs: DataFrame, words: int = WORDS, at_least: float = SIMILARIT
     )
     heads = stored(heads, "heads")
     pairs = stored(candidate_pairs(heads), "pairs")
-    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    ends = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "pair-ends")
     # A repeated doc_id may stand for several texts; one of them, the same each time, is compared.
-    texts = docs.join(ends, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    texts = listed(docs, ends, "doc_id").join(ends, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
     texts = stored(texts, "pair-texts")
 
     best = F.max(F.struct("shared", (-F.col("other")).alias("other")))

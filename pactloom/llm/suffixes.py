@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactloom.llm.common import CHUNK_BYTES, GOLDEN, mix, prepare, stored, table
+from pactloom.llm.common import CHUNK_BYTES, GOLDEN, listed, mix, prepare, stored, table
 from pactloom.llm.suffix_array import repeated
 
 WIDTH = 200
@@ -24,7 +24,6 @@ WIDTH = 200
 GROUP = 4096
 #: Bytes of contexts that one suffix array is built over.
 SHARD_BYTES = 2_000_000
-FILTER_BITS = 24
 
 
 def window_hash(values: np.ndarray, width: int) -> np.ndarray:
@@ -168,29 +167,6 @@ def _sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield judged(held, start, True)
 
 
-def _bits(values: DataFrame, column: str) -> bytes:
-    """A bitmap of fixed size over the first bits of ``column``: at most 2^24 slots come to the driver."""
-    slots = values.select(F.shiftrightunsigned(F.xxhash64(column), 64 - FILTER_BITS).cast("int").alias("slot")).distinct().toPandas()
-    bits = np.zeros(1 << FILTER_BITS, bool)
-    bits[slots["slot"].to_numpy(np.int64)] = True
-    return np.packbits(bits).tobytes()
-
-
-def _marked(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """``rows`` with a column ``listed``: false for most of those whose ``key`` isn't in ``keys``."""
-    held = rows.sparkSession.sparkContext.broadcast(_bits(keys, key))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(held.value, np.uint8)).astype(bool)
-        for batch in batches:
-            slot = batch.column("_slot").to_numpy()
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(bits[slot])], [*batch.schema.names[:-1], "listed"])
-
-    slotted = rows.withColumn("_slot", F.shiftrightunsigned(F.xxhash64(key), 64 - FILTER_BITS).cast("int"))
-    schema = rows.withColumn("listed", F.lit(True)).schema
-    return slotted.mapInArrow(run, schema)
-
-
 def _cut(width: int):
     """Per record the bytes of its context, and where it begins; records are sorted by text."""
 
@@ -221,7 +197,7 @@ CUT = "tid long, key long, at long, lo long, hi long, begin long, bytes binary"
 def contexts(texts: DataFrame, records: DataFrame, width: int) -> DataFrame:
     """The bytes around each of ``records (tid, key, at, lo, hi)``: strings that begin from ``at + lo`` to ``at + hi``."""
     places = records.groupBy("tid").agg(F.collect_list(F.struct("key", "at", "lo", "hi")).alias("places"))
-    wanted = _marked(texts, records, "tid").where("listed").drop("listed")
+    wanted = listed(texts, records, "tid")
     # Copies of a text meet once: each task brings one of them.
     wanted = wanted.groupBy("tid").agg(F.first("text").alias("text"))
     return wanted.join(places, "tid").select("tid", "text", "places").mapInArrow(_cut(width), CUT)
@@ -379,7 +355,7 @@ def duplicate_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         "tid", F.coalesce("n", F.lit(1)).alias("n"), F.transform("p", lambda x: x["begin"]).alias("begins"), F.transform("p", lambda x: x["end"]).alias("ends")
     )
     pieces = stored(pieces, "pieces")
-    marked = _marked(texts, pieces, "tid").where("listed").groupBy("tid").agg(F.first("text").alias("text"))
+    marked = listed(texts, pieces, "tid").groupBy("tid").agg(F.first("text").alias("text"))
     removed = marked.join(pieces, "tid").select("tid", "n", "text", "begins", "ends").mapInArrow(
         _removed, "tid long, n_removed long, n_spans long, kept_sha256 string, spans array<long>"
     )
