@@ -78,7 +78,7 @@ class RowRule:
 @dataclass(frozen=True)
 class Rules:
     non_null: tuple[str, ...]
-    unique_key: tuple[str, ...]
+    unique_keys: tuple[tuple[str, ...], ...]
     row_conditions: tuple[RowRule, ...]
 
 
@@ -220,9 +220,13 @@ def _row_rule(column: ContractColumn, test: ColumnTest) -> RowRule:
 
 
 def contract_rules(contract: Contract) -> Rules:
-    """The same checks serve the staging and the mart table of an entity."""
+    """The same checks serve the staging and the mart table of an entity.
+
+    Each unique column is a key of its own, and the primary key is one, be it of one column or of several.
+    """
+    primary = tuple(c.name for c in contract.columns if c.primary_key)
     return Rules(
         non_null=tuple(c.name for c in contract.columns if c.not_null),
-        unique_key=tuple(c.name for c in contract.columns if c.unique),
+        unique_keys=tuple(dict.fromkeys([*[(c.name,) for c in contract.columns if c.unique], *filter(None, [primary])])),
         row_conditions=tuple(_row_rule(c, t) for c in contract.columns for t in c.tests),
     )

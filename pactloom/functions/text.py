@@ -18,8 +18,8 @@ WHITESPACE = rf"[ \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0{_RARE_SPACE}]+"
 
 
 def norm_blank(col: Column) -> Column:
-    """Trimmed text; NULL for blank text and for the word ``nan``."""
-    trimmed = F.trim(col)
+    """Text without white space at either end; NULL for blank text and for the word ``nan``."""
+    trimmed = F.regexp_replace(col, f"^{WHITESPACE}|{WHITESPACE}$", "")
     return F.when(~F.lower(trimmed).isin("", "nan"), trimmed)
 
 

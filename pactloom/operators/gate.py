@@ -69,14 +69,9 @@ def too_large(row_count: Column, cost: Column) -> Column:
     return (row_count > PREVIEW_ROWS) | (cost > MAX_COST)
 
 
-def size_gate(spark: SparkSession, sql: str, *, exact: bool = False) -> Gate:
-    """Whether a query needs a confirmation.
-
-    Counting stops one row past the limit unless ``exact`` asks for the full
-    number, so asking about a huge result stays cheap.
-    """
-    df = spark.sql(sql)
-    rows = df.count() if exact else df.limit(PREVIEW_ROWS + 1).count()
+def size_gate(spark: SparkSession, sql: str) -> Gate:
+    """Whether a query needs a confirmation: how many rows it returns, all of them counted, and what it costs."""
+    rows = count_rows(spark, sql).first()["cnt"]
     cost = scan_price(estimated_bytes(spark, sql))
     return Gate(rows, cost, rows > PREVIEW_ROWS or cost > MAX_COST)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pactloom.contract import BATCH_DATE, PROCESSED
 from pactloom.functions.predicates import any_null
+from pactloom.operators.staging import latest_per_key
 
 EPOCH = "1970-01-01 00:00:00"
 RETENTION_DAYS = 30
@@ -44,16 +45,24 @@ def incremental_filter(
 
 
 def upsert_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows whose key is not in the source, and all source rows.
+    """Target rows whose key is not in the source, and the source rows, the newest of each key.
+
+    Newest is the greatest processing time, where the source has one. Without keys nothing is replaced: all rows of
+    both sides stay.
 
     A NULL key matches nothing, so such rows stay and are added to. Since they
     need no partner they are spread over many tasks, however many there are;
     keys with many rows are left to adaptive skew handling, which splits the
     kept side of an anti join.
     """
+    if not keys:
+        return target.unionByName(source.select(*target.columns))
     no_key = any_null(keys)
+    keyed = source.where(~no_key)
+    keyed = latest_per_key(keyed, keys) if PROCESSED in source.columns else keyed.dropDuplicates([*keys])
+    source = keyed.unionByName(source.where(no_key))
     spread = F.when(no_key, 1 + F.pmod(F.spark_partition_id(), F.lit(NULL_KEY_TASKS))).otherwise(0)
-    replaced = source.where(~no_key).select(*keys, F.lit(0).alias("_spread"))
+    replaced = keyed.select(*keys, F.lit(0).alias("_spread"))
     kept = target.withColumn("_spread", spread).join(replaced, [*keys, "_spread"], "left_anti")
     return kept.select(*target.columns).unionByName(source.select(*target.columns))
 

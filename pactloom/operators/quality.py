@@ -63,7 +63,7 @@ def assertion_report(
     """Failing rows per rule, and one row for every objective that is missed.
 
     All row rules and objectives come from one scan, uniqueness from one of
-    the key columns. A row counts as complete when it meets the not-null rules.
+    each key's columns. A row counts as complete when it meets the not-null rules.
     """
     checks = [("nonNull", c, F.col(f"`{c}`").isNull()) for c in rules.non_null]
     checks += [("rowCondition", r.name, ~r.condition) for r in rules.row_conditions]
@@ -83,17 +83,15 @@ def assertion_report(
         F.struct(F.lit(kind).alias("rule_type"), F.lit(name).alias("rule_name"), failing.alias("failing_rows"))
         for kind, name, failing in lines
     ]
-    report = facts.select(F.inline(F.array(*rows))).where("failing_rows IS NOT NULL")
-    if not rules.unique_key:
-        return report
-    unique = duplicate_keys(df, rules.unique_key).agg(F.count(F.lit(1)).alias("failing_rows"))
-    return report.unionByName(
-        unique.select(
-            F.lit("uniqueKey").alias("rule_type"),
-            F.lit(",".join(rules.unique_key)).alias("rule_name"),
-            "failing_rows",
-        )
-    )
+    if rows:
+        report = facts.select(F.inline(F.array(*rows))).where("failing_rows IS NOT NULL")
+    else:
+        report = df.sparkSession.createDataFrame([], "rule_type string, rule_name string, failing_rows bigint")
+    for key in rules.unique_keys:
+        unique = duplicate_keys(df, key).agg(F.count(F.lit(1)).alias("failing_rows"))
+        name = F.lit(",".join(key)).alias("rule_name")
+        report = report.unionByName(unique.select(F.lit("uniqueKey").alias("rule_type"), name, "failing_rows"))
+    return report
 
 
 def _missed(condition: Column) -> Column:

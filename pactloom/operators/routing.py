@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,8 +47,8 @@ RULE_COLUMNS = (
     "created_at",
 )
 
-# Up to this many rules, patterns are literals of the plan; past it they are a table.
-LITERAL_RULES = 2000
+# Rules of one CASE expression; further ones follow in the next.
+RULES_PER_CASE = 500
 
 
 def skip_paths(files: DataFrame, name: str = "file_name") -> DataFrame:
@@ -75,11 +78,6 @@ def complete_rules(registry: DataFrame) -> DataFrame:
     return registry.withColumns(missing) if missing else registry
 
 
-def _precedence(rule: Row) -> tuple:
-    rest = [(rule[c] is not None, str(rule[c])) for c in RULE_COLUMNS]
-    return (rule["created_at"] is None, str(rule["created_at"]), rule["file_pattern"], rest)
-
-
 def _rule_struct(rules: DataFrame) -> Column:
     """A rule as a struct that sorts by precedence: oldest first, then by pattern."""
     rest = [c for c in RULE_COLUMNS if c not in ("created_at", "file_pattern")]
@@ -88,63 +86,52 @@ def _rule_struct(rules: DataFrame) -> Column:
     )
 
 
+def sound_rules(registry: DataFrame) -> tuple[list[Row], list[Row]]:
+    """Active rules in order of precedence, and those that can't be applied: their pattern is NULL or no regex."""
+    rules = active_rules(complete_rules(registry)).select(*RULE_COLUMNS)
+    ordered = [r for r in rules.orderBy(_rule_struct(rules)).collect()]
+    compile_pattern = registry.sparkSession._jvm.java.util.regex.Pattern.compile
+
+    def compiles(rule: Row) -> bool:
+        try:
+            return rule["file_pattern"] is not None and compile_pattern(rule["file_pattern"]) is not None
+        except (Py4JJavaError, IllegalArgumentException):
+            return False
+
+    sound = [r for r in ordered if compiles(r)]
+    return sound, [r for r in ordered if r not in sound]
+
+
 def route_files(files: DataFrame, registry: DataFrame, name: str = "file_name") -> DataFrame:
     """Adds the first active rule whose pattern is found in the name; NULLs where none is.
 
-    ``name`` must be unique. The registry is a small table people maintain, and
-    its size is checked: up to ``LITERAL_RULES`` patterns become one CASE
-    expression, so routing needs no join and each pattern compiles once. A
-    larger registry is joined slice by slice, each slice within that bound;
-    that is slower, since patterns then compile per pair.
+    The registry is a table that people maintain. Its rules, in the order Spark sorts them, become CASE expressions
+    of ``RULES_PER_CASE`` patterns, tried one after the other, so routing needs no join with the files and each
+    pattern compiles once, for any number of rules. Rules without a pattern or with one that is no regex match
+    nothing and are warned about; the others apply.
     """
-    rules = active_rules(complete_rules(registry)).select(*RULE_COLUMNS)
-    head = rules.limit(LITERAL_RULES + 1).collect()
-    if len(head) <= LITERAL_RULES:
-        return _route_by_case(files, rules, head, name)
-    return _route_by_slices(files, rules, name)
-
-
-def _route_by_case(files: DataFrame, rules: DataFrame, rows: list[Row], name: str) -> DataFrame:
-    ordered = sorted(rows, key=_precedence)
-    types = {f.name: f.dataType for f in rules.schema}
+    ordered, unsound = sound_rules(registry)
+    for rule in unsound:
+        warnings.warn(f"rule of {rule['target_table']} is left out: {rule['file_pattern']!r} is no pattern", stacklevel=2)
+    schema = active_rules(complete_rules(registry)).select(*RULE_COLUMNS).schema
     if not ordered:
-        return files.withColumns({c: F.lit(None).cast(types[c]) for c in RULE_COLUMNS})
-    tests = [f"WHEN `{name}` RLIKE {_literal(r['file_pattern'])} THEN {i}" for i, r in enumerate(ordered)]
-    numbered = rules.sparkSession.createDataFrame(
-        [(i, *r) for i, r in enumerate(ordered)], T.StructType([T.StructField("_rule", T.IntegerType()), *rules.schema])
+        return files.withColumns({f.name: F.lit(None).cast(f.dataType) for f in schema})
+    blocks = []
+    for start in range(0, len(ordered), RULES_PER_CASE):
+        part = enumerate(ordered[start : start + RULES_PER_CASE], start)
+        tests = [f"WHEN `{name}` RLIKE {_literal(r['file_pattern'])} THEN {i}" for i, r in part]
+        blocks.append(F.expr(f"CASE {' '.join(tests)} END"))
+    numbered = registry.sparkSession.createDataFrame(
+        [(i, *r) for i, r in enumerate(ordered)], T.StructType([T.StructField("_rule", T.IntegerType()), *schema])
     )
-    matched = files.withColumn("_rule", F.expr(f"CASE {' '.join(tests)} END"))
-    routed = matched.join(F.broadcast(numbered), "_rule", "left")
-    return routed.select(*files.columns, *RULE_COLUMNS)
+    matched = files.withColumn("_rule", F.coalesce(*blocks))
+    return matched.join(numbered, "_rule", "left").select(*files.columns, *RULE_COLUMNS)
 
 
 def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _route_by_slices(files: DataFrame, rules: DataFrame, name: str) -> DataFrame:
-    """Exact for a registry of any size.
-
-    The registry is halved by pattern hash until each slice is within the
-    bound; every file keeps the minimum over its matches, combined before the
-    shuffle.
-    """
-    struct = _rule_struct(rules)
-    pending, hits = [(1, 0)], []
-    while pending:
-        parts, index = pending.pop()
-        part = rules.where(F.pmod(F.xxhash64("file_pattern"), F.lit(parts)) == index)
-        distinct_patterns = part.groupBy("file_pattern").agg(F.min(struct).alias("rule"))
-        if distinct_patterns.limit(LITERAL_RULES + 1).count() > LITERAL_RULES:
-            pending += [(parts * 2, index), (parts * 2, index + parts)]
-            continue
-        small = F.broadcast(distinct_patterns.withColumnRenamed("file_pattern", "_pattern"))
-        hits.append(files.select(name).join(small, F.regexp(F.col(name), F.col("_pattern"))).select(name, "rule"))
-    best = reduce(DataFrame.unionByName, hits).groupBy(name).agg(F.min("rule").alias("_rule"))
-    routed = files.join(best, name, "left")
-    return routed.select(*[files[c] for c in files.columns], *[F.col(f"_rule.{c}").alias(c) for c in RULE_COLUMNS])
-
-
 def archive_folder(status: Column) -> Column:
     return (
         F.when(status == SUCCESS, F.lit(PROCESSED_FOLDER))

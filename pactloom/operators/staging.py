@@ -21,11 +21,13 @@ def latest_per_key(
     order_by: Sequence[str | Column] = (PROCESSED,),
     tie_break: Sequence[str | Column] = (),
 ) -> DataFrame:
-    """One row per key: the one with the greatest ``order_by``, NULLs last.
+    """One row per key: the one with the greatest ``order_by``, NULLs last. Without keys every row stays.
 
     The rank filter becomes a group limit on both sides of the shuffle, so each
     task sends at most one row per key however many versions a key has.
     """
+    if not keys:
+        return df
     ordering = [_as_column(c).desc_nulls_last() for c in (*order_by, *tie_break)]
     window = Window.partitionBy(*[_as_column(k) for k in keys]).orderBy(*ordering)
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
@@ -56,7 +58,7 @@ def stage(
 
     Versions are compared on the raw key text, so ``7`` and ``007`` are two
     keys; ``typed_key`` compares the cast values instead. Casts run after the
-    versions are settled and so only on rows that stay.
+    versions are settled and so only on rows that stay. A contract without a key has no versions: all rows stay.
     """
     types = {c.name: c.type for c in contract.columns}
     keys = [safe_cast(F.col(f"`{k}`"), types[k]) if typed_key else F.col(f"`{k}`") for k in contract.key]

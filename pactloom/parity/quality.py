@@ -61,7 +61,7 @@ def _unique_key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _assert_unique_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.duplicate_keys(stg_orders(spark, sf_dir), _rules().unique_key)
+    return quality.duplicate_keys(stg_orders(spark, sf_dir), _rules().unique_keys[0])
 
 
 def _assert_non_null(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,12 +31,18 @@ def refresh_staging(spark: SparkSession, names: EntityTables, contract: Contract
 
 
 def refresh_mart(
-    spark: SparkSession, names: EntityTables, contract: Contract, as_of: str | None = None, *, merge: bool = True
+    spark: SparkSession,
+    names: EntityTables,
+    contract: Contract,
+    as_of: str | None = None,
+    *,
+    merge: bool = True,
+    lookback: timedelta | None = None,
 ) -> None:
     """New staging rows into the mart: replacing rows of the same key, or only added to it."""
     source = with_audit_columns(spark.table(names.staging), as_of)
     if merge:
-        sinks.incremental_merge(source, names.mart, contract.key)
+        sinks.incremental_merge(source, names.mart, contract.key, lookback=lookback)
     else:
         sinks.incremental_append(source, names.mart)
 

@@ -64,18 +64,16 @@ def plan_files(files: DataFrame, registry: DataFrame) -> DataFrame:
     )
 
 
-def inspect_files(planned: DataFrame, registry: DataFrame, *, all_json_keys: bool = True) -> DataFrame:
+def inspect_files(planned: DataFrame, registry: DataFrame) -> DataFrame:
     """Adds column names, the difference to the target table, and the outcome this leads to.
 
-    Names of JSON files come from every record, or, without ``all_json_keys``,
-    from the first ones only. A CSV file without a header row takes the names
+    Names of JSON files come from every record. A CSV file without a header row takes the names
     of its table.
     """
     spark = planned.sparkSession
     routed = planned.where(F.col("target_table").isNotNull())
     found = planned.join(sources.read_headers(routed), "path", "left")
-    if all_json_keys:
-        found = _with_all_json_keys(cut_lineage(found))
+    found = _with_all_json_keys(cut_lineage(found))
     targets = routing.active_rules(registry).select(F.concat_ws(".", "target_dataset", "target_table"))
     tables = table_columns(spark, [r[0] for r in targets.distinct().collect()])
     headless = (F.col("file_format") == "csv") & (F.col("skip_header_rows") == 0)
@@ -195,7 +193,6 @@ def ingest(
     *,
     as_of: str | None = None,
     batch_id: str | None = None,
-    all_json_keys: bool = True,
 ) -> DataFrame:
     """Ingests a batch of files (path, file_name, modified_at) and returns their outcomes.
 
@@ -210,7 +207,7 @@ def ingest(
     batch_id = batch_id or uuid.uuid4().hex
     arrived = files.withColumn("ingestion_id", F.sha2(F.concat_ws("|", F.lit(batch_id), "path"), 256))
     manifest = cut_lineage(
-        inspect_files(plan_files(_with_records(arrived, targets), registry), registry, all_json_keys=all_json_keys)
+        inspect_files(plan_files(_with_records(arrived, targets), registry), registry)
         .withColumn("trace_id", F.concat(F.lit("traces/"), F.col("ingestion_id")))
         .withColumn("bucket", F.lit(targets.bucket))
     )

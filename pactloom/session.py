@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,12 +41,14 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    A temporary folder stands in only where that setting is absent, which is
-    the case in local tests.
+    A temporary folder stands in where that setting is absent and everything runs on this machine. On a cluster
+    executors would each write to a folder of their own, so there the setting is required.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     global _local_scratch
     if _local_scratch is None:
         _local_scratch = tempfile.mkdtemp(prefix="pactloom-")

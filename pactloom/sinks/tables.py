@@ -106,16 +106,29 @@ def incremental_append(source: DataFrame, table: str, *, column: str = PROCESSED
 
 
 def incremental_merge(
-    source: DataFrame, table: str, keys: Sequence[str], *, column: str = PROCESSED, partition_by: str | None = BATCH_DATE
+    source: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    *,
+    column: str = PROCESSED,
+    partition_by: str | None = BATCH_DATE,
+    lookback: timedelta | None = None,
 ) -> None:
-    """Takes the rows past the mart's high-water mark and replaces rows of the same key."""
+    """Takes the rows past the mart's high-water mark, or past ``lookback`` before it, and replaces rows of the same key.
+
+    Without keys nothing can be replaced: the rows past the mark are added.
+    """
     spark = source.sparkSession
+    if not keys:
+        incremental_append(source, table, column=column)
+        return
     recover_table(spark, table)
     if not spark.catalog.tableExists(table):
         append_table(source, table, partition_by=partition_by)
         return
     resume_merge(spark, table, keys, partition_by=partition_by)
-    merge_rows(incremental_filter(source, spark.table(table), column), table, keys, partition_by=partition_by)
+    batch = incremental_filter(source, spark.table(table), column, lookback=lookback)
+    merge_rows(batch, table, keys, partition_by=partition_by)
 
 
 def merge_rows(
@@ -127,6 +140,8 @@ def merge_rows(
     left its batch behind for ``resume_merge``, which is safe because merging
     a stored batch twice gives the same table.
     """
+    if not keys:
+        raise ValueError(f"merging into {table} needs a key")
     spark = batch.sparkSession
     resume_merge(spark, table, keys, partition_by=partition_by)
     pending = f"{table}__batch"
@@ -169,6 +184,8 @@ def _merge_by_partition(batch: DataFrame, table: str, keys: Sequence[str], parti
         touched = _partitions_with_keys(target, batch, keys, partition_by)
         added = {r[0] for r in batch.select(partition_by).distinct().collect()}
         merged = upsert_by_key(target.where(_in_partitions(touched | added, partition_by)), batch, keys)
+        # Few files for each partition, however many tasks the merge had; adaptive execution splits large ones.
+        merged = merged.hint("rebalance", F.col(partition_by))
         merged.write.partitionBy(partition_by).saveAsTable(rebuilt, format="parquet", mode="overwrite")
     fresh = spark.table(rebuilt)
     filled = {r[0] for r in fresh.select(partition_by).distinct().collect()}
@@ -181,7 +198,7 @@ def _merge_by_partition(batch: DataFrame, table: str, keys: Sequence[str], parti
 
 
 def _partitions_with_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str], partition_by: str) -> set:
-    matching = target.select(*keys, partition_by).join(batch.select(*keys), list(keys), "left_semi")
+    matching = target.select(*keys, partition_by).join(batch.select(*keys).distinct(), list(keys), "left_semi")
     return {r[0] for r in matching.select(partition_by).distinct().collect()}
 
 

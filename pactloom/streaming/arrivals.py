@@ -34,7 +34,6 @@ def ingest_arrivals(
     checkpoint: str,
     *,
     as_of: str | None = None,
-    all_json_keys: bool = True,
     continuous: bool = False,
 ) -> StreamingQuery:
     """Runs ``ingest`` on every micro-batch.
@@ -53,7 +52,6 @@ def ingest_arrivals(
             targets,
             as_of=as_of,
             batch_id=f"{checkpoint}#{number}",
-            all_json_keys=all_json_keys,
         )
 
     writer = arrivals.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from collections import Counter
 from decimal import Decimal
@@ -69,7 +70,7 @@ if __name__ == "__main__":
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
-            "spark.sql.warehouse.dir": "/tmp/pactloom-warehouse",
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp"),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

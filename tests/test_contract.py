@@ -16,7 +16,7 @@ def test_orders_contract():
 
 def test_orders_rules(spark):
     rules = contract_rules(orders_contract())
-    assert rules.unique_key == ("order_id",)
+    assert rules.unique_keys == (("order_id",),)
     assert rules.non_null == (
         "order_id", "customer_name", "amount", "order_date", "warehouse_id", "batch_date", "processed_dttm",
     )
