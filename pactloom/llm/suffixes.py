@@ -313,7 +313,7 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batch.column("tid").to_pylist(), batch.column("n").to_pylist(), batch.column("text"), batch.column("begins").to_pylist(), batch.column("ends").to_pylist(), strict=True
         ):
             raw = text.as_buffer().to_pybytes()
-            if n > 1 and len(raw) >= WIDTH:
+            if n > 1:  # a text that stands twice is repeated as a whole
                 begins, ends = [0], [len(raw)]
             merged: list[list[int]] = []
             for a, b in sorted(zip(begins or [], ends or [], strict=True)):

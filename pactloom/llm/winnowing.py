@@ -95,11 +95,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     The edited text has its last quarter (code points, rounded down) replaced by the first as many of the next
     document's. The next document is that with the next larger doc_id, after the last the first; rows with equal
-    doc_ids follow each other in the order of their texts, rows without one come first. Null texts are empty; a text
+    doc_ids follow each other in the order of their texts, and a row without one counts as -1. Null texts are empty; a text
     without a letter or digit has an empty fingerprint. An empty table gives an empty result; other columns are not
     read.
     """
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**62)))
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-1).cast("long"))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), key.alias("k"))
     own = own.withColumn("g", F.shiftright("k", GROUP_BITS)).withColumn("guest", F.lit(False))
     # The first document of the next group visits, to be the next of the group's last.
