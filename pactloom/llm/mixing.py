@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,21 +75,26 @@ def _count(n_domains: int, bits: int):
     return run
 
 
-def telling_words(counts: pd.DataFrame, n_domains: int, per_domain: int = WORDS_PER_DOMAIN, bits: int = BUCKET_BITS) -> np.ndarray:
-    """Buckets whose share of documents differs most between a domain and the others."""
-    totals = np.zeros((n_domains, (1 << bits) + 1))
-    totals[counts["domain"], counts["bucket"]] = counts["n"]
-    docs, seen = totals[:, -1], totals[:, :-1]
-    every, chosen = docs.sum(), []
+def telling_words(counts: DataFrame, n_domains: int, per_domain: int = WORDS_PER_DOMAIN, bits: int = BUCKET_BITS) -> np.ndarray:
+    """Buckets whose share of documents differs most between a domain and the others, from ``counts (domain, bucket, n)``.
+
+    The bucket ``2^bits`` counts the documents. Only the chosen buckets come to the driver.
+    """
+    n_of = [F.coalesce(F.sum(F.when(F.col("domain") == d, F.col("n"))), F.lit(0)).alias(f"n{d}") for d in range(n_domains)]
+    seen = stored(counts.groupBy("bucket").agg(*n_of), "word-counts")
+    last = seen.where(F.col("bucket") == 1 << bits).first()
+    docs = [last[f"n{d}"] for d in range(n_domains)] if last else [0] * n_domains
+    every, chosen = sum(docs), set()
+    total = sum((F.col(f"n{d}") for d in range(1, n_domains)), F.col("n0"))
+    words = seen.where((F.col("bucket") < 1 << bits) & (total > 1))
     for d in range(n_domains):
         inside, outside = docs[d], every - docs[d]
         if inside and outside:
-            p, q = seen[d] / inside, (seen.sum(0) - seen[d]) / outside
-            m = (seen.sum(0) + 0.5) / (every + 1)
-            z = np.abs(p - q) / np.sqrt(m * (1 - m) * (1 / inside + 1 / outside))
-            best = np.argsort(-z, kind="stable")[:per_domain]
-            chosen.append(best[seen[:, best].sum(0) > 1])
-    return np.unique(np.concatenate(chosen)) if chosen else np.empty(0, np.int64)
+            mean = (total + 0.5) / F.lit(every + 1.0)
+            gap = F.abs(F.col(f"n{d}") / F.lit(inside) - (total - F.col(f"n{d}")) / F.lit(outside))
+            z = gap / F.sqrt(F.abs(mean * (1 - mean)) * F.lit(1 / inside + 1 / outside))
+            chosen |= {r[0] for r in words.orderBy(z.desc(), "bucket").select("bucket").limit(per_domain).collect()}
+    return np.array(sorted(chosen), np.int64)
 
 
 @dataclass
@@ -115,19 +119,19 @@ class Classifier:
         n, k = len(features), self.weights.shape[0]
         if not n:
             return
-        truth = np.eye(k)[domain]
+        truth = np.eye(k, dtype=np.float32)[domain]
         # Half the largest eigenvalue of the second moments bounds the curvature; a few power steps find it.
-        v = np.ones(features.shape[1])
+        v = np.ones(features.shape[1], np.float32)
         for _ in range(20):
             v = features.T @ (features @ v)
             v /= np.linalg.norm(v)
-        step = 1 / (0.5 * np.linalg.norm(features @ v) ** 2 / n + PENALTY)
-        w, ahead = self.weights, self.weights
+        step = np.float32(1) / np.float32(0.5 * np.linalg.norm(features @ v) ** 2 / n + PENALTY)
+        w = ahead = self.weights.astype(np.float32)
         for t in range(rounds):
             gradient = (_softmax(features @ ahead.T) - truth).T @ features / n
-            gradient[:, :-1] += PENALTY * ahead[:, :-1]
+            gradient[:, :-1] += np.float32(PENALTY) * ahead[:, :-1]
             new = ahead - step * gradient
-            ahead = new + t / (t + 3) * (new - w)
+            ahead = new + np.float32(t / (t + 3)) * (new - w)
             w = new
         absent = truth.sum(0) == 0
         w[absent, :-1], w[absent, -1] = 0, -700
@@ -164,14 +168,13 @@ def _features(model):
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, bits: int = BUCKET_BITS) -> Classifier:
     """Chooses words by counts over all labelled documents, and fits weights on a sample of their distinct texts.
 
-    Counts are made in tasks and summed, so domains x buckets reach the driver, and of the sample one row of bits for
-    each distinct set of words.
+    Counts are made in tasks and summed; the chosen words reach the driver, and of the sample one row of bits for each
+    distinct set of words.
     """
     prepare(docs.sparkSession)
     named = labels.select("doc_id", labelled_domain().cast("int").alias("domain")).where("domain IS NOT NULL")
     rows = stored(docs.select("doc_id", "text").join(named, "doc_id").select("domain", "text"), "labelled")
     counts = rows.mapInArrow(_count(len(DOMAINS), bits), "domain int, bucket long, n long")
-    counts = counts.groupBy("domain", "bucket").agg(F.sum("n").alias("n")).toPandas()
     words = telling_words(counts, len(DOMAINS), bits=bits)
     model = Classifier(words, np.zeros((len(DOMAINS), len(words) + 1)))
     step = max(1, rows.count() // sample_rows)
