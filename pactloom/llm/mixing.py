@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactloom.llm.common import GOLDEN, mix, prepare, stored, table, text_chunks, word_characters
+from pactloom.llm.common import GOLDEN, listed, mix, prepare, stored, table, text_chunks, word_characters
 
 DOMAINS = ("clean", "low", "toxic")
 #: Wanted share of each domain in the tokens that come out; as many tokens come out as go in.
@@ -173,7 +173,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, bi
     """
     prepare(docs.sparkSession)
     named = labels.select("doc_id", labelled_domain().cast("int").alias("domain")).where("domain IS NOT NULL")
-    rows = stored(docs.select("doc_id", "text").join(named, "doc_id").select("domain", "text"), "labelled")
+    # The same plan at every size: what has no label stays behind before the shuffle, and no side is broadcast.
+    texts = listed(docs.select("doc_id", "text"), named, "doc_id")
+    rows = stored(texts.join(named.hint("merge"), "doc_id").select("domain", "text"), "labelled")
     counts = rows.mapInArrow(_count(len(DOMAINS), bits), "domain int, bucket long, n long")
     words = telling_words(counts, len(DOMAINS), bits=bits)
     model = Classifier(words, np.zeros((len(DOMAINS), len(words) + 1)))
