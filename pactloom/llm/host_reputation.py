@@ -62,7 +62,9 @@ def _prior(counts: DataFrame, parent: DataFrame, by: str) -> float:
         F.sum("n").alias("n"),
         F.sum(F.col("n") * F.col("m") * (1 - F.col("m"))).alias("typical"),
     ).first()
-    if not row["n"] or row["spread"] <= row["noise"]:
+    if not row["n"]:
+        return LIGHTEST
+    if row["spread"] <= row["noise"]:
         return HEAVIEST
     between = (row["spread"] - row["noise"]) / row["n"]
     return min(HEAVIEST, max(LIGHTEST, row["typical"] / row["n"] / between - 1))
@@ -140,7 +142,7 @@ def _level(name: str, counts: str, parent: str, by: str) -> str:
 p_{name} AS (SELECT sum(n * pow(bad / n - mean, 2)) AS spread, sum(mean * (1 - mean)) AS noise, sum(n) AS total,
                     sum(n * mean * (1 - mean)) AS typical
              FROM {counts} JOIN (SELECT {by}, mean FROM {parent}) USING ({by}) WHERE n > 0),
-k_{name} AS (SELECT CASE WHEN coalesce(total, 0) = 0 OR spread <= noise THEN {HEAVIEST}::DOUBLE
+k_{name} AS (SELECT CASE WHEN coalesce(total, 0) = 0 THEN {LIGHTEST}::DOUBLE WHEN spread <= noise THEN {HEAVIEST}::DOUBLE
                     ELSE least({HEAVIEST}::DOUBLE, greatest({LIGHTEST}::DOUBLE,
                          typical / total / ((spread - noise) / total) - 1)) END AS k FROM p_{name}),
 m_{name} AS (SELECT c.*, (c.bad + (SELECT k FROM k_{name}) * q.mean) / (c.n + (SELECT k FROM k_{name})) AS mean
