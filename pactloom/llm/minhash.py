@@ -18,8 +18,12 @@ SIMILARITY = 0.8
 #: 32 bands of 4 coordinates: a pair of similarity 0.8 shares no band with probability (1 - 0.8^4)^32 = 5e-8.
 COORDINATES = 128
 ROWS = 4
-#: How far apart two documents of a bucket may stand, in the order of their further coordinates, to be compared.
+#: How far apart two documents of a bucket may stand, in the order of their further coordinates, to be compared first.
 NEIGHBOURS = 3
+#: Each coordinate leaves a bit. Sets of similarity 0.8 differ in 13 of 128; in more than 40 with probability 3e-10.
+BITS_APART = 40
+#: Documents of a bucket that one task compares with others.
+SHARE_ROWS = 4096
 
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -98,6 +102,7 @@ def _signer(words: int, k: int, rows: int, weighted: bool):
                 for j in range(rows):
                     mixed = mix(mixed + signed[:, j::rows][:, : k // rows] + GOLDEN)
                 mixed = mix(mixed + np.arange(k // rows, dtype=np.uint64))
+                bits = np.packbits((signed >> np.uint64(20)) & np.uint64(1) > 0, axis=1).view(np.int64)
                 size = np.bincount(owner, minlength=len(texts))
                 sums = [np.zeros(len(texts), np.uint64) for _ in range(2)]
                 for j, s in enumerate(sums):
@@ -108,18 +113,19 @@ def _signer(words: int, k: int, rows: int, weighted: bool):
                         pa.array(size, pa.int64()),
                         *(pa.array(s.view(np.int64), pa.int64()) for s in sums),
                         pa.array(list(mixed.view(np.int64)), pa.list_(pa.int64())),
+                        *(pa.array(np.ascontiguousarray(bits[:, j])) for j in range(2)),
                     ],
-                    ["doc_id", "size", "set_a", "set_b", "bands"],
+                    ["doc_id", "size", "set_a", "set_b", "bands", "bits_a", "bits_b"],
                 )
 
     return run
 
 
-SIGNED = "doc_id long, size long, set_a long, set_b long, bands array<long>"
+SIGNED = "doc_id long, size long, set_a long, set_b long, bands array<long>, bits_a long, bits_b long"
 
 
 def signatures(docs: DataFrame, words: int = WORDS, weighted: bool = False) -> DataFrame:
-    """Per document the number of its shingles, a 128-bit name of their set, and its band keys."""
+    """Per document the number of its shingles, a 128-bit name of their set, its band keys, a bit of each coordinate."""
     return docs.select("doc_id", "text").mapInArrow(_signer(words, COORDINATES, ROWS, weighted), SIGNED)
 
 
@@ -174,6 +180,31 @@ def candidate_pairs(signed: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
 
 
+def far_pairs(members: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of ``members`` that share a bucket but no class, and did not stand near each other there.
+
+    ``members`` has ``doc_id, bands, bits_a, bits_b, root``. In each bucket the documents outside its largest class are
+    held against all of the bucket; those within a class need no link more. Pairs whose bits differ too much can't be
+    similar enough and are never written. A large bucket is compared in shares, so no task holds it whole.
+    """
+    rows = members.select("doc_id", "root", "bits_a", "bits_b", F.explode("bands").alias("key"))
+    of_class = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    largest = F.max(F.struct("n", (-F.col("root")).alias("root")))
+    buckets = of_class.groupBy("key").agg(
+        F.count(F.lit(1)).alias("classes"), F.sum("n").alias("n"), (-largest["root"]).alias("main")
+    )
+    # In a smaller bucket everybody is near everybody.
+    buckets = buckets.where((F.col("classes") > 1) & (F.col("n") > NEIGHBOURS + 1))
+    shares = F.ceil(F.col("n") / SHARE_ROWS).cast("int")
+    rows = stored(rows.join(buckets.select("key", "main", shares.alias("shares")), "key"), "open-buckets")
+    bucket = rows.withColumn("share", F.pmod(F.xxhash64("doc_id"), F.col("shares")).cast("int")).alias("x")
+    others = rows.where("root != main").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).alias("y")
+    apart = "bit_count(x.bits_a ^ y.bits_a) + bit_count(x.bits_b ^ y.bits_b)"
+    alike = F.expr(f"x.key = y.key AND x.share = y.share AND x.root != y.root AND {apart} <= {BITS_APART}")
+    pairs = bucket.join(others, alike)
+    return pairs.select(F.expr("least(x.doc_id, y.doc_id) AS a"), F.expr("greatest(x.doc_id, y.doc_id) AS b")).distinct()
+
+
 def _judge(words: int, weighted: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,9 +229,9 @@ def _judge(words: int, weighted: bool):
 
 
 def similarity(pairs: DataFrame, texts: DataFrame, words: int = WORDS, weighted: bool = False) -> DataFrame:
-    """The exact Jaccard similarity of the word shingles of each pair ``(a, b)``."""
-    a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    """The exact Jaccard similarity of the word shingles of each pair ``(a, b)``; ``pairs`` is a stored table."""
+    sides = {end: texts.select(F.col("doc_id").alias(end), F.col("text").alias(f"text_{end}")) for end in ("a", "b")}
+    a, b = (listed(side, pairs.select(end), end) for end, side in sides.items())
     both = pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
     return both.mapInArrow(_judge(words, weighted), "a long, b long, similarity double")
 
@@ -209,8 +240,9 @@ def near_copies(docs: DataFrame, words: int = WORDS, at_least: float = SIMILARIT
     """``doc_id, class_id, n_links`` per document: who belongs together, named by the smallest doc_id.
 
     Two documents are linked when the Jaccard similarity of their word shingles (``weighted``: with counts) is
-    ``at_least`` that; a class is what links connect. Documents with the same set are one from the start. Of the
-    candidates each document's likeliest is judged first; the others only where they would still join two classes.
+    ``at_least`` that; a class is what links connect. Documents with the same set are one from the start. Candidates
+    share a bucket. Of those that stand near each other there each document's likeliest is judged first; the others,
+    and then the far ones, only where they would still join two classes: no pair of two classes goes unjudged.
     ``n_links`` counts the judged links of the document's set.
 
     Null and empty texts and texts without a word are classes of their own; a text of fewer than ``words`` words is
@@ -221,7 +253,9 @@ def near_copies(docs: DataFrame, words: int = WORDS, at_least: float = SIMILARIT
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = stored(signatures(docs, words, weighted), "signatures")
     heads = signed.where("size > 0 AND doc_id IS NOT NULL").groupBy("set_a", "set_b").agg(
-        F.min("doc_id").alias("doc_id"), F.min_by("bands", "doc_id").alias("bands"), F.first("size").alias("size")
+        F.min("doc_id").alias("doc_id"),
+        *(F.min_by(c, "doc_id").alias(c) for c in ("bands", "bits_a", "bits_b")),
+        F.first("size").alias("size"),
     )
     heads = stored(heads, "heads")
     pairs = stored(candidate_pairs(heads), "pairs")
@@ -235,6 +269,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, at_least: float = SIMILARIT
     sides = sides.union(pairs.select("a", "b", "shared", F.col("b").alias("me"), F.col("a").alias("other")))
     likeliest = sides.groupBy("me").agg(best.alias("x")).select("me", (-F.col("x.other")).alias("other"))
     likeliest = likeliest.select(F.least("me", "other").alias("a"), F.greatest("me", "other").alias("b")).distinct()
+    likeliest = stored(likeliest, "likeliest")
     first = stored(similarity(likeliest, texts, words, weighted), "judged-first")
     links = first.where(F.col("similarity") >= at_least).select("a", "b")
     joined = stored(components(links), "classes-first")
@@ -245,6 +280,13 @@ def near_copies(docs: DataFrame, words: int = WORDS, at_least: float = SIMILARIT
     rest = stored(rest.where("root_a != root_b").select("a", "b"), "rest")
     second = stored(similarity(rest, texts, words, weighted), "judged-rest")
     links = links.union(second.where(F.col("similarity") >= at_least).select("a", "b"))
+    joined = stored(components(links), "classes-second").select(F.col("id").alias("doc_id"), "root")
+    # Who stands near nobody is alone in all of its buckets.
+    members = listed(heads, ends, "doc_id").join(ends, "doc_id").join(joined, "doc_id", "left")
+    members = stored(members.withColumn("root", F.coalesce("root", "doc_id")), "members")
+    far = far_pairs(members).join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti")
+    third = stored(similarity(stored(far, "far"), texts, words, weighted), "judged-far")
+    links = links.union(third.where(F.col("similarity") >= at_least).select("a", "b"))
     classes = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_links"))
     named = heads.join(classes.withColumnRenamed("id", "doc_id"), "doc_id", "left").join(degree, "doc_id", "left")

@@ -129,6 +129,32 @@ def test_near_copies_against_brute_force(spark):
     assert got == brute_classes([(r["doc_id"], r["text"]) for r in docs.collect()])
 
 
+@pytest.mark.parametrize("share", [4096, 3])
+def test_pairs_far_apart_in_a_bucket(spark, monkeypatch, share):
+    monkeypatch.setattr(minhash, "SHARE_ROWS", share)
+    # One bucket of two large classes, one of three documents (all near), and bits that differ in 0, 40 or 41 places.
+    bits = {0: 0, 1: 2**40 - 1, 2: 2**41 - 1}
+    members = [(i, [7, 1000 + i], bits[i % 3], 0, 1 if i < 13 else 2) for i in range(20)]
+    members += [(i, [8], 0, 0, i) for i in (30, 31, 32)]
+    df = spark.createDataFrame(members, "doc_id long, bands array<long>, bits_a long, bits_b long, root long")
+    apart = {(i, j): (bits[i % 3] ^ bits[j % 3]).bit_count() for i in range(13) for j in range(13, 20)}
+    assert rows(minhash.far_pairs(df)) == sorted((p for p, d in apart.items() if d <= 40), key=repr)
+
+
+def test_links_far_apart_in_crowded_buckets(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "NEIGHBOURS", 1)
+    draw = random.Random(5)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(400)]
+    docs = []
+    for i in range(120):
+        words = list(base)
+        for _ in range(draw.choice([2, 9, 12, 16])):
+            words[draw.randrange(400)] = f"x{draw.randrange(10**6)}"
+        docs.append((i, " ".join(words)))
+    got = minhash.near_copies(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r["doc_id"]: r["class_id"] for r in got.collect()} == brute_classes(docs)
+
+
 def test_darts_estimate_weighted_similarity():
     draw = np.random.default_rng(1)
     elements = draw.integers(0, 2**63, 300).astype(np.uint64)
