@@ -20,8 +20,9 @@ COORDINATES = 128
 ROWS = 4
 #: How far apart two documents of a bucket may stand, in the order of their further coordinates, to be compared first.
 NEIGHBOURS = 3
-#: Each coordinate leaves a bit. Sets of similarity 0.8 differ in 13 of 128; in more than 40 with probability 3e-10.
-BITS_APART = 40
+#: Each coordinate leaves a bit. Linked pairs differ in more bits than the expected by so many deviations at most:
+#: sets of similarity 0.8 in 13 of 128, and in more than 40 with probability 3e-10.
+DEVIATIONS = 8
 #: Documents of a bucket that one task compares with others.
 SHARE_ROWS = 4096
 
@@ -104,6 +105,7 @@ def _signer(words: int, k: int, rows: int, weighted: bool):
                 mixed = mix(mixed + np.arange(k // rows, dtype=np.uint64))
                 bits = np.packbits((signed >> np.uint64(20)) & np.uint64(1) > 0, axis=1).view(np.int64)
                 size = np.bincount(owner, minlength=len(texts))
+                total = np.bincount(owner, weights, len(texts)).astype(np.int64)
                 sums = [np.zeros(len(texts), np.uint64) for _ in range(2)]
                 for j, s in enumerate(sums):
                     np.add.at(s, owner, mix(elements + np.uint64(j + 1)) * (counts.astype(np.uint64) if weighted else np.uint64(1)))
@@ -114,18 +116,20 @@ def _signer(words: int, k: int, rows: int, weighted: bool):
                         *(pa.array(s.view(np.int64), pa.int64()) for s in sums),
                         pa.array(list(mixed.view(np.int64)), pa.list_(pa.int64())),
                         *(pa.array(np.ascontiguousarray(bits[:, j])) for j in range(2)),
+                        pa.array(total),
                     ],
-                    ["doc_id", "size", "set_a", "set_b", "bands", "bits_a", "bits_b"],
+                    ["doc_id", "size", "set_a", "set_b", "bands", "bits_a", "bits_b", "total"],
                 )
 
     return run
 
 
-SIGNED = "doc_id long, size long, set_a long, set_b long, bands array<long>, bits_a long, bits_b long"
+SIGNED = "doc_id long, size long, set_a long, set_b long, bands array<long>, bits_a long, bits_b long, total long"
 
 
 def signatures(docs: DataFrame, words: int = WORDS, weighted: bool = False) -> DataFrame:
-    """Per document the number of its shingles, a 128-bit name of their set, its band keys, a bit of each coordinate."""
+    """Per document the number of its shingles, a 128-bit name of their set, its band keys, a bit of each coordinate,
+    and the weight of the set."""
     return docs.select("doc_id", "text").mapInArrow(_signer(words, COORDINATES, ROWS, weighted), SIGNED)
 
 
@@ -180,14 +184,20 @@ def candidate_pairs(signed: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
 
 
-def far_pairs(members: DataFrame) -> DataFrame:
+def bits_apart(at_least: float) -> int:
+    """In how many bits two sets of at least that similarity may differ."""
+    p = (1 - at_least) / 2
+    return int(np.ceil(COORDINATES * p + DEVIATIONS * np.sqrt(COORDINATES * p * (1 - p))))
+
+
+def far_pairs(members: DataFrame, at_least: float = SIMILARITY) -> DataFrame:
     """Pairs ``(a, b)`` of ``members`` that share a bucket but no class, and did not stand near each other there.
 
-    ``members`` has ``doc_id, bands, bits_a, bits_b, root``. In each bucket the documents outside its largest class are
-    held against all of the bucket; those within a class need no link more. Pairs whose bits differ too much can't be
-    similar enough and are never written. A large bucket is compared in shares, so no task holds it whole.
+    ``members`` has ``doc_id, bands, bits_a, bits_b, total, root``. In each bucket the documents outside its largest class are
+    held against all of the bucket; those within a class need no link more. Pairs whose bits or weights differ too
+    much can't be similar enough and are never written. A large bucket is compared in shares, so no task holds it whole.
     """
-    rows = members.select("doc_id", "root", "bits_a", "bits_b", F.explode("bands").alias("key"))
+    rows = members.select("doc_id", "root", "bits_a", "bits_b", "total", F.explode("bands").alias("key"))
     of_class = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     largest = F.max(F.struct("n", (-F.col("root")).alias("root")))
     buckets = of_class.groupBy("key").agg(
@@ -200,8 +210,9 @@ def far_pairs(members: DataFrame) -> DataFrame:
     bucket = rows.withColumn("share", F.pmod(F.xxhash64("doc_id"), F.col("shares")).cast("int")).alias("x")
     others = rows.where("root != main").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).alias("y")
     apart = "bit_count(x.bits_a ^ y.bits_a) + bit_count(x.bits_b ^ y.bits_b)"
-    alike = F.expr(f"x.key = y.key AND x.share = y.share AND x.root != y.root AND {apart} <= {BITS_APART}")
-    pairs = bucket.join(others, alike)
+    sizes = f"least(x.total, y.total) >= {at_least!r}D * greatest(x.total, y.total)"
+    alike = f"x.key = y.key AND x.share = y.share AND x.root != y.root AND {sizes} AND {apart} <= {bits_apart(at_least)}"
+    pairs = bucket.join(others, F.expr(alike))
     return pairs.select(F.expr("least(x.doc_id, y.doc_id) AS a"), F.expr("greatest(x.doc_id, y.doc_id) AS b")).distinct()
 
 
@@ -254,7 +265,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, at_least: float = SIMILARIT
     signed = stored(signatures(docs, words, weighted), "signatures")
     heads = signed.where("size > 0 AND doc_id IS NOT NULL").groupBy("set_a", "set_b").agg(
         F.min("doc_id").alias("doc_id"),
-        *(F.min_by(c, "doc_id").alias(c) for c in ("bands", "bits_a", "bits_b")),
+        *(F.min_by(c, "doc_id").alias(c) for c in ("bands", "bits_a", "bits_b", "total")),
         F.first("size").alias("size"),
     )
     heads = stored(heads, "heads")
@@ -284,7 +295,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, at_least: float = SIMILARIT
     # Who stands near nobody is alone in all of its buckets.
     members = listed(heads, ends, "doc_id").join(ends, "doc_id").join(joined, "doc_id", "left")
     members = stored(members.withColumn("root", F.coalesce("root", "doc_id")), "members")
-    far = far_pairs(members).join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti")
+    far = far_pairs(members, at_least).join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti")
     third = stored(similarity(stored(far, "far"), texts, words, weighted), "judged-far")
     links = links.union(third.where(F.col("similarity") >= at_least).select("a", "b"))
     classes = components(links)

@@ -134,11 +134,12 @@ def test_pairs_far_apart_in_a_bucket(spark, monkeypatch, share):
     monkeypatch.setattr(minhash, "SHARE_ROWS", share)
     # One bucket of two large classes, one of three documents (all near), and bits that differ in 0, 40 or 41 places.
     bits = {0: 0, 1: 2**40 - 1, 2: 2**41 - 1}
-    members = [(i, [7, 1000 + i], bits[i % 3], 0, 1 if i < 13 else 2) for i in range(20)]
-    members += [(i, [8], 0, 0, i) for i in (30, 31, 32)]
-    df = spark.createDataFrame(members, "doc_id long, bands array<long>, bits_a long, bits_b long, root long")
-    apart = {(i, j): (bits[i % 3] ^ bits[j % 3]).bit_count() for i in range(13) for j in range(13, 20)}
+    members = [(i, [7, 1000 + i], bits[i % 3], 0, 79 if i == 2 else 100, 1 if i < 13 else 2) for i in range(20)]
+    members += [(i, [8], 0, 0, 100, i) for i in (30, 31, 32)]
+    df = spark.createDataFrame(members, "doc_id long, bands array<long>, bits_a long, bits_b long, total long, root long")
+    apart = {(i, j): (bits[i % 3] ^ bits[j % 3]).bit_count() for i in range(13) for j in range(13, 20) if i != 2}
     assert rows(minhash.far_pairs(df)) == sorted((p for p, d in apart.items() if d <= 40), key=repr)
+    assert minhash.bits_apart(0.8) == 40
 
 
 def test_links_far_apart_in_crowded_buckets(spark, monkeypatch):
