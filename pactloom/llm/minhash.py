@@ -20,11 +20,11 @@ COORDINATES = 128
 ROWS = 4
 #: How far apart two documents of a bucket may stand, in the order of their further coordinates, to be compared first.
 NEIGHBOURS = 3
-#: Each coordinate leaves a bit. Linked pairs differ in more bits than the expected by so many deviations at most:
-#: sets of similarity 0.8 in 13 of 128, and in more than 40 with probability 3e-10.
-DEVIATIONS = 8
-#: Documents of a bucket that one task compares with others.
+#: Documents with an element that one task compares with others.
 SHARE_ROWS = 4096
+#: Hash slots of elements whose parity is kept, 64 to a column.
+ODD_BITS = 256
+ODD = [f"odd_{j}" for j in range(ODD_BITS // 64)]
 
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -103,9 +103,7 @@ def _signer(words: int, k: int, rows: int, weighted: bool):
                 for j in range(rows):
                     mixed = mix(mixed + signed[:, j::rows][:, : k // rows] + GOLDEN)
                 mixed = mix(mixed + np.arange(k // rows, dtype=np.uint64))
-                bits = np.packbits((signed >> np.uint64(20)) & np.uint64(1) > 0, axis=1).view(np.int64)
                 size = np.bincount(owner, minlength=len(texts))
-                total = np.bincount(owner, weights, len(texts)).astype(np.int64)
                 sums = [np.zeros(len(texts), np.uint64) for _ in range(2)]
                 for j, s in enumerate(sums):
                     np.add.at(s, owner, mix(elements + np.uint64(j + 1)) * (counts.astype(np.uint64) if weighted else np.uint64(1)))
@@ -115,21 +113,18 @@ def _signer(words: int, k: int, rows: int, weighted: bool):
                         pa.array(size, pa.int64()),
                         *(pa.array(s.view(np.int64), pa.int64()) for s in sums),
                         pa.array(list(mixed.view(np.int64)), pa.list_(pa.int64())),
-                        *(pa.array(np.ascontiguousarray(bits[:, j])) for j in range(2)),
-                        pa.array(total),
                     ],
-                    ["doc_id", "size", "set_a", "set_b", "bands", "bits_a", "bits_b", "total"],
+                    ["doc_id", "size", "set_a", "set_b", "bands"],
                 )
 
     return run
 
 
-SIGNED = "doc_id long, size long, set_a long, set_b long, bands array<long>, bits_a long, bits_b long, total long"
+SIGNED = "doc_id long, size long, set_a long, set_b long, bands array<long>"
 
 
 def signatures(docs: DataFrame, words: int = WORDS, weighted: bool = False) -> DataFrame:
-    """Per document the number of its shingles, a 128-bit name of their set, its band keys, a bit of each coordinate,
-    and the weight of the set."""
+    """Per document the number of its shingles, a 128-bit name of their set, and its band keys."""
     return docs.select("doc_id", "text").mapInArrow(_signer(words, COORDINATES, ROWS, weighted), SIGNED)
 
 
@@ -184,35 +179,93 @@ def candidate_pairs(signed: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
 
 
-def bits_apart(at_least: float) -> int:
-    """In how many bits two sets of at least that similarity may differ."""
-    p = (1 - at_least) / 2
-    return int(np.ceil(COORDINATES * p + DEVIATIONS * np.sqrt(COORDINATES * p * (1 - p))))
+def _sets(words: int, weighted: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, end in text_chunks(batch.column("text")):
+                part = batch.slice(at, end - at)
+                texts = [t or "" for t in part.column("text").to_pylist()]
+                elements, counts, owner = shingle_sets(texts, words)
+                if weighted:  # the second time a shingle stands in a text it is another element
+                    nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                    elements, owner = np.repeat(elements, counts), np.repeat(owner, counts)
+                    elements = np.where(nth > 0, mix(elements + nth.astype(np.uint64) * GOLDEN), elements)
+                total = np.bincount(owner, minlength=len(texts))
+                slot = owner * ODD_BITS + (elements % np.uint64(ODD_BITS)).astype(np.int64)
+                odd = np.bincount(slot, minlength=len(texts) * ODD_BITS).reshape(-1, ODD_BITS) & 1
+                odd = np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
+                lists = pa.ListArray.from_arrays(np.append(0, np.cumsum(total)).astype(np.int32), pa.array(elements.view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(total), lists, *(pa.array(np.ascontiguousarray(o)) for o in odd.T)],
+                    ["doc_id", "total", "elements", *ODD],
+                )
+
+    return run
 
 
-def far_pairs(members: DataFrame, at_least: float = SIMILARITY) -> DataFrame:
-    """Pairs ``(a, b)`` of ``members`` that share a bucket but no class, and did not stand near each other there.
+def element_sets(texts: DataFrame, words: int = WORDS, weighted: bool = False) -> DataFrame:
+    """Per text the number of its elements, the elements, and bits that say of which hash slots it has an odd number.
+
+    In as many bits as two texts differ, they have elements that the other lacks, at least.
+    """
+    schema = "doc_id long, total long, elements array<long>, " + ", ".join(f"{c} long" for c in ODD)
+    return texts.select("doc_id", "text").mapInArrow(_sets(words, weighted), schema)
 
-    ``members`` has ``doc_id, bands, bits_a, bits_b, total, root``. In each bucket the documents outside its largest class are
-    held against all of the bucket; those within a class need no link more. Pairs whose bits or weights differ too
-    much can't be similar enough and are never written. A large bucket is compared in shares, so no task holds it whole.
+
+def rarest_elements(sets: DataFrame, at_least: float = SIMILARITY) -> DataFrame:
+    """``doc_id, total, key, place``: the rarest elements of each set, as many as a set so similar can't lack all of.
+
+    With all elements in one order, the rarest first, two sets that share ``at_least`` of the larger one share one of
+    their first ``total - at_least * total + 1``. What no other set has comes first and can't be shared, so it counts
+    for the places only; a set with so many of these has no row.
+    """
+    rows = sets.select("doc_id", "total", F.explode("elements").alias("key"))
+    often = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = rows.join(often.hint("merge"), "key")
+    of_text = Window.partitionBy("doc_id")
+    place = F.col("total") - F.count(F.lit(1)).over(of_text) + F.row_number().over(of_text.orderBy("n", "key")) - 1
+    placed = shared.withColumn("place", place)
+    return placed.where(f"place <= total - ceil({at_least!r}D * total - 1e-9D)").select("doc_id", "total", "key", "place")
+
+
+def far_pairs(
+    members: DataFrame, texts: DataFrame, at_least: float = SIMILARITY, words: int = WORDS, weighted: bool = False
+) -> DataFrame:
+    """Pairs ``(a, b)`` of ``members`` in buckets of several classes that belong to two classes and may be similar enough.
+
+    ``members`` has ``doc_id, bands, root``, ``texts`` their texts. Documents of such a bucket are looked up by their
+    rarest elements, and pairs are left out whose sizes, places or odd bits show that they have too little in common:
+    all bounds, so no link is lost. Of the documents with an element, those outside their largest class are held
+    against all of them; those within a class need no link more.
+    An element that many documents have is compared in shares, so no task holds it whole.
     """
-    rows = members.select("doc_id", "root", "bits_a", "bits_b", "total", F.explode("bands").alias("key"))
+    banded = members.select("doc_id", "root", F.explode("bands").alias("band"))
+    # In a smaller bucket everybody was near everybody.
+    wide = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    wide = wide.where((F.col("low") != F.col("high")) & (F.col("n") > NEIGHBOURS + 1))
+    open_ends = stored(banded.join(wide.select("band").hint("merge"), "band").select("doc_id", "root").distinct(), "open-ends")
+    open_texts = listed(texts, open_ends, "doc_id").join(open_ends.select("doc_id").hint("merge"), "doc_id")
+    sets = stored(element_sets(open_texts, words, weighted), "sets")
+    ends = open_ends.join(sets.select("doc_id", *ODD).hint("merge"), "doc_id")
+    rows = stored(rarest_elements(sets, at_least).join(ends.hint("merge"), "doc_id"), "rarest")
     of_class = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     largest = F.max(F.struct("n", (-F.col("root")).alias("root")))
     buckets = of_class.groupBy("key").agg(
         F.count(F.lit(1)).alias("classes"), F.sum("n").alias("n"), (-largest["root"]).alias("main")
     )
-    # In a smaller bucket everybody is near everybody.
-    buckets = buckets.where((F.col("classes") > 1) & (F.col("n") > NEIGHBOURS + 1))
-    shares = F.ceil(F.col("n") / SHARE_ROWS).cast("int")
-    rows = stored(rows.join(buckets.select("key", "main", shares.alias("shares")), "key"), "open-buckets")
+    shares = F.ceil(F.col("n") / SHARE_ROWS).cast("int").alias("shares")
+    buckets = buckets.where("classes > 1").select("key", "main", shares)
+    rows = stored(rows.join(buckets.hint("merge"), "key"), "open-buckets")
     bucket = rows.withColumn("share", F.pmod(F.xxhash64("doc_id"), F.col("shares")).cast("int")).alias("x")
     others = rows.where("root != main").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).alias("y")
-    apart = "bit_count(x.bits_a ^ y.bits_a) + bit_count(x.bits_b ^ y.bits_b)"
-    sizes = f"least(x.total, y.total) >= {at_least!r}D * greatest(x.total, y.total)"
-    alike = f"x.key = y.key AND x.share = y.share AND x.root != y.root AND {sizes} AND {apart} <= {bits_apart(at_least)}"
-    pairs = bucket.join(others, F.expr(alike))
+    # So many elements at most the two have in common before this one, and after it.
+    common = "least(x.place, y.place) + 1 + least(x.total - x.place, y.total - y.place) - 1"
+    enough = f"{common} >= {at_least / (1 + at_least)!r}D * (x.total + y.total) - 1e-6D"
+    sizes = f"least(x.total, y.total) >= {at_least!r}D * greatest(x.total, y.total) - 1e-6D"
+    apart = " + ".join(f"bit_count(x.{c} ^ y.{c})" for c in ODD)
+    few = f"{apart} <= {(1 - at_least) / (1 + at_least)!r}D * (x.total + y.total) + 1e-6D"
+    alike = f"x.key = y.key AND x.share = y.share AND x.root != y.root AND {sizes} AND {enough} AND {few}"
+    pairs = bucket.hint("merge").join(others, F.expr(alike))
     return pairs.select(F.expr("least(x.doc_id, y.doc_id) AS a"), F.expr("greatest(x.doc_id, y.doc_id) AS b")).distinct()
 
 
@@ -253,7 +306,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, at_least: float = SIMILARIT
     Two documents are linked when the Jaccard similarity of their word shingles (``weighted``: with counts) is
     ``at_least`` that; a class is what links connect. Documents with the same set are one from the start. Candidates
     share a bucket. Of those that stand near each other there each document's likeliest is judged first; the others,
-    and then the far ones, only where they would still join two classes: no pair of two classes goes unjudged.
+    and then the far ones, only where they would still join two classes and bounds allow it: no link is lost there.
     ``n_links`` counts the judged links of the document's set.
 
     Null and empty texts and texts without a word are classes of their own; a text of fewer than ``words`` words is
@@ -265,7 +318,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, at_least: float = SIMILARIT
     signed = stored(signatures(docs, words, weighted), "signatures")
     heads = signed.where("size > 0 AND doc_id IS NOT NULL").groupBy("set_a", "set_b").agg(
         F.min("doc_id").alias("doc_id"),
-        *(F.min_by(c, "doc_id").alias(c) for c in ("bands", "bits_a", "bits_b", "total")),
+        F.min_by("bands", "doc_id").alias("bands"),
         F.first("size").alias("size"),
     )
     heads = stored(heads, "heads")
@@ -295,7 +348,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, at_least: float = SIMILARIT
     # Who stands near nobody is alone in all of its buckets.
     members = listed(heads, ends, "doc_id").join(ends, "doc_id").join(joined, "doc_id", "left")
     members = stored(members.withColumn("root", F.coalesce("root", "doc_id")), "members")
-    far = far_pairs(members, at_least).join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti")
+    far = far_pairs(members, texts, at_least, words, weighted).join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti")
     third = stored(similarity(stored(far, "far"), texts, words, weighted), "judged-far")
     links = links.union(third.where(F.col("similarity") >= at_least).select("a", "b"))
     classes = components(links)

@@ -129,17 +129,37 @@ def test_near_copies_against_brute_force(spark):
     assert got == brute_classes([(r["doc_id"], r["text"]) for r in docs.collect()])
 
 
+@pytest.mark.parametrize("weighted", [False, True])
 @pytest.mark.parametrize("share", [4096, 3])
-def test_pairs_far_apart_in_a_bucket(spark, monkeypatch, share):
+def test_pairs_far_apart_in_a_bucket(spark, monkeypatch, share, weighted):
     monkeypatch.setattr(minhash, "SHARE_ROWS", share)
-    # One bucket of two large classes, one of three documents (all near), and bits that differ in 0, 40 or 41 places.
-    bits = {0: 0, 1: 2**40 - 1, 2: 2**41 - 1}
-    members = [(i, [7, 1000 + i], bits[i % 3], 0, 79 if i == 2 else 100, 1 if i < 13 else 2) for i in range(20)]
-    members += [(i, [8], 0, 0, 100, i) for i in (30, 31, 32)]
-    df = spark.createDataFrame(members, "doc_id long, bands array<long>, bits_a long, bits_b long, total long, root long")
-    apart = {(i, j): (bits[i % 3] ^ bits[j % 3]).bit_count() for i in range(13) for j in range(13, 20) if i != 2}
-    assert rows(minhash.far_pairs(df)) == sorted((p for p, d in apart.items() if d <= 40), key=repr)
-    assert minhash.bits_apart(0.8) == 40
+    draw = random.Random(9)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(120)] + ["again", "and"] * 20
+    texts = []
+    for _ in range(60):
+        words = list(base)
+        for _ in range(draw.randint(0, 6)):
+            words[draw.randrange(len(words))] = f"x{draw.randrange(4)}"
+        texts.append(" ".join(words[: draw.randint(120, len(words))]))
+    # One bucket of all texts in three classes, and one of three documents (all near).
+    members = [(i, [7 if i < 57 else 8], i % 3) for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    df = spark.createDataFrame(members, "doc_id long, bands array<long>, root long")
+    found = {(r["a"], r["b"]) for r in minhash.far_pairs(df, docs, weighted=weighted).collect()}
+    counts = []
+    for t in texts:
+        w = t.split()
+        c = Counter(tuple(w[j : j + 5]) for j in range(len(w) - 4))
+        counts.append(c if weighted else Counter(set(c)))
+    wanted = {
+        (i, j)
+        for i in range(57)
+        for j in range(i + 1, 57)
+        if i % 3 != j % 3 and (counts[i] & counts[j]).total() >= 0.8 * (counts[i] | counts[j]).total()
+    }
+    assert wanted and wanted <= found
+    assert all(i < j < 57 and i % 3 != j % 3 for i, j in found)
+    assert len(found) < 57 * 38 / 2
 
 
 def test_links_far_apart_in_crowded_buckets(spark, monkeypatch):
