@@ -258,9 +258,11 @@ def far_pairs(
     rows = stored(rows.join(buckets.hint("merge"), "key"), "open-buckets")
     bucket = rows.withColumn("share", F.pmod(F.xxhash64("doc_id"), F.col("shares")).cast("int")).alias("x")
     others = rows.where("root != main").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).alias("y")
-    # So many elements at most the two have in common before this one, and after it.
-    common = "least(x.place, y.place) + 1 + least(x.total - x.place, y.total - y.place) - 1"
-    enough = f"{common} >= {at_least / (1 + at_least)!r}D * (x.total + y.total) - 1e-6D"
+    # Two sets so similar have ``wanted`` elements in common, and one of them so early that so many can follow it.
+    wanted = f"{at_least / (1 + at_least)!r}D * (x.total + y.total) - 1e-6D"
+    common = "least(x.place, y.place) + least(x.total - x.place, y.total - y.place)"
+    early = "least(x.total - x.place, y.total - y.place)"
+    enough = f"{common} >= {wanted} AND {early} >= {wanted}"
     sizes = f"least(x.total, y.total) >= {at_least!r}D * greatest(x.total, y.total) - 1e-6D"
     apart = " + ".join(f"bit_count(x.{c} ^ y.{c})" for c in ODD)
     few = f"{apart} <= {(1 - at_least) / (1 + at_least)!r}D * (x.total + y.total) + 1e-6D"
