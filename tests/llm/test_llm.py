@@ -281,6 +281,25 @@ def test_kneser_ney_sums_to_one():
     assert model.probability(4, every).sum() == pytest.approx(1, abs=0.01)
 
 
+def test_models_hold_every_gram(spark, monkeypatch):
+    monkeypatch.setattr(language, "SHARD_ROWS", 30_000)
+    draw = random.Random(2)
+    sign = lambda: chr(0x4E00 + int(draw.paretovariate(0.3)) % 8000)
+    texts = [(lang, "".join(sign() for _ in range(500))) for lang in ("aa", "bb") for _ in range(80)]
+    docs = [(i, lang, text) for i, (lang, text) in enumerate(texts)]
+    model = language.train(spark.createDataFrame(docs, "doc_id long, lang string, text string"))
+    assert model.languages == ["aa", "bb"] and len(model.grams[4].names) > 1
+    counted = {}
+    for lang in model.languages:
+        counted[lang] = np.unique(language.symbols([t for x, t in texts if x == lang])[0], return_counts=True)
+    unknown = language.symbols(["".join(sign() for _ in range(2000)) + " other letters"])[0]
+    grams = np.concatenate([*(g for g, _ in counted.values()), unknown])
+    got = model.log_probabilities(grams)
+    for i, lang in enumerate(model.languages):
+        want = language.KneserNey(*counted[lang]).probability(4, grams)
+        assert got[:, i] == pytest.approx(np.log(want), abs=1e-4)
+
+
 def test_reparameterised_questions(spark):
     question = "a train leaves the station near Paris with 12 passengers and each of the 12 passengers pays 7 dollars to Anna before lunch today"
     benchmark = spark.createDataFrame([(1, question), (2, question), (3, None), (4, "too short")], "item_id long, text string")
