@@ -160,10 +160,11 @@ def _bitmap(benchmark: DataFrame) -> bytes:
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, plain: int = PLAIN) -> DataFrame:
-    """``doc_id, item_id, shift, n_matched, n_item, consistent``: windows that a document shares with an item.
+    """``doc_id, item_id, shift, n_matched, n_literal, n_item, consistent``: windows that a document shares with an item.
 
-    ``shift`` is how far the document's words stand behind the item's, so each row is one passage. It is consistent
-    when equal slot fillings of the item have equal ones in the document and different ones different ones.
+    ``shift`` is how far the document's words stand behind the item's, so each row is one passage. ``n_literal`` of its
+    windows agree word for word. It is consistent when equal slot fillings of the item have equal ones in the document
+    and different ones different ones.
 
     Tasks drop windows whose hash isn't in a bitmap of fixed size; those left are joined by hash. Words of the window
     travel with it, so nothing is read again.
@@ -182,23 +183,25 @@ def matches(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, plain: in
     # Literal and templated windows of one place count once; a passage has no more windows than its item.
     passage = hits.groupBy("doc_id", "item_id", "shift").agg(
         F.size(F.collect_set("at")).alias("n_matched"),
+        F.size(F.collect_set(F.when(~F.exists("kinds", lambda k: k > 0), F.col("at")))).alias("n_literal"),
         F.max("n_windows").alias("n_item"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
     )
     of = lambda side: F.size(F.array_distinct(F.transform("slots", lambda x: x[side])))
     consistent = (of("item") == F.size("slots")) & (of("doc") == F.size("slots"))
-    return passage.select("doc_id", "item_id", "shift", "n_matched", "n_item", consistent.alias("consistent"))
+    return passage.select("doc_id", "item_id", "shift", "n_matched", "n_literal", "n_item", consistent.alias("consistent"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, in_a_row: int = WINDOWS, share: float = SHARE) -> DataFrame:
     """``doc_id, item_id, n_windows, coverage`` of each document that holds a passage of the benchmark, the best one.
 
-    A passage counts when it is consistent and has ``in_a_row`` windows, or ``share`` of its item's windows if that is
-    less. Texts and items of fewer than ``words`` words have no window and can't be told. Null texts are empty; rows
+    A passage counts when it has ``in_a_row`` windows, or ``share`` of its item's windows if that is less: as many that
+    agree word for word, whatever the others say, or as many of any kind when it is consistent. Texts and items of fewer than ``words`` words have no window and can't be told. Null texts are empty; rows
     without an id are left out. Items with equal texts tie, and the smallest item_id is named; repeated documents are
     one. Empty tables give an empty result; other columns are not read.
     """
-    found = matches(docs, benchmark, words).where("consistent")
+    # Slots filled inconsistently take nothing from what stands there word for word.
+    found = matches(docs, benchmark, words).withColumn("n_matched", F.when(F.col("consistent"), F.col("n_matched")).otherwise(F.col("n_literal")))
     found = found.where(F.col("n_matched") >= F.least(F.lit(in_a_row), F.greatest(F.lit(1), F.ceil(share * F.col("n_item")))))
     best = F.max(F.struct("n_matched", (F.col("n_matched") / F.col("n_item")).alias("coverage"), (-F.col("item_id")).alias("item")))
     return found.groupBy("doc_id").agg(best.alias("x")).select(

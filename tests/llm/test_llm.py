@@ -319,6 +319,20 @@ def test_reparameterised_questions(spark):
     assert decontamination.contaminated(df, benchmark.where("false")).count() == 0
 
 
+def test_verbatim_passages_with_one_slot_altered(spark):
+    words = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(50)]
+    fill = lambda numbers: " ".join(numbers.get(i, w) for i, w in enumerate(words))
+    often = dict.fromkeys(range(4, 50, 8), "5")
+    benchmark = spark.createDataFrame([(1, fill({3: "5", 30: "5"})), (2, fill(often))], "item_id long, text string")
+    altered = fill({3: "5", 30: "7"})
+    docs = [(1, altered), (2, "well " + altered + " so"), (3, fill({i: str(i) for i in often})), (4, PROSE)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: (r["item_id"], r["n_windows"]) for r in decontamination.contaminated(df, benchmark).collect()}
+    assert {i: got[i] for i in (1, 2)} == {1: (1, 35), 2: (1, 35)}
+    # Numbers that contradict the item's in each window are no passage of it.
+    assert set(got) == {1, 2}
+
+
 def test_notices(spark):
     texts = [
         "All Rights Reserved. all rights reserved, CC-BY cc by",
