@@ -22,6 +22,8 @@ from pactloom.llm.suffix_array import repeated
 WIDTH = 200
 #: More differing contexts of one gram than this are told apart by longer grams first.
 GROUP = 4096
+#: Anchors of one gram that are sorted out at once; what comes out doesn't depend on it.
+PIECE_ROWS = 200_000
 #: Bytes of contexts that one suffix array is built over.
 SHARD_BYTES = 2_000_000
 
@@ -116,24 +118,30 @@ def _anchors(width: int):
     return run
 
 
-def _sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sort_out(piece_rows: int):
     """Rows sorted by (gram, context, tid, at), copies side by side: those whose gram stands elsewhere too.
 
     ``full`` says that the context stands elsewhere; ``first`` marks one row of each context. Rows at the ends of a
-    partition may have their likes in the next one and are given as if they had.
+    partition may have their likes in the next one and are given as if they had. Each row is given once: where a gram
+    is cut after ``piece_rows`` rows, the last row waits for the next piece, with the one before it to compare with.
     """
     names = ("gram", "context", "tid", "at")
 
-    def judged(rows: np.ndarray, open_start: bool, open_end: bool) -> pa.RecordBatch:
-        keep = np.append(True, ~same_pairs(rows, 4))
-        rows = rows[:, keep]
+    def same_pairs(rows, k):
+        return (rows[:k, 1:] == rows[:k, :-1]).all(axis=0)
+
+    def distinct(rows):
+        return rows[:, np.append(True, ~same_pairs(rows, 4))] if rows.shape[1] else rows
+
+    def judged(rows: np.ndarray, open_start: bool, open_end: bool, skip_first: bool = False, skip_last: bool = False) -> pa.RecordBatch:
         n = rows.shape[1]
         gram, context = same_pairs(rows, 1), same_pairs(rows, 2) & (rows[1, 1:] != 0)
         again = np.append(False, gram) | np.append(gram, False)
         full = np.append(False, context) | np.append(context, False)
         first = np.append(True, ~context)
         border = np.zeros(n, bool)
-        border[0], border[-1] = open_start, open_end
+        border[0] = open_start
+        border[-1] |= open_end  # a piece of one row may be open on either side
         pick = again | border
         # Groups whose contexts are all alike need no comparison.
         ids = np.cumsum(np.append(True, ~gram)) - 1
@@ -141,30 +149,33 @@ def _sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = np.zeros(int(ids[-1]) + 1, bool)
         edges[ids[border]] = True
         compare = first & ((kinds > 1) | edges[ids]) & pick
-        use = np.flatnonzero(pick & (full | compare))
+        given = pick & (full | compare)
+        given[0] &= not skip_first
+        given[-1] &= not skip_last
+        use = np.flatnonzero(given)
         arrays = [pa.array(rows[i, use]) for i in (0, 2, 3)] + [pa.array(full[use]), pa.array(compare[use])]
         return pa.RecordBatch.from_arrays(arrays, ["gram", "tid", "at", "full", "compare"])
 
-    def same_pairs(rows, k):
-        return (rows[:k, 1:] == rows[:k, :-1]).all(axis=0)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, start, given = np.empty((4, 0), np.int64), True, False
+        for batch in batches:
+            rows = np.stack([batch.column(c).to_numpy() for c in names])
+            held = distinct(np.concatenate([held, rows], axis=1))
+            if not held.shape[1]:
+                continue
+            # A gram's rows are judged together, up to a size; a larger group is cut, and the cut is open.
+            others = np.flatnonzero(held[0] != held[0, -1])
+            last = int(others[-1]) + 1 if len(others) else 0
+            if last:
+                yield judged(held[:, :last], start, False, given)
+                held, start, given = held[:, last:], False, False
+            elif held.shape[1] > max(2, piece_rows):
+                yield judged(held, True, True, given, True)
+                held, start, given = held[:, -2:], True, True
+        if held.shape[1]:
+            yield judged(held, start, True, given)
 
-    held, start = np.empty((4, 0), np.int64), True
-    for batch in batches:
-        rows = np.stack([batch.column(c).to_numpy() for c in names])
-        held = np.concatenate([held, rows], axis=1)
-        if not held.shape[1]:
-            continue
-        # A gram's rows are judged together, up to a size; a larger group is cut, and the cut is open.
-        others = np.flatnonzero(held[0] != held[0, -1])
-        last = int(others[-1]) + 1 if len(others) else 0
-        if last:
-            yield judged(held[:, :last], start, False)
-            held, start = held[:, last:], False
-        elif held.shape[1] > 200_000:
-            yield judged(held, True, True)
-            held, start = held[:, -1:], True
-    if held.shape[1]:
-        yield judged(held, start, True)
+    return run
 
 
 def _cut(width: int):
@@ -278,7 +289,7 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH) -> DataFrame:
     anchors = stored(texts.mapInArrow(_anchors(width), "gram long, context long, tid long, at long"), "anchors")
     order = ["gram", "context", "tid", "at"]
     dealt = anchors.repartitionByRange(*order).sortWithinPartitions(*order)
-    kept = stored(dealt.mapInArrow(_sort_out, "gram long, tid long, at long, full boolean, compare boolean"), "repeated-grams")
+    kept = stored(dealt.mapInArrow(_sort_out(PIECE_ROWS), "gram long, tid long, at long, full boolean, compare boolean"), "repeated-grams")
     reach = width - gram
     full = kept.where("full").select("tid", (F.col("at") - reach).alias("begin"), (F.col("at") + width).alias("end"))
     records = kept.where("compare").select("tid", F.col("gram").alias("key"), "at", F.lit(-reach).cast("long").alias("lo"), F.lit(0).cast("long").alias("hi"))

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from conftest import rows
@@ -99,6 +100,35 @@ def test_repeated_strings_against_brute_force(spark, monkeypatch, group):
     assert [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got] == want
 
 
+def test_rows_of_a_hot_gram_are_given_once():
+    # (gram, context, tid, at): one gram with repeated, unique and copied rows, between two others.
+    rows = [(1, 5, 1, 1), (2, 0, 1, 2), (2, 0, 4, 7), (2, 3, 1, 9), (2, 4, 2, 9), (2, 4, 2, 9), (2, 4, 3, 9), (2, 4, 5, 9), (2, 6, 7, 1), (2, 8, 7, 3), (3, 1, 1, 1), (3, 1, 2, 1)]
+    names = ["gram", "context", "tid", "at"]
+
+    def given(piece_rows, batch_rows):
+        batches = [pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows[i : i + batch_rows]]) for i in range(0, len(rows), batch_rows)]
+        return [tuple(r.values()) for b in suffixes._sort_out(piece_rows)(iter(batches)) for r in b.to_pylist()]
+
+    whole = given(100, 100)
+    assert len(set(whole)) == len(whole) == 11
+    for piece_rows in range(1, 8):
+        for batch_rows in range(1, 6):
+            assert given(piece_rows, batch_rows) == whole
+
+
+def test_strings_beside_a_hot_passage_stay(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "PIECE_ROWS", 40, raising=False)
+    monkeypatch.setattr(suffixes, "GROUP", 3)
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choice("abcde") for _ in range(draw.randint(3, 8)))
+    common = " ".join(word() for _ in range(30))[:60]
+    texts = [" ".join(word() for _ in range(12)) + common + " ".join(word() for _ in range(12)) for _ in range(600)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = suffixes.duplicate_spans(df, width=40).orderBy("doc_id").collect()
+    want = brute_spans([t.encode() for t in texts], 40)
+    assert [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got] == want
+
+
 def test_repeated_strings_of_odd_rows(odd, none):
     assert suffixes.duplicate_spans(odd).count() == odd.count()
     assert suffixes.duplicate_spans(none).count() == 0
