@@ -34,8 +34,20 @@ def _inferred_type() -> Column:
     return fits.otherwise("STRING")
 
 
-def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row of facts per column, from a single pass over the table."""
+def _shape(value: Column) -> list[Column]:
+    prefix = F.regexp_extract(value, NUMBERED, 1)
+    digits = F.length(F.regexp_extract(value, NUMBERED, 2))
+    return [
+        F.count_if(value.rlike(NUMBERED)).alias("numbered"),
+        F.min(prefix).alias("first_prefix"),
+        F.max(prefix).alias("last_prefix"),
+        F.min(digits).alias("min_digits"),
+        F.max(digits).alias("max_digits"),
+    ]
+
+
+def column_stats(df: DataFrame, columns: Sequence[str] | None = None, shapes: bool = False) -> DataFrame:
+    """One row of facts per column, from a single pass over the table; ``shapes`` adds those of numbered texts."""
     value = F.col("value")
     casts = {t.lower(): safe_cast(value, t) for t in CANDIDATE_TYPES}
     cast = _pairs(df, list(columns or df.columns)).select("column_name", "value", *[c.alias(n) for n, c in casts.items()])
@@ -46,73 +58,60 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
         F.max("numeric").alias("max_number"),
         F.approx_count_distinct("value").alias("approx_distinct"),
         *[F.count(n).alias(n) for n in casts],
+        *(_shape(value) if shapes else []),
     )
     return facts.withColumn("inferred_type", _inferred_type())
 
 
-def value_counts(df: DataFrame, columns: Sequence[str], listed: Sequence[str]) -> DataFrame:
-    """Exact number of distinct values, the highest repeat, the shape, and the values of ``listed`` columns.
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Exact number of distinct values and the highest repeat of each column.
 
-    Counting by (column, value) combines before the shuffle and spreads wide
-    columns; values are gathered only for columns known to have few.
+    Counting by (column, value) combines before the shuffle and spreads wide columns.
     """
     counted = _pairs(df, columns).where("value IS NOT NULL")
     repeats = counted.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    value = F.col("value")
-    prefix = F.regexp_extract(value, NUMBERED, 1)
-    digits = F.length(F.regexp_extract(value, NUMBERED, 2))
-    return repeats.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("distinct_values"),
-        F.max("n").alias("max_repeat"),
-        F.sort_array(F.collect_list(F.when(F.col("column_name").isin(list(listed)), value))).alias("listed_values"),
-        F.count_if(value.rlike(NUMBERED)).alias("numbered"),
-        F.min(prefix).alias("first_prefix"),
-        F.max(prefix).alias("last_prefix"),
-        F.min(digits).alias("min_digits"),
-        F.max(digits).alias("max_digits"),
-    )
+    return repeats.groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_values"), F.max("n").alias("max_repeat"))
 
 
-def _tests(stats: Row, counts: Row | None) -> tuple[ColumnTest, ...]:
+def listed_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The values of ``columns``, sorted; for columns known to have few."""
+    values = _pairs(df, columns).where("value IS NOT NULL").distinct()
+    return values.groupBy("column_name").agg(F.sort_array(F.collect_list("value")).alias("listed_values"))
+
+
+def _tests(stats: Row, listed: Sequence[str]) -> tuple[ColumnTest, ...]:
     if stats["inferred_type"] in ("INT64", "NUMERIC") and stats["filled"]:
         return (ColumnTest("range", low=stats["min_number"].normalize(), high=stats["max_number"].normalize()),)
     if stats["inferred_type"] != "STRING" or not stats["filled"]:
         return ()
-    if counts is None:
-        return ()
-    if 0 < len(counts["listed_values"]) <= MAX_LISTED_VALUES:
-        return (ColumnTest("accepted_values", values=tuple(counts["listed_values"])),)
-    if counts["numbered"] == counts["distinct_values"] and counts["first_prefix"] == counts["last_prefix"]:
-        low, high = counts["min_digits"], counts["max_digits"]
-        return (ColumnTest("regex", pattern=f"^{counts['first_prefix']}[0-9]{{{low},{high}}}$"),)
+    if listed:
+        return (ColumnTest("accepted_values", values=tuple(listed)),)
+    if stats["numbered"] == stats["filled"] and stats["first_prefix"] == stats["last_prefix"]:
+        low, high = stats["min_digits"], stats["max_digits"]
+        return (ColumnTest("regex", pattern=f"^{stats['first_prefix']}[0-9]{{{low},{high}}}$"),)
     return ()
 
 
-def profile_contract(df: DataFrame, name: str, columns: Sequence[str] | None = None) -> Contract:
+def profile_contract(
+    df: DataFrame, name: str, columns: Sequence[str] | None = None, max_listed: int = MAX_LISTED_VALUES
+) -> Contract:
     """A contract that the data meets: types, constraints, tests, key and partition column.
 
-    The first pass reads every column once; only columns it finds nearly
-    unique, or of few values, are then counted exactly.
+    The first pass reads every column once. Values of texts, and of columns that may be a key, are then counted
+    exactly, however many there are; a text's values are listed where it has at most ``max_listed``.
     """
     names = list(columns or df.columns)
-    stats = {r["column_name"]: r for r in column_stats(df, names).collect()}
+    stats = {r["column_name"]: r for r in column_stats(df, names, shapes=True).collect()}
     if not stats:
         return default_contract(name, names)
     full = [c for c in names if stats[c]["filled"] == stats[c]["row_count"] > 0]
-    nearly_unique = [
-        c
-        for c in full
-        if stats[c]["inferred_type"] in ("INT64", "STRING")
-        and stats[c]["approx_distinct"] >= 0.9 * stats[c]["row_count"]
-    ]
-    few_values = [
-        c
-        for c in names
-        if stats[c]["inferred_type"] == "STRING" and 0 < stats[c]["approx_distinct"] <= 2 * MAX_LISTED_VALUES
-    ]
-    exact = list(dict.fromkeys([*nearly_unique, *few_values]))
-    counts = {r["column_name"]: r for r in value_counts(df, exact, few_values).collect()} if exact else {}
-    unique = [c for c in nearly_unique if counts[c]["max_repeat"] == 1]
+    texts = [c for c in names if stats[c]["inferred_type"] == "STRING" and stats[c]["filled"]]
+    candidates = [c for c in full if stats[c]["inferred_type"] in ("INT64", "STRING")]
+    exact = list(dict.fromkeys([*candidates, *texts]))
+    counts = {r["column_name"]: r for r in value_counts(df, exact).collect()} if exact else {}
+    few = [c for c in texts if counts[c]["distinct_values"] <= max_listed]
+    listed = {r["column_name"]: r["listed_values"] for r in listed_values(df, few).collect()} if few else {}
+    unique = [c for c in candidates if counts[c]["max_repeat"] == 1]
     key = next(iter(unique), None)
     drafted = tuple(
         ContractColumn(
@@ -121,7 +120,7 @@ def profile_contract(df: DataFrame, name: str, columns: Sequence[str] | None = N
             primary_key=c == key,
             not_null=c in full,
             unique=c in unique,
-            tests=_tests(stats[c], counts.get(c)),
+            tests=_tests(stats[c], listed.get(c, ())),
         )
         for c in names
     )

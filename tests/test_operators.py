@@ -226,6 +226,18 @@ def test_profile_contract(spark):
     assert report.agg(F.sum("failing_rows")).first()[0] == 0
 
 
+def test_profile_counts_every_candidate_exactly(spark):
+    unique = [F.xxhash64("id", F.lit(i)).cast("string").alias(f"u{i}") for i in range(12)]
+    numbered = F.concat(F.lit("K-"), (F.col("id") % 300).cast("string")).alias("numbered")
+    colour = F.concat(F.lit("c"), F.chr(F.col("id") % 3 + 97)).alias("colour")
+    df = spark.range(1000).select(numbered, colour, *unique)
+    contract = profile.profile_contract(df, "things", max_listed=2)
+    by_name = {c.name: c for c in contract.columns}
+    assert by_name["numbered"].tests[0].pattern == "^K-[0-9]{1,3}$" and not by_name["numbered"].unique
+    assert by_name["colour"].tests == ()
+    assert all(by_name[f"u{i}"].unique for i in range(12)) and contract.key == ["u0"]
+
+
 def test_profile_of_empty_table(spark):
     contract = profile.profile_contract(spark.createDataFrame([], "a string, b string"), "none")
     assert [(c.type, c.not_null, c.primary_key) for c in contract.columns] == [("STRING", False, False)] * 2
