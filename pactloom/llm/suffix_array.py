@@ -106,33 +106,60 @@ def _names(t: np.ndarray, ordered: np.ndarray, marks: np.ndarray) -> np.ndarray:
     return np.cumsum(new) - 1
 
 
+def _induce_each(t: np.ndarray, smaller: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """The same as ``induce`` for a string of names, whose many symbols have few suffixes each: one suffix at a time.
+
+    Symbols are dense and 0 is the last symbol alone.
+    """
+    sizes = np.bincount(t)
+    ends = np.cumsum(sizes)
+    dealt = seeds[np.argsort(t[seeds], kind="stable")]
+    symbol = t[dealt]
+    from_right = np.searchsorted(symbol, symbol, "right") - np.arange(len(symbol))
+    placed = np.full(len(t), -1)
+    placed[ends[symbol] - from_right] = dealt
+    order, symbols, small = placed.tolist(), t.tolist(), smaller.tolist()
+    head = (ends - sizes).tolist()
+    for i in range(len(order)):
+        j = order[i] - 1
+        if j >= 0 and not small[j]:
+            c = symbols[j]
+            order[head[c]] = j
+            head[c] += 1
+    tail = ends.tolist()
+    for i in range(len(order) - 1, -1, -1):
+        j = order[i] - 1
+        if j >= 0 and small[j]:
+            c = symbols[j]
+            tail[c] -= 1
+            order[tail[c]] = j
+    return np.array(order)
+
+
 def _sort_names(names: np.ndarray) -> np.ndarray:
-    """Order of the suffixes of a string of names: ranks of twice the length each round, until all differ."""
-    rank, step = names.astype(np.int64), 1
-    order = np.argsort(rank, kind="stable")
-    while True:
-        after = np.zeros(len(rank), np.int64)
-        after[: len(rank) - step] = rank[step:] + 1
-        # Only suffixes that still share a rank are sorted anew.
-        sorted_rank = rank[order]
-        alike = np.append(False, sorted_rank[1:] == sorted_rank[:-1])
-        shared = alike | np.append(alike[1:], False)
-        if not shared.any():
-            return order
-        part = order[shared]
-        part = part[np.lexsort((after[part], rank[part]))]
-        order[shared] = part
-        new = np.append(True, (rank[order][1:] != rank[order][:-1]) | (after[order][1:] != after[order][:-1]))
-        place = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-        rank = np.empty_like(rank)
-        rank[order] = place
-        step *= 2
-
-
-def suffix_array(t: np.ndarray) -> np.ndarray:
-    """The order of all suffixes of ``t`` (symbols below 2^16), whose symbol 0 ends each text, the last one too."""
+    """Order of the suffixes of a string of names, by the suffix array of that string.
+
+    A name that stands once decides each comparison that reaches it, so of those in a row only the first is kept.
+    """
+    shared = np.bincount(names)[names] > 1
+    kept = np.flatnonzero(shared | np.append(False, shared[:-1]))
+    _, dense = np.unique(names[kept], return_inverse=True)
+    order = suffix_array(np.append(dense + 1, 0), _induce_each)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    among = np.zeros(len(names), np.int64)
+    among[kept] = rank[:-1]
+    return np.lexsort((among, names))
+
+
+def suffix_array(t: np.ndarray, induced=induce) -> np.ndarray:
+    """The order of all suffixes of ``t``, whose symbol 0 ends each text, the last one too.
+
+    Suffixes are classified, the leftmost-smaller substrings sorted by a first induction and named, the string of the
+    names sorted the same way where names repeat, and the whole order induced from that of the names.
+    """
     smaller, marks = classify(t)
-    rough = induce(t, smaller, marks)
+    rough = induced(t, smaller, marks)
     is_mark = np.zeros(len(t), bool)
     is_mark[marks] = True
     ordered = rough[is_mark[rough]]
@@ -141,11 +168,11 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
         text_order = np.empty(len(marks), np.int64)
         text_order[np.searchsorted(marks, ordered)] = names
         ordered = marks[_sort_names(text_order)]
-    return induce(t, smaller, ordered)
+    return induced(t, smaller, ordered)
 
 
 def permuted_common_prefixes(t: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each suffix, in text order: its predecessor in ``order`` (-1 for the first) and their common prefix.
+    """For each suffix, in text order (symbols below 2^16): its predecessor in ``order`` (-1 for the first) and their common prefix.
 
     Where the symbols before both differ the prefix is compared, four symbols at a time; elsewhere it is one less
     than that of the suffix before.

@@ -79,7 +79,8 @@ def successors(ids: DataFrame) -> DataFrame:
     ends = ids.agg(F.min("id").alias("lo"), F.max("id").alias("hi")).first()
     if ends["lo"] is None:
         return ids.select("id", F.col("id").alias("next"))
-    group = F.shiftright("id", GROUP_BITS)
+    # Numbered from the smallest group's, so that numbers shrink to 0 from level to level, those of negative ids too.
+    group = F.shiftright("id", GROUP_BITS) - F.lit(ends["lo"] >> GROUP_BITS)
     if ends["lo"] >> GROUP_BITS == ends["hi"] >> GROUP_BITS:
         lead = F.lead("id").over(Window.partitionBy(group).orderBy("id"))
         return ids.select("id", F.coalesce(lead, F.lit(ends["lo"])).alias("next"))
@@ -107,7 +108,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     after = successors(firsts.select(F.col("g").alias("id")))
     # Written down, so that its size is known and a small one is broadcast instead of shuffling the texts to it.
     visits = stored(after.join(firsts.select(F.col("g").alias("next"), "k"), "next").select("k", F.col("id").alias("g")), "visits")
-    guests = own.drop("g").join(visits, "k").withColumn("guest", F.lit(True))
+    guests = own.drop("g", "guest").join(visits, "k").groupBy("k", "g").agg(F.min("text").alias("text"))
+    guests = guests.withColumns({"doc_id": F.lit(None).cast("long"), "guest": F.lit(True)})
     order = ["g", "guest", "k", "text"]
     rows = own.unionByName(guests).repartition("g").sortWithinPartitions(*order)
     rows = with_fingerprint(rows, "text", "fp")

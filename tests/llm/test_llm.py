@@ -70,6 +70,35 @@ def test_suffix_array_and_prefixes():
             assert (before[i], common[i]) == (j, n)
 
 
+def common_from_scratch(t, order):
+    """Suffixes of a text with one separator at its end, and what neighbours in their order share, by slices."""
+    raw = bytes(int(x) for x in t)
+    want = sorted(range(len(raw)), key=lambda i: raw[i:])
+    assert list(order) == want
+    _, common = suffix_array.permuted_common_prefixes(t, order)
+    for j, i in zip(want, want[1:], strict=False):
+        n = int(common[i])
+        assert raw[i : i + n] == raw[j : j + n]
+        assert raw[i + n] != raw[j + n] or raw[i + n] == 0
+
+
+@pytest.mark.parametrize("period", range(1, 10))
+def test_suffix_array_of_periodic_texts(period):
+    draw = random.Random(period)
+    for size in (1, 2, 3, 5, 8, 13, 60, 61, 250, 2000):
+        for k in (2, 3, 9):
+            unit = [draw.randint(1, k) for _ in range(period)]
+            t = np.array([*(unit[i % period] for i in range(size)), 0], np.int16)
+            common_from_scratch(t, suffix_array.suffix_array(t))
+            mixed = np.array([*t[:-1], *(draw.randint(1, k) for _ in range(size % 50)), *t[:-1], 0], np.int16)
+            common_from_scratch(mixed, suffix_array.suffix_array(mixed))
+    for seed in range(20):
+        # Names repeat over several rounds of the recursion.
+        pieces = [[random.Random(seed).randint(1, 2) for _ in range(5)], [1, 2] * period, [2, 1, 1] * period]
+        t = np.array([x for _ in range(40) for x in pieces[draw.randint(0, 2)]] + [0], np.int16)
+        common_from_scratch(t, suffix_array.suffix_array(t))
+
+
 def brute_spans(texts, width):
     counts = Counter(t[j : j + width] for t in texts for j in range(len(t) - width + 1))
     out = []
@@ -130,10 +159,21 @@ def test_strings_beside_a_hot_passage_stay(spark, monkeypatch):
 
 
 def test_repeated_strings_of_odd_rows(odd, none):
-    assert suffixes.duplicate_spans(odd).count() == odd.count()
+    data = sorted(odd.select("doc_id", "text").collect(), key=lambda r: (str(r[0]), str(r[1])))
+    want = brute_spans([(r[1] or "").encode() for r in data], 200)
+    got = suffixes.duplicate_spans(odd).collect()
+    assert sorted((str(r[0]), *r[1:5]) for r in got) == sorted((str(r[0]), *w) for r, w in zip(data, want, strict=True))
     assert suffixes.duplicate_spans(none).count() == 0
 
 
+def test_periodic_texts_lose_what_repeats(spark):
+    texts = ["ab" * 300, "-" * 500, ("- " * 40 + "\n") * 20, "abc" * 70 + "x" + "abc" * 70, "|---|" * 90, "q" * 199]
+    texts += [f"table {i} " + "|---" * 80 + f" end {i}" for i in range(8)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = suffixes.duplicate_spans(df).orderBy("doc_id").collect()
+    assert [tuple(r)[1:5] for r in got] == brute_spans([t.encode() for t in texts], 200)
+
+
 def brute_classes(pairs, words=5, least=0.8):
     sets = {}
     for i, t in pairs:
@@ -266,6 +306,17 @@ def test_fingerprints_of_odd_rows(odd, none):
     assert winnowing.fingerprints(none).count() == 0
 
 
+@pytest.mark.parametrize("ids", [[-(2**63), -1, 0, 5, 2**63 - 1], [-(2**63), -3000, None, 2**62], [None], [-5, 1], [2**63 - 1, 2**63 - 2]])
+def test_next_documents_of_any_ids(spark, ids):
+    texts = {i: f"{PROSE[n:]} number {n}" for n, i in enumerate(ids)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    order = sorted(ids, key=lambda i: -1 if i is None else i)
+    got = {r["doc_id"]: r for r in winnowing.fingerprints(df).collect()}
+    for i, following in zip(order, [*order[1:], order[0]], strict=True):
+        edited = texts[i][: len(texts[i]) - len(texts[i]) // 4] + texts[following][: len(texts[i]) // 4]
+        assert got[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+
+
 def test_urls(spark):
     urls = [(1, "http://A.Example.org/es/x?q#f"), (2, None), (3, "nothing"), (4, "x://h"), (5, "ftp://a.com/fr/"), (6, "http://b.com?/de/")]
     pages = spark.createDataFrame(urls, "page_id long, url string")
