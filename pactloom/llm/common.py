@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
-from collections.abc import Iterator
-from functools import cache
+from collections.abc import Callable, Iterator
+from functools import cache, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ BATCH_ROWS = 256
 #: Bytes of text that are turned into arrays at once inside a task.
 CHUNK_BYTES = 2_000_000
 
-#: Bits of the bitmap that ``listed`` holds keys against (2 MB), however many keys there are.
+#: Bits of a bitmap's address where its size doesn't follow the keys (2 MB).
 FILTER_BITS = 24
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -39,13 +40,56 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Folders of tables written inside each ``tidy`` function that is running.
+_written: list[list[str]] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a written table: computed once, and a lost executor doesn't replay what lies before it."""
     path = shared_folder(df.sparkSession, name)
+    if _written:
+        _written[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def tidy(step: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A step whose result is written; the tables that it wrote on the way are removed, and Spark may drop its shuffles."""
+
+    @wraps(step)
+    def run(*args, **options) -> DataFrame:
+        spark, out = SparkSession.active(), None
+        _written.append([])
+        try:
+            out = stored(step(*args, **options), step.__name__)
+        finally:
+            made = _written.pop()
+            for folder in made[:-1] if out is not None else made:
+                remove(spark, folder)
+            if out is not None and _written:
+                _written[-1].append(made[-1])
+        # Shuffle files go once nobody holds the frames that made them; the driver's JVM would find that out much later.
+        gc.collect()
+        spark._jvm.System.gc()
+        return out
+
+    return run
+
+
+def free_prefix(*frames: DataFrame) -> str:
+    """What no column of ``frames`` begins with, for columns of one's own beside theirs."""
+    names = [c.lower() for df in frames for c in df.columns]
+    prefix = "_"
+    while any(n.startswith(prefix) for n in names):
+        prefix += "_"
+    return prefix
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: each bit of the result depends on every bit of ``x``."""
     x = x.astype(np.uint64, copy=True)
@@ -137,25 +181,49 @@ def window_hashes(words: np.ndarray, owner: np.ndarray, width: int) -> tuple[np.
     return mix(np.concatenate(hashes)), np.concatenate(owners)
 
 
-def _slot(key: str):
-    return F.shiftrightunsigned(F.xxhash64(key), 64 - FILTER_BITS).cast("int")
+def _slot(key: str, bits: int = FILTER_BITS):
+    return F.shiftrightunsigned(F.xxhash64(key), 64 - bits).cast("int")
+
+
+def bitmap(slots: DataFrame, bits: int = FILTER_BITS) -> bytes:
+    """``2^bits`` bits, those of ``slots (slot)`` set. Words of 64 slots are made in Spark; no more come to the driver."""
+    words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(slot & 63 AS INT)))").alias("mask")
+    )
+    found = words.toPandas()
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[found["word"].to_numpy(np.int64)] = found["mask"].to_numpy(np.int64).view(np.uint64)
+    return np.packbits(np.unpackbits(out.view(np.uint8), bitorder="little")).tobytes()
+
+
+def filter_bits(n_keys: int) -> int:
+    """Bits of a filter's address for so many keys: 16 bits a key, from 2^16 to 2^28 (32 MB) in all."""
+    return min(28, max(16, (16 * max(1, n_keys) - 1).bit_length()))
+
+
+def _held_against(rows: DataFrame, keys: DataFrame, key: str, keep: bool) -> DataFrame:
+    bits = filter_bits(keys.count())
+    held = rows.sparkSession.sparkContext.broadcast(bitmap(keys.select(_slot(key, bits).alias("slot")), bits))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.frombuffer(held.value, np.uint8)
+        for batch in batches:
+            slot = batch.column("_slot").to_numpy()
+            found = (known[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == int(keep)
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1], batch.schema.names[:-1]).filter(pa.array(found))
+
+    return rows.withColumn("_slot", _slot(key, bits)).mapInArrow(run, rows.schema)
 
 
 def listed(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """``rows`` without most of those whose ``key`` isn't in ``keys``: what a join with ``keys`` needs, before its shuffle.
 
-    Tasks look into a bitmap of fixed size over a hash of the keys; at most 2^24 slots come to the driver. Where there
-    are so many keys that all bits are set, all rows stay and the join alone decides.
+    Tasks look into a bitmap over a hash of the keys, 16 bits for each, of 2^28 bits (32 MB) at most. Beyond some 10^8
+    keys ever more bits are set and more rows stay; the join that follows decides in any case.
     """
-    slots = keys.select(_slot(key).alias("slot")).distinct().toPandas()["slot"].to_numpy(np.int64)
-    bits = np.zeros(1 << FILTER_BITS, bool)
-    bits[slots] = True
-    held = rows.sparkSession.sparkContext.broadcast(np.packbits(bits).tobytes())
+    return _held_against(rows, keys, key, True)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.unpackbits(np.frombuffer(held.value, np.uint8)).astype(bool)
-        for batch in batches:
-            fine = pa.array(known[batch.column("_slot").to_numpy()])
-            yield pa.RecordBatch.from_arrays(batch.columns[:-1], batch.schema.names[:-1]).filter(fine)
 
-    return rows.withColumn("_slot", _slot(key)).mapInArrow(run, rows.schema)
+def unlisted(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows that ``listed`` leaves out: their ``key`` isn't in ``keys``, so no join has to say so."""
+    return _held_against(rows, keys, key, False)

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pactloom.llm import (
+    bloom_search,
     decontamination,
+    hilbert,
     host_reputation,
     language,
     minhash,
@@ -32,6 +34,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         notices.op8_short_notices,
         warc.op9_warc_dictionary,
         site_lines.op10_site_lines,
+        bloom_search.op11_bloom_search,
+        hilbert.op13_hilbert_shards,
     )
 }
 
@@ -39,4 +43,5 @@ SQL: dict[str, str] = {
     "op4_host_reputation": host_reputation.OP4_SQL,
     "op9_warc_dictionary": warc.OP9_SQL,
     "op10_site_lines": site_lines.OP10_SQL,
+    "op11_bloom_search": bloom_search.OP11_SQL,
 }
