@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pactloom.llm import (
     bloom_search,
     decontamination,
+    hard_negatives,
     hilbert,
     host_reputation,
     language,
@@ -35,6 +36,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         warc.op9_warc_dictionary,
         site_lines.op10_site_lines,
         bloom_search.op11_bloom_search,
+        hard_negatives.op12_maximus_negatives,
         hilbert.op13_hilbert_shards,
     )
 }
@@ -44,4 +46,5 @@ SQL: dict[str, str] = {
     "op9_warc_dictionary": warc.OP9_SQL,
     "op10_site_lines": site_lines.OP10_SQL,
     "op11_bloom_search": bloom_search.OP11_SQL,
+    "op12_maximus_negatives": hard_negatives.OP12_SQL,
 }
