@@ -9,12 +9,13 @@ from pactloom.llm.common import mix
 
 def classify(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which suffixes are smaller than the next one, and the leftmost of each run of those."""
-    change = np.flatnonzero(t[:-1] != t[1:])
+    differs = t[:-1] != t[1:]
+    change = np.flatnonzero(differs)
     smaller = np.ones(len(t), bool)
     if len(change):
-        at = np.minimum(np.searchsorted(change, np.arange(len(t) - 1)), len(change) - 1)
-        smaller[:-1] = t[change[at]] < t[change[at] + 1]
-        smaller[change[-1] + 1 :] = True
+        # What holds at the next change holds for the run of equal symbols before it.
+        rises = t[change] < t[change + 1]
+        smaller[: change[-1] + 1] = np.repeat(rises, np.diff(np.append(-1, change)))
     left = smaller.copy()
     left[0] = False
     left[1:] &= ~smaller[:-1]
@@ -97,7 +98,9 @@ def _names(t: np.ndarray, ordered: np.ndarray, marks: np.ndarray) -> np.ndarray:
     inverse[0] = 1
     inverse = np.cumprod(inverse)
     sums = np.append(np.uint64(0), np.cumsum(mix(t.astype(np.uint64) + np.uint64(1)) * powers[:-1]))
-    at = np.searchsorted(marks, ordered)
+    number = np.empty(len(t), np.int64)
+    number[marks] = np.arange(len(marks))
+    at = number[ordered]
     end = np.append(marks[1:], len(t) - 1)[at] + 1
     value = (sums[end] - sums[ordered]) * inverse[ordered]
     unique = (t[ordered] == 0) | (t[end - 1] == 0)
@@ -118,21 +121,26 @@ def _induce_each(t: np.ndarray, smaller: np.ndarray, seeds: np.ndarray) -> np.nd
     from_right = np.searchsorted(symbol, symbol, "right") - np.arange(len(symbol))
     placed = np.full(len(t), -1)
     placed[ends[symbol] - from_right] = dealt
-    order, symbols, small = placed.tolist(), t.tolist(), smaller.tolist()
-    head = (ends - sizes).tolist()
-    for i in range(len(order)):
-        j = order[i] - 1
-        if j >= 0 and not small[j]:
-            c = symbols[j]
-            order[head[c]] = j
-            head[c] += 1
-    tail = ends.tolist()
-    for i in range(len(order) - 1, -1, -1):
-        j = order[i] - 1
-        if j >= 0 and small[j]:
-            c = symbols[j]
-            tail[c] -= 1
-            order[tail[c]] = j
+    order = placed.tolist()
+    head, tail = (ends - sizes).tolist(), ends.tolist()
+    # The symbol before each suffix where that belongs to the pass, else -1; so it is for an empty place (-1) as well.
+    before = np.append(t[-1:], t[:-1])
+    is_small = np.append(True, smaller[:-1])
+    wanted = np.append(np.where(is_small, -1, before), -1).tolist()
+    for p in order:
+        c = wanted[p]
+        if c >= 0:
+            i = head[c]
+            order[i] = p - 1
+            head[c] = i + 1
+    is_small[0] = False
+    wanted = np.append(np.where(is_small, before, -1), -1).tolist()
+    for p in reversed(order):
+        c = wanted[p]
+        if c >= 0:
+            i = tail[c] - 1
+            order[i] = p - 1
+            tail[c] = i
     return np.array(order)
 
 
@@ -165,9 +173,9 @@ def suffix_array(t: np.ndarray, induced=induce) -> np.ndarray:
     ordered = rough[is_mark[rough]]
     names = _names(t, ordered, marks)
     if len(names) and names[-1] + 1 < len(names):
-        text_order = np.empty(len(marks), np.int64)
-        text_order[np.searchsorted(marks, ordered)] = names
-        ordered = marks[_sort_names(text_order)]
+        text_order = np.empty(len(t), np.int64)
+        text_order[ordered] = names
+        ordered = marks[_sort_names(text_order[marks])]
     return induced(t, smaller, ordered)
 
 
