@@ -9,6 +9,7 @@ where contexts of one gram differ, a suffix array over them tells how far they a
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -263,15 +264,35 @@ def _compare(width: int):
             [pa.array(tids), pa.array(starts[first] + shift), pa.array(starts[last] + shift + width)], ["tid", "begin", "end"]
         )
 
+    def alike(group: list[tuple]) -> list[tuple]:
+        """Contexts of one gram that can have a string in common with another.
+
+        A string that begins in the first half of a context's places covers the middle of them and all up to the end
+        of the gram; one that begins later covers the gram and all up to the middle's end. One of both must stand in
+        another context.
+        """
+        sides: list[tuple] = []
+        for _, begin, raw, at, lo, hi in group:
+            mid = (lo + hi) // 2
+            a, b = at + mid - begin, at + mid + 1 + width - begin
+            sides.append((raw[a : at + lo + width - begin] if a >= 0 else None, raw[at + hi - begin : b] if b <= len(raw) else None))
+        left, right = (Counter(x) for x in zip(*sides, strict=True))
+        return [row[:3] for row, (a, b) in zip(group, sides, strict=True) if (a is not None and left[a] > 1) or (b is not None and right[b] > 1)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, held, key = [], 0, None
+        rows, group, held, key = [], [], 0, None
         for batch in batches:
-            for k, tid, begin, raw in zip(*(batch.column(c).to_pylist() for c in ("key", "tid", "begin", "bytes")), strict=True):
-                if held >= SHARD_BYTES and k != key:
-                    yield spans(rows)
-                    rows, held = [], 0
-                rows.append((tid, begin, raw))
-                held, key = held + len(raw), k
+            columns = (batch.column(c).to_pylist() for c in ("key", "tid", "begin", "bytes", "at", "lo", "hi"))
+            for k, *row in zip(*columns, strict=True):
+                if k != key:
+                    fit = alike(group) if group else []
+                    rows, held, group = rows + fit, held + sum(len(r[2]) for r in fit), []
+                    if held >= SHARD_BYTES:
+                        yield spans(rows)
+                        rows, held = [], 0
+                group.append(tuple(row))
+                key = k
+        rows += alike(group) if group else []
         if rows:
             yield spans(rows)
 
@@ -297,7 +318,7 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH) -> DataFrame:
     while True:
         cut = stored(contexts(texts, records, width), "contexts")
         large = stored(cut.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP).select("key"), "large-groups")
-        small = cut.join(large, "key", "left_anti").select("key", "tid", "begin", "bytes")
+        small = cut.join(large, "key", "left_anti").select("key", "tid", "begin", "bytes", "at", "lo", "hi")
         shards = max(1, int((cut.agg(F.sum(F.length("bytes"))).first()[0] or 0) // SHARD_BYTES))
         arrays = small.repartition(shards, "key").sortWithinPartitions("key").mapInArrow(_compare(width), SPAN)
         found.append(stored(arrays, "spans"))
