@@ -197,29 +197,27 @@ def bitmap(slots: DataFrame, bits: int = FILTER_BITS) -> bytes:
 
 
 def filter_bits(n_keys: int) -> int:
-    """Bits of a filter's address for so many keys: 16 bits a key, from 2^16 to 2^28 (32 MB) in all."""
-    return min(28, max(16, (16 * max(1, n_keys) - 1).bit_length()))
+    """Bits of a filter's address for so many keys: 16 bits a key, from 2^16 to 2^26 in all (a million words of 64)."""
+    return min(26, max(16, (16 * max(1, n_keys) - 1).bit_length()))
 
 
 def _held_against(rows: DataFrame, keys: DataFrame, key: str, keep: bool) -> DataFrame:
-    bits = filter_bits(keys.count())
-    held = rows.sparkSession.sparkContext.broadcast(bitmap(keys.select(_slot(key, bits).alias("slot")), bits))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.frombuffer(held.value, np.uint8)
-        for batch in batches:
-            slot = batch.column("_slot").to_numpy()
-            found = (known[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == int(keep)
-            yield pa.RecordBatch.from_arrays(batch.columns[:-1], batch.schema.names[:-1]).filter(pa.array(found))
-
-    return rows.withColumn("_slot", _slot(key, bits)).mapInArrow(run, rows.schema)
+    bits, p = filter_bits(keys.count()), free_prefix(rows)
+    slots = keys.select(_slot(key, bits).alias("slot"))
+    words = slots.groupBy(F.shiftright("slot", 6).alias(f"{p}word")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(slot & 63 AS INT)))").alias(f"{p}mask")
+    )
+    held = rows.withColumn(f"{p}slot", _slot(key, bits))
+    held = held.join(F.broadcast(words), F.shiftright(f"{p}slot", 6) == F.col(f"{p}word"), "inner" if keep else "left")
+    found = F.expr(f"coalesce(shiftright({p}mask, {p}slot & 63) & 1L, 0L) = 1L")
+    return held.where(found if keep else ~found).select(*(F.col(f"`{c}`") for c in rows.columns))
 
 
 def listed(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """``rows`` without most of those whose ``key`` isn't in ``keys``: what a join with ``keys`` needs, before its shuffle.
 
-    Tasks look into a bitmap over a hash of the keys, 16 bits for each, of 2^28 bits (32 MB) at most. Beyond some 10^8
-    keys ever more bits are set and more rows stay; the join that follows decides in any case.
+    A hash of the key is looked up in a bitmap of 16 bits for each key, that is broadcast as at most 2^20 words. Beyond
+    some 10^7 keys ever more bits are set and more rows stay; the join that follows decides in any case.
     """
     return _held_against(rows, keys, key, True)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pactloom.session import cut_lineage
+from pactloom.llm.common import stored, tidy
 
 
 def _digest(edges: DataFrame) -> tuple:
@@ -13,6 +13,7 @@ def _digest(edges: DataFrame) -> tuple:
     return row["n"], row["s"]
 
 
+@tidy
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(id, root)`` for every id that an edge names; ``root`` is the smallest id it is connected with.
 
@@ -22,18 +23,25 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     neighbours of one id. Edges with a null end and loops name no connection and are left out.
     """
     plain = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    current, before = cut_lineage(plain), None
+    current, before = stored(plain, "edges"), None
     after = _digest(current)
-    while after != before:
+    while after != before and after[0]:
         before = after
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = cut_lineage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = cut_lineage(large.where("u != v").distinct())
-        least = cut_lineage(large.groupBy("u").agg(F.min("v").alias("m")))
+        large = stored(large.where("u != v").distinct(), "large")
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        current = cut_lineage(small.union(least.select("u", F.col("m").alias("v"))).where("u != v").distinct())
+        current = stored(small.union(least.select("u", F.col("m").alias("v"))).where("u != v").distinct(), "edges")
         after = _digest(current)
     members = current.select(F.col("u").alias("id"), F.col("v").alias("root"))
     return members.union(current.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())
+
+
+def joined(classes: DataFrame, more: DataFrame) -> DataFrame:
+    """``classes (id, root)`` after ``more (id, root)`` has joined some of their roots with each other or with new ids."""
+    moves = more.select(F.col("id").alias("root"), F.col("root").alias("new"))
+    moved = classes.join(moves, "root", "left").select("id", F.coalesce("new", "root").alias("root"))
+    return moved.union(more.join(classes.select("id"), "id", "left_anti").select("id", "root"))

@@ -10,8 +10,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pactloom.llm.common import GOLDEN, listed, mix, prepare, stored, table, text_chunks, uniform, window_hashes, word_hashes
-from pactloom.llm.graph import components
+from pactloom.llm.common import (
+    GOLDEN,
+    free_prefix,
+    listed,
+    mix,
+    prepare,
+    stored,
+    table,
+    text_chunks,
+    tidy,
+    uniform,
+    unlisted,
+    window_hashes,
+    word_hashes,
+)
+from pactloom.llm.graph import components, joined
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -110,22 +124,23 @@ def _signer(words: int, k: int, rows: int, weighted: bool):
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
+                        part.column("text_hash"),
                         pa.array(size, pa.int64()),
                         *(pa.array(s.view(np.int64), pa.int64()) for s in sums),
                         pa.array(list(mixed.view(np.int64)), pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "size", "set_a", "set_b", "bands"],
+                    ["doc_id", "text_hash", "size", "set_a", "set_b", "bands"],
                 )
 
     return run
 
 
-SIGNED = "doc_id long, size long, set_a long, set_b long, bands array<long>"
+SIGNED = "doc_id long, text_hash long, size long, set_a long, set_b long, bands array<long>"
 
 
-def signatures(docs: DataFrame, words: int = WORDS, weighted: bool = False) -> DataFrame:
-    """Per document the number of its shingles, a 128-bit name of their set, and its band keys."""
-    return docs.select("doc_id", "text").mapInArrow(_signer(words, COORDINATES, ROWS, weighted), SIGNED)
+def signatures(docs: DataFrame, words: int = WORDS, weighted: bool = True) -> DataFrame:
+    """Per document a hash of its text, the number of its shingles, a 128-bit name of their set, and its band keys."""
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(_signer(words, COORDINATES, ROWS, weighted), SIGNED)
 
 
 def _near_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +218,7 @@ def _sets(words: int, weighted: bool):
     return run
 
 
-def element_sets(texts: DataFrame, words: int = WORDS, weighted: bool = False) -> DataFrame:
+def element_sets(texts: DataFrame, words: int = WORDS, weighted: bool = True) -> DataFrame:
     """Per text the number of its elements, the elements, and bits that say of which hash slots it has an odd number.
 
     In as many bits as two texts differ, they have elements that the other lacks, at least.
@@ -229,7 +244,7 @@ def rarest_elements(sets: DataFrame, at_least: float = SIMILARITY) -> DataFrame:
 
 
 def far_pairs(
-    members: DataFrame, texts: DataFrame, at_least: float = SIMILARITY, words: int = WORDS, weighted: bool = False
+    members: DataFrame, texts: DataFrame, at_least: float = SIMILARITY, words: int = WORDS, weighted: bool = True
 ) -> DataFrame:
     """Pairs ``(a, b)`` of ``members`` in buckets of several classes that belong to two classes and may be similar enough.
 
@@ -294,7 +309,7 @@ def _judge(words: int, weighted: bool):
     return run
 
 
-def similarity(pairs: DataFrame, texts: DataFrame, words: int = WORDS, weighted: bool = False) -> DataFrame:
+def similarity(pairs: DataFrame, texts: DataFrame, words: int = WORDS, weighted: bool = True) -> DataFrame:
     """The exact Jaccard similarity of the word shingles of each pair ``(a, b)``; ``pairs`` is a stored table."""
     sides = {end: texts.select(F.col("doc_id").alias(end), F.col("text").alias(f"text_{end}")) for end in ("a", "b")}
     a, b = (listed(side, pairs.select(end), end) for end, side in sides.items())
@@ -302,28 +317,16 @@ def similarity(pairs: DataFrame, texts: DataFrame, words: int = WORDS, weighted:
     return both.mapInArrow(_judge(words, weighted), "a long, b long, similarity double")
 
 
-def near_copies(docs: DataFrame, words: int = WORDS, at_least: float = SIMILARITY, weighted: bool = False) -> DataFrame:
-    """``doc_id, class_id, n_links`` per document: who belongs together, named by the smallest doc_id.
-
-    Two documents are linked when the Jaccard similarity of their word shingles (``weighted``: with counts) is
-    ``at_least`` that; a class is what links connect. Documents with the same set are one from the start. Candidates
-    share a bucket. Of those that stand near each other there each document's likeliest is judged first; the others,
-    and then the far ones, only where they would still join two classes and bounds allow it: no link is lost there.
-    ``n_links`` counts the judged links of the document's set.
-
-    Null and empty texts and texts without a word are classes of their own; a text of fewer than ``words`` words is
-    one shingle. Rows without a doc_id share the class of an equal set, else their class is null. Repeated rows are
-    kept as rows. An empty table gives an empty result. Other columns are not read.
-    """
+@tidy
+def _classified(docs: DataFrame, words: int, at_least: float, weighted: bool) -> DataFrame:
+    """``doc_id, text_hash, class_id`` for each row of ``docs``."""
     prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = stored(signatures(docs, words, weighted), "signatures")
     heads = signed.where("size > 0 AND doc_id IS NOT NULL").groupBy("set_a", "set_b").agg(
-        F.min("doc_id").alias("doc_id"),
-        F.min_by("bands", "doc_id").alias("bands"),
-        F.first("size").alias("size"),
+        F.min("doc_id").alias("doc_id"), F.min_by("bands", "doc_id").alias("bands")
     )
-    heads = stored(heads, "heads")
+    heads = stored(heads.withColumn("size", F.lit(1)), "heads")
     pairs = stored(candidate_pairs(heads), "pairs")
     ends = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "pair-ends")
     # A repeated doc_id may stand for several texts; one of them, the same each time, is compared.
@@ -337,43 +340,71 @@ def near_copies(docs: DataFrame, words: int = WORDS, at_least: float = SIMILARIT
     likeliest = likeliest.select(F.least("me", "other").alias("a"), F.greatest("me", "other").alias("b")).distinct()
     likeliest = stored(likeliest, "likeliest")
     first = stored(similarity(likeliest, texts, words, weighted), "judged-first")
-    links = first.where(F.col("similarity") >= at_least).select("a", "b")
-    joined = stored(components(links), "classes-first")
+    near = F.col("similarity") >= at_least
+    classes = components(first.where(near))
+    # Later rounds judge pairs of two classes only, and join the classes' roots instead of their members.
     rest = pairs.join(first, ["a", "b"], "left_anti").select("a", "b")
     for end in ("a", "b"):
-        of_end = joined.select(F.col("id").alias(end), F.col("root").alias(f"root_{end}"))
+        of_end = classes.select(F.col("id").alias(end), F.col("root").alias(f"root_{end}"))
         rest = rest.join(of_end, end, "left").withColumn(f"root_{end}", F.coalesce(f"root_{end}", end))
-    rest = stored(rest.where("root_a != root_b").select("a", "b"), "rest")
+    rest = stored(rest.where("root_a != root_b").select("a", "b", "root_a", "root_b"), "rest")
     second = stored(similarity(rest, texts, words, weighted), "judged-rest")
-    links = links.union(second.where(F.col("similarity") >= at_least).select("a", "b"))
-    joined = stored(components(links), "classes-second").select(F.col("id").alias("doc_id"), "root")
+    links = second.where(near).join(rest, ["a", "b"])
+    classes = stored(joined(classes, components(links, "root_a", "root_b")), "classes-second")
     # Who stands near nobody is alone in all of its buckets.
-    members = listed(heads, ends, "doc_id").join(ends, "doc_id").join(joined, "doc_id", "left")
+    members = listed(heads, ends, "doc_id").join(ends, "doc_id").join(classes.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     members = stored(members.withColumn("root", F.coalesce("root", "doc_id")), "members")
     far = far_pairs(members, texts, at_least, words, weighted).join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti")
-    third = stored(similarity(stored(far, "far"), texts, words, weighted), "judged-far")
-    links = links.union(third.where(F.col("similarity") >= at_least).select("a", "b"))
-    classes = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_links"))
-    named = heads.join(classes.withColumnRenamed("id", "doc_id"), "doc_id", "left").join(degree, "doc_id", "left")
-    named = named.select("set_a", "set_b", F.coalesce("root", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    out = signed.select("doc_id", "size", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
-    has_words = F.col("size") > 0
-    return out.select(
-        "doc_id",
-        F.when(has_words, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
-        F.when(has_words, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links"),
-    )
+    third = stored(similarity(stored(far, "far"), texts, words, weighted), "judged-far").where(near).select("a", "b")
+    for end in ("a", "b"):
+        third = third.join(members.select(F.col("doc_id").alias(end), F.col("root").alias(f"root_{end}")), end)
+    classes = joined(classes, components(third, "root_a", "root_b"))
+    named = heads.join(classes.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+    named = named.select("set_a", "set_b", F.coalesce("root", "doc_id").alias("class_id"))
+    out = signed.select("doc_id", "text_hash", "size", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
+    return out.select("doc_id", "text_hash", F.when(F.col("size") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
+
 
+def near_copies(docs: DataFrame, words: int = WORDS, at_least: float = SIMILARITY, weighted: bool = True) -> DataFrame:
+    """``doc_id, class_id`` per document: who belongs together, named by the smallest doc_id.
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
+    Two documents are linked when the Jaccard similarity of their word shingles, each weighted by how often it stands
+    in the text (else, without ``weighted``, by 1), is ``at_least`` that; a class is what links connect. Documents with
+    the same weighted set are one from the start. Candidates share a bucket. Of those that stand near each other there
+    each document's likeliest is judged first; the others, and then the far ones, only where they would still join two
+    classes and bounds allow it: no link is lost there.
+
+    Null and empty texts and texts without a word are classes of their own; a text of fewer than ``words`` words is
+    one shingle. Rows without a doc_id share the class of an equal set, else their class is null. Repeated rows are
+    kept as rows. An empty table gives an empty result. Other columns are not read.
+    """
+    return _classified(docs, words, at_least, weighted).drop("text_hash")
+
+
+@tidy
+def keep_one(docs: DataFrame, words: int = WORDS, at_least: float = SIMILARITY, weighted: bool = True) -> DataFrame:
     """One document of each class of near copies, that with the smallest doc_id; all columns as they were.
 
-    Of repeated rows with the same doc_id one stays. Rows without a doc_id stay.
+    Of rows with one doc_id that is the class's smallest the text with the smallest hash stays, and of equal texts one
+    row. Rows without a doc_id stay.
+
+    What stays and what goes is decided on ids and hashes. Two bitmaps, of the ids that go and of those that stay, tell
+    both apart for most rows; only rows that are in both are joined, so few texts are shuffled.
     """
-    classes = near_copies(docs, **options).where("doc_id = class_id").select("doc_id").distinct()
-    kept = docs.join(classes, "doc_id").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return kept.union(docs.where("doc_id IS NULL"))
+    found = _classified(docs, words, at_least, weighted).where("doc_id IS NOT NULL")
+    least = found.where("doc_id = class_id").groupBy("doc_id").agg(F.min("text_hash").alias("kept_hash"))
+    rows = found.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).join(least, "doc_id", "left")
+    rows = stored(rows, "verdicts")
+    stays = rows.where("text_hash = kept_hash")
+    goes = rows.where("kept_hash IS NULL OR text_hash != kept_hash OR n > 1")
+    p = free_prefix(docs)
+    own = docs.select("*", F.col("doc_id").cast("long").alias(f"{p}id"), F.xxhash64(F.col("text").cast("string")).alias(f"{p}hash"))
+    with_id = own.where(F.col(f"{p}id").isNotNull())
+    name = lambda df: df.select(F.col("doc_id").alias(f"{p}id"), F.col("text_hash").alias(f"{p}hash"))
+    plain = unlisted(with_id, name(goes), f"{p}id")
+    doubtful = listed(listed(with_id, name(goes), f"{p}id"), name(stays), f"{p}id")
+    judged = doubtful.join(name(stays), [f"{p}id", f"{p}hash"]).dropDuplicates([f"{p}id"])
+    return plain.unionByName(judged).unionByName(own.where(F.col(f"{p}id").isNull())).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op1_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from conftest import rows
 from parity_check import _bag, connect
 
 from pactloom.llm import (
+    common,
     decontamination,
     host_reputation,
     language,
@@ -178,7 +179,7 @@ def brute_classes(pairs, words=5, least=0.8):
     sets = {}
     for i, t in pairs:
         w = re.findall(r"[^\W_]+", (t or "").lower())
-        sets[i] = {tuple(w[j : j + words]) for j in range(max(1, len(w) - words + 1))} if w else set()
+        sets[i] = Counter(tuple(w[j : j + words]) for j in range(max(1, len(w) - words + 1))) if w else Counter()
     root = {i: i for i in sets}
 
     def top(x):
@@ -188,7 +189,7 @@ def brute_classes(pairs, words=5, least=0.8):
 
     for a in sets:
         for b in sets:
-            if a < b and sets[a] and len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]):
+            if a < b and sets[a] and (sets[a] & sets[b]).total() >= least * (sets[a] | sets[b]).total():
                 root[max(top(a), top(b))] = min(top(a), top(b))
     return {i: top(i) for i in sets}
 
@@ -261,9 +262,47 @@ def test_near_copies_of_odd_rows(odd, none):
     assert {r["doc_id"]: r["class_id"] for r in got if r["doc_id"] in (2, 3, 4, 7)} == {2: 2, 3: 3, 4: 4, 7: 7}
     assert minhash.near_copies(none).count() == 0
     kept = minhash.keep_one(odd)
+    assert sorted(kept.select("doc_id", "text").collect(), key=repr) == sorted(
+        {(r[0], r[1]) for r in odd.select("doc_id", "text").collect() if r[0] not in (6, 8)}, key=repr
+    )
     assert kept.columns == odd.columns and sorted(r[0] or 0 for r in kept.select("doc_id").collect()).count(1) == 1
 
 
+def test_one_row_of_a_repeated_id_stays(spark):
+    other = " ".join(f"v{i}" for i in range(40))
+    third = " ".join(f"u{i}" for i in range(40))
+    rows_ = [(1, PROSE, "a"), (2, PROSE + " x", "b"), (5, other, "c"), (5, PROSE, "d"), (5, other, "c"), (7, third, "e"), (7, third + " x", "e"), (7, other, "f")]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string, _id string")
+    kept = minhash.keep_one(docs).collect()
+    assert sorted(r["doc_id"] for r in kept) == [1, 5, 7]
+    by = {r["doc_id"]: r for r in kept}
+    # The copy of document 1 and that of document 5 under other ids go; of two near texts of one id one stays.
+    assert by[1]["text"] == PROSE and by[5]["text"] == other and by[7]["text"] in (third, third + " x")
+
+
+def test_filters_of_keys(spark):
+    rows_ = spark.range(20_000).selectExpr("id AS key", "id % 7 AS _mask")
+    keys = rows_.where("key % 10 = 0").select("key")
+    inside, outside = common.listed(rows_, keys, "key"), common.unlisted(rows_, keys, "key")
+    assert inside.columns == rows_.columns and inside.where("key % 10 = 0").count() == 2000 and inside.count() < 4000
+    assert inside.count() + outside.count() == 20_000 and outside.where("key % 10 = 0").count() == 0
+    assert common.listed(rows_, keys.limit(0), "key").count() == 0 and common.unlisted(rows_, keys.limit(0), "key").count() == 20_000
+
+
+def test_tables_written_on_the_way_are_removed(spark, tmp_path):
+    made = []
+
+    @common.tidy
+    def step(df):
+        made.append(common.stored(df, "between"))
+        return made[0].selectExpr("id + 1 AS id")
+
+    out = step(spark.range(5))
+    assert rows(out) == [(1,), (2,), (3,), (4,), (5,)]
+    with pytest.raises(Exception, match="(?i)not.exist|not found"):
+        made[0].count()
+
+
 def winnow(text):
     words = re.findall(r"[^\W_]{1,16}", text.lower())
     prime, base = winnowing.PRIME, winnowing.BASE
