@@ -133,8 +133,8 @@ def write_archives(pages: DataFrame, folder: str, revisit_from: int = REVISIT_FR
     """Writes ``pages (page_id, url, html)`` to WARC files in ``folder``; gives the manifest.
 
     One record per row. Of rows with equal payloads of at least ``revisit_from`` bytes the one with the largest
-    page_id is written in full, the others as revisits of it. A null html is an empty payload, a null url leaves the
-    address out; rows without a page_id are written in full; repeated rows with the largest page_id are all written in
+    page_id is written in full, the others as revisits of it, those without a page_id too. A null html is an empty
+    payload, a null url leaves the address out; where no row has a page_id all are written in full; repeated rows with the largest page_id are all written in
     full. Each task writes files of its own, each with its own dictionary; memory is bounded by the sample and the
     largest record. An empty table writes nothing. Other columns are not read.
 
@@ -149,7 +149,7 @@ def write_archives(pages: DataFrame, folder: str, revisit_from: int = REVISIT_FR
     )
     equal = stored(equal.where("n > 1 AND keeper IS NOT NULL").drop("n"), "equal-payloads")
     marked = named.join(equal, ["digest", "size"], "left")
-    keeper = F.when(F.col("page_id") != F.col("keeper"), F.col("keeper"))
+    keeper = F.when(~F.col("page_id").eqNullSafe(F.col("keeper")), F.col("keeper"))
     marked = marked.select("page_id", "url", F.when(keeper.isNull(), F.col("html")).otherwise("").alias("html"), "size", "digest", keeper.alias("keeper"))
     open_folder(folder)[0].create_dir(open_folder(folder)[1], recursive=True)
     manifest = marked.mapInArrow(_write(folder), "archive string, records long, bytes long, packed_bytes long")
@@ -235,7 +235,7 @@ WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 d AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest FROM p),
 k AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS keeper FROM d)
 SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN payload_bytes >= {REVISIT_FROM} AND page_id <> keeper THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= {REVISIT_FROM} AND page_id <> keeper THEN keeper END AS refers_to
+       CASE WHEN payload_bytes >= {REVISIT_FROM} AND page_id IS DISTINCT FROM keeper THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= {REVISIT_FROM} AND page_id IS DISTINCT FROM keeper THEN keeper END AS refers_to
 FROM k
 """
