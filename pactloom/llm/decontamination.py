@@ -7,10 +7,10 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactloom.llm.common import GOLDEN, mix, prepare, stored, table, text_chunks, word_characters
+from pactloom.llm.common import FILTER_BITS, GOLDEN, bitmap, free_prefix, listed, mix, prepare, stored, table, text_chunks, tidy, unlisted, word_characters
 
 #: Words of a window, and how many of them must be plain words for a template to say anything.
 WORDS = 8
@@ -18,8 +18,8 @@ PLAIN = 5
 #: Windows in a row that make a passage (13 words), or this share of an item's windows where it has fewer.
 WINDOWS = 6
 SHARE = 0.5
-#: The filter that tasks hold against window hashes is a bitmap of this many bits (2 MB), whatever the benchmark's size.
-FILTER_BITS = 24
+#: An item of fewer words is found as a whole text only: so few words in a row stand everywhere.
+ANYWHERE = 5
 
 #: Words that are units where they follow a number.
 UNITS = (
@@ -125,10 +125,40 @@ def windows(texts: list[str], words: int, plain: int, bitmap: np.ndarray | None
     return found, owner[at], first, hashes[columns], np.where(literals[:, None], 0, kind[columns]), n_windows
 
 
+def short_windows(texts: list[str], sizes: list[int], bitmap: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, number of the text and first word of the literal windows of ``sizes`` words, for items as short as that.
+
+    Below ``ANYWHERE`` words, and without a ``bitmap`` (for items), only the window of a whole text counts.
+    """
+    hashes, _, owner = template_words(texts)
+    counts = np.bincount(owner, minlength=len(texts))
+    begins = np.cumsum(counts) - counts
+    factor = np.uint64(0xD6E8FEB86659FD93)
+    out = [(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))]
+    for size in sizes:
+        total = max(0, len(hashes) - size + 1)
+        if not total:
+            continue
+        value = np.full(total, np.uint64(0xA5A5A5A5 + size))
+        for j in range(size):
+            value = value * factor + hashes[j : j + total]
+        at = np.flatnonzero(owner[:total] == owner[size - 1 :])
+        if bitmap is None or size < ANYWHERE:
+            at = at[counts[owner[at]] == size]
+        found = mix(value[at])
+        if bitmap is not None:
+            hit = bitmap[found >> np.uint64(64 - FILTER_BITS)] > 0
+            at, found = at[hit], found[hit]
+        out.append((found, owner[at], at - begins[owner[at]]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
 WINDOWED = "id long, hash long, first long, words array<long>, kinds array<int>, n_windows long"
 
 
-def _windows(words: int, plain: int, held):
+def _windows(words: int, plain: int, held, sizes: list[int]):
+    names = ["id", "hash", "first", "words", "kinds", "n_windows"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = None if held is None else np.unpackbits(np.frombuffer(held.value, np.uint8))
         for batch in batches:
@@ -145,43 +175,59 @@ def _windows(words: int, plain: int, held):
                         pa.array(list(kinds.astype(np.int32)), pa.list_(pa.int32())),
                         pa.array(n[owner]),
                     ],
-                    ["id", "hash", "first", "words", "kinds", "n_windows"],
+                    names,
                 )
+                found, owner, first = short_windows(texts, sizes, bitmap)
+                none = [pa.array([[]] * len(found), pa.list_(t)) for t in (pa.int64(), pa.int32())]
+                one = pa.array(np.ones(len(found), np.int64))
+                yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(owner)), pa.array(found.view(np.int64)), pa.array(first), *none, one], names)
 
     return run
 
 
-def _bitmap(benchmark: DataFrame) -> bytes:
-    """One bit for each prefix of a window hash; the slots are distinct, so at most 2^24 come to the driver."""
-    slots = benchmark.select(F.shiftrightunsigned("hash", 64 - FILTER_BITS).cast("int").alias("slot")).distinct().toPandas()
-    bits = np.zeros(1 << FILTER_BITS, bool)
-    bits[slots["slot"].to_numpy(np.int64)] = True
-    return np.packbits(bits).tobytes()
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(np.bincount(template_words(texts)[2], minlength=len(texts)))], ["n"])
+
+
+def _keyed_id() -> Column:
+    """A key of each row: rows that agree in doc_id and text are one, and a row without a doc_id has a key as well."""
+    doc_id = F.col("doc_id").cast("long")
+    return F.xxhash64(doc_id, F.isnull(doc_id), F.col("text").cast("string"))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(_keyed_id().alias("id"), F.col("text").cast("string").alias("text"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, plain: int = PLAIN) -> DataFrame:
-    """``doc_id, item_id, shift, n_matched, n_literal, n_item, consistent``: windows that a document shares with an item.
+    """``id, item_id, shift, n_matched, n_literal, n_item, consistent``: windows that a text shares with an item.
 
-    ``shift`` is how far the document's words stand behind the item's, so each row is one passage. ``n_literal`` of its
-    windows agree word for word. It is consistent when equal slot fillings of the item have equal ones in the document
-    and different ones different ones.
+    ``docs`` has ``id`` and ``text``. ``shift`` is how far the document's words stand behind the item's, so each row is one
+    passage. ``n_literal`` of its windows agree word for word. It is consistent when equal slot fillings of the item have
+    equal ones in the document and different ones different ones. An item of fewer than ``words`` words is one window of
+    all its words, compared word for word; one of fewer than ``ANYWHERE`` words only with texts of just those words.
 
     Tasks drop windows whose hash isn't in a bitmap of fixed size; those left are joined by hash. Words of the window
-    travel with it, so nothing is read again.
+    travel with it, so nothing is read again. Items of one text are one before the join, named by the smallest id.
     """
     prepare(docs.sparkSession)
-    items = benchmark.selectExpr("CAST(item_id AS BIGINT) AS id", "CAST(text AS STRING) AS text")
-    items = stored(items.where("id IS NOT NULL").mapInArrow(_windows(words, plain, None), WINDOWED), "item-windows")
-    held = docs.sparkSession.sparkContext.broadcast(_bitmap(items))
-    rows = docs.selectExpr("CAST(doc_id AS BIGINT) AS id", "CAST(text AS STRING) AS text").where("id IS NOT NULL")
-    rows = rows.mapInArrow(_windows(words, plain, held), WINDOWED)
-    mine = rows.select(F.col("id").alias("doc_id"), "hash", "first", F.col("words").alias("own"))
+    items = benchmark.selectExpr("CAST(item_id AS BIGINT) AS id", "CAST(text AS STRING) AS text").where("id IS NOT NULL")
+    items = items.groupBy("text").agg(F.min("id").alias("id")).select("id", "text")
+    short = items.mapInArrow(_sizes, "n long").where(f"n > 0 AND n < {words}").distinct().toPandas()["n"]
+    short = sorted(int(n) for n in short)
+    items = stored(items.mapInArrow(_windows(words, plain, None, short), WINDOWED), "item-windows")
+    slots = items.select(F.shiftrightunsigned("hash", 64 - FILTER_BITS).cast("int").alias("slot"))
+    held = docs.sparkSession.sparkContext.broadcast(bitmap(slots))
+    rows = docs.select("id", "text").mapInArrow(_windows(words, plain, held, short), WINDOWED)
+    mine = rows.select("id", "hash", "first", F.col("words").alias("own"))
     theirs = items.select(F.col("id").alias("item_id"), "hash", F.col("first").alias("at"), "words", "kinds", "n_windows")
     hits = mine.join(theirs, "hash").withColumn("shift", F.col("first") - F.col("at"))
     pairs = F.filter(F.arrays_zip("words", "own", "kinds"), lambda x: x["kinds"] > 0)
     hits = hits.withColumn("slots", F.transform(pairs, lambda x: F.struct(x["words"].alias("item"), x["own"].alias("doc"))))
     # Literal and templated windows of one place count once; a passage has no more windows than its item.
-    passage = hits.groupBy("doc_id", "item_id", "shift").agg(
+    passage = hits.groupBy("id", "item_id", "shift").agg(
         F.size(F.collect_set("at")).alias("n_matched"),
         F.size(F.collect_set(F.when(~F.exists("kinds", lambda k: k > 0), F.col("at")))).alias("n_literal"),
         F.max("n_windows").alias("n_item"),
@@ -189,37 +235,61 @@ def matches(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, plain: in
     )
     of = lambda side: F.size(F.array_distinct(F.transform("slots", lambda x: x[side])))
     consistent = (of("item") == F.size("slots")) & (of("doc") == F.size("slots"))
-    return passage.select("doc_id", "item_id", "shift", "n_matched", "n_literal", "n_item", consistent.alias("consistent"))
-
+    return passage.select("id", "item_id", "shift", "n_matched", "n_literal", "n_item", consistent.alias("consistent"))
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, in_a_row: int = WINDOWS, share: float = SHARE) -> DataFrame:
-    """``doc_id, item_id, n_windows, coverage`` of each document that holds a passage of the benchmark, the best one.
 
-    A passage counts when it has ``in_a_row`` windows, or ``share`` of its item's windows if that is less: as many that
-    agree word for word, whatever the others say, or as many of any kind when it is consistent. Texts and items of fewer than ``words`` words have no window and can't be told. Null texts are empty; rows
-    without an id are left out. Items with equal texts tie, and the smallest item_id is named; repeated documents are
-    one. Empty tables give an empty result; other columns are not read.
-    """
+@tidy
+def _found(docs: DataFrame, benchmark: DataFrame, words: int, in_a_row: int, share: float) -> DataFrame:
+    """``id, item_id, n_windows, coverage`` of the best passage of each text of ``docs (id, text)`` that holds one."""
     # Slots filled inconsistently take nothing from what stands there word for word.
     found = matches(docs, benchmark, words).withColumn("n_matched", F.when(F.col("consistent"), F.col("n_matched")).otherwise(F.col("n_literal")))
     found = found.where(F.col("n_matched") >= F.least(F.lit(in_a_row), F.greatest(F.lit(1), F.ceil(share * F.col("n_item")))))
     best = F.max(F.struct("n_matched", (F.col("n_matched") / F.col("n_item")).alias("coverage"), (-F.col("item_id")).alias("item")))
-    return found.groupBy("doc_id").agg(best.alias("x")).select(
-        "doc_id", (-F.col("x.item")).alias("item_id"), F.col("x.n_matched").cast("long").alias("n_windows"), "x.coverage"
+    return found.groupBy("id").agg(best.alias("x")).select(
+        "id", (-F.col("x.item")).alias("item_id"), F.col("x.n_matched").cast("long").alias("n_windows"), "x.coverage"
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rows that hold a passage of the benchmark; columns as they were. Rows without an id stay."""
-    found = stored(contaminated(docs, benchmark, **options).select("doc_id"), "contaminated")
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+@tidy
+def judged(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, in_a_row: int = WINDOWS, share: float = SHARE) -> DataFrame:
+    """``doc_id, contaminated, item_id, n_windows, coverage`` for each row of ``docs``.
 
+    A passage of an item counts when it has ``in_a_row`` windows of ``words`` words, or ``share`` of its item's windows if
+    that is less: as many that agree word for word, whatever the others say, or as many of any kind when it is
+    consistent. Items of fewer words are found word for word: of ``ANYWHERE`` words and more wherever they stand, shorter
+    ones where they are the whole text.
 
-def op7_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    found = stored(contaminated(docs, table(spark, sf_dir, "benchmark")), "contaminated")
-    out = docs.select("doc_id").join(found, "doc_id", "left")
+    Each row is judged by its own text, with or without a doc_id; repeated rows have equal results. Null texts are
+    empty, and items without words or without an id can't be found. Items with equal texts tie, and the smallest
+    item_id is named. Empty tables give an empty or clean result; other columns are not read.
+    """
+    keyed = _keyed(docs)
+    found = _found(keyed, benchmark, words, in_a_row, share)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _keyed_id().alias("id"))
+    out = rows.join(found, "id", "left")
     return out.select(
         "doc_id", F.col("item_id").isNotNull().alias("contaminated"), "item_id",
         F.coalesce("n_windows", F.lit(0)).alias("n_windows"), F.coalesce("coverage", F.lit(0.0)).alias("coverage"),
     )
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """``doc_id, item_id, n_windows, coverage`` of the rows of ``judged`` that hold a passage, each once."""
+    return judged(docs, benchmark, **options).where("contaminated").drop("contaminated").distinct()
+
+
+@tidy
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, in_a_row: int = WINDOWS, share: float = SHARE) -> DataFrame:
+    """``docs`` without the rows that hold a passage of the benchmark (see ``judged``); columns as they were.
+
+    Rows whose key isn't among the keys that go, by a bitmap, stay without a join.
+    """
+    gone = _found(_keyed(docs), benchmark, words, in_a_row, share)
+    p = free_prefix(docs)
+    own, gone = docs.withColumn(f"{p}id", _keyed_id()), gone.select(F.col("id").alias(f"{p}id"))
+    doubtful = listed(own, gone, f"{p}id").join(gone, f"{p}id", "left_anti")
+    return unlisted(own, gone, f"{p}id").unionByName(doubtful).select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def op7_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -434,8 +434,8 @@ def test_reparameterised_questions(spark):
     ]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     got = {r["doc_id"]: r["item_id"] for r in decontamination.contaminated(df, benchmark).collect()}
-    assert got == {1: 1, 2: 1}
-    assert rows(decontamination.drop_contaminated(df, benchmark).select("doc_id")) == [(3,), (4,), (5,), (None,)]
+    assert got == {1: 1, 2: 1, None: 1}
+    assert rows(decontamination.drop_contaminated(df, benchmark).select("doc_id")) == [(3,), (4,), (5,)]
     assert decontamination.contaminated(df, benchmark.where("false")).count() == 0
 
 
@@ -453,6 +453,79 @@ def test_verbatim_passages_with_one_slot_altered(spark):
     assert set(got) == {1, 2}
 
 
+def test_short_items(spark):
+    benchmark = spark.createDataFrame([(1, "Who wrote the first long novel?"), (2, "Name it."), (3, "...")], "item_id long, text string")
+    docs = [
+        (1, "Q: who wrote the first long novel A: nobody"), (2, "who wrote the first novel"), (3, "name it"), (4, "please name it now"),
+        (5, "Who wrote the first long novel?"), (6, "..."), (None, "name  IT!"), (None, "who wrote"),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = [(r["doc_id"], r["item_id"]) for r in decontamination.judged(df, benchmark).collect()]
+    assert sorted(got, key=repr) == sorted([(1, 1), (2, None), (3, 2), (4, None), (5, 1), (6, None), (None, 2), (None, None)], key=repr)
+
+
+def brute_passages(texts, items, words=8, in_a_row=6, share=0.5, plain=5):
+    """For texts of lower-case words and numbers: which item's passage each one holds, by comparing all windows."""
+    token = lambda t: re.findall(r"\d+|[^\W\d_]+", t or "")
+    mask = lambda w: ["#" if x.isdecimal() else x for x in w]
+    out = []
+    for t in texts:
+        doc, best = token(t), None
+        for i, item in items:
+            own = token(item)
+            total = len(own) - words + 1
+            shifts = {}
+            for a in range(len(doc) - words + 1):
+                for b in range(total):
+                    x, y = doc[a : a + words], own[b : b + words]
+                    literal = x == y
+                    slots = sum(v.isdecimal() for v in y)
+                    if literal or (mask(x) == mask(y) and slots and words - slots >= plain):
+                        shifts.setdefault(a - b, []).append((b, literal, [(v, u) for u, v in zip(x, y, strict=True) if v.isdecimal()]))
+            for hits in shifts.values():
+                pairs = {p for _, literal, ps in hits if any(not k[1] for k in hits) for p in ps if not literal or True}
+                templated = {p for b, literal, ps in hits for p in ps if ps and (not literal or words - len(ps) >= plain)}
+                del pairs
+                one = len({p[0] for p in templated}) == len(templated) == len({p[1] for p in templated})
+                n = len(hits) if one else sum(literal for _, literal, _ in hits)
+                if n >= min(in_a_row, max(1, -(-total // 2))):
+                    best = max(best or (0, 0, 0), (n, n / total, -i))
+        out.append(None if best is None else (-best[2], best[0]))
+    return out
+
+
+def test_passages_against_brute_force(spark):
+    draw = random.Random(12)
+    word = lambda: draw.choice(["a", "bo", "cat", "dune", "elm", "fig", "go", "hat", "ink", "jam", "key", "low", "moss", "nut"])
+    items = [(i, " ".join(str(draw.randint(1, 9)) if draw.random() < 0.2 else word() for _ in range(draw.randint(9, 25)))) for i in range(12)]
+    texts = []
+    for _ in range(120):
+        own = draw.choice(items)[1].split()
+        a = draw.randint(0, max(0, len(own) - 9))
+        part = own[a : a + draw.randint(8, 25)]
+        if draw.random() < 0.5:
+            new = {str(i): str(draw.randint(1, 9)) for i in range(1, 10)}
+            part = [new.get(x, x) for x in part]
+        if draw.random() < 0.3:
+            part[draw.randrange(len(part))] = word()
+        texts.append(" ".join([word() for _ in range(draw.randint(0, 9))] + part + [word() for _ in range(draw.randint(0, 9))]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["item_id"], r["n_windows"]) if r["contaminated"] else None for r in decontamination.judged(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = brute_passages(texts, items)
+    assert [got[i] for i in range(len(texts))] == want and 20 < sum(w is not None for w in want) < 118
+
+
+def test_decontamination_of_odd_rows(spark, odd, none):
+    benchmark = spark.createDataFrame([(1, PROSE, 0), (1, PROSE, 1), (None, PROSE, 2), (2, None, 3), (3, "", 4)], "item_id long, text string, id int")
+    got = decontamination.judged(odd, benchmark).collect()
+    assert len(got) == odd.count()
+    assert sorted((str(r["doc_id"]) for r in got if r["contaminated"])) == ["1", "1", "6", "8", "None"]
+    kept = decontamination.drop_contaminated(odd, benchmark)
+    assert kept.columns == odd.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 4, 5, 7]
+    assert decontamination.judged(none, benchmark).count() == 0 and decontamination.drop_contaminated(none, benchmark).count() == 0
+    assert decontamination.judged(odd, benchmark.limit(0)).where("contaminated").count() == 0
+
+
 def test_notices(spark):
     texts = [
         "All Rights Reserved. all rights reserved, CC-BY cc by",
@@ -492,6 +565,17 @@ def test_site_lines_of_odd_rows(spark, odd, none):
     assert site_lines.drop_boilerplate(odd).count() == odd.count() and site_lines.drop_boilerplate(none).count() == 0
 
 
+def test_lines_at_the_ratio_and_copies_of_a_page(spark):
+    # On 5 of 50 pages: exactly the ratio; on 6: above it. A third of all rows are copies of one page.
+    data = [(i, f"own {i}" + "\nfive" * (i < 5) + "\nsix" * (i < 6), "h", 1, 2) for i in range(49)]
+    data += [(100 + i, "whole page\nwith two lines\n" + "x" * 30_000, "h", 1, 2) for i in range(25)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string, _host int, _lines int")
+    got = {r["doc_id"]: r["text"] for r in site_lines.drop_boilerplate(df).collect()}
+    assert got[0] == "own 0\nfive" and got[5] == "own 5"
+    assert {got[100 + i] for i in range(25)} == {data[-1][1]}
+    assert site_lines.drop_boilerplate(df).columns == df.columns
+
+
 def test_rates_meet_the_targets(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     mixed = mixing.mixture(docs, labels).toPandas()
@@ -502,11 +586,64 @@ def test_rates_meet_the_targets(spark):
     assert (mixed.rate >= 0).all()
 
 
+def solved(p, n, targets, ridge=mixing.RIDGE):
+    """The same least squares by plain projected gradient over cells, until nothing moves."""
+    total = n.sum()
+    weight = np.linalg.inv((p * n[:, None]).T @ p / total + 1e-6 * np.eye(p.shape[1]))
+    rate = np.ones(len(n))
+    for _ in range(200_000):
+        gap = (p * (n * rate)[:, None]).sum(0) / total - targets
+        new = np.maximum(0, rate - (p @ (weight @ gap) + ridge * (rate - 1)) / (1 + ridge))
+        if np.abs(new - rate).max() < 1e-10:
+            break
+        rate = new
+    return (p * (n * rate)[:, None]).sum(0) / total
+
+
+@pytest.mark.parametrize("targets", [[0.9, 0.08, 0.02], [0.2, 0.3, 0.5]])
+def test_rates_against_a_small_solver(spark, monkeypatch, targets):
+    monkeypatch.setattr(mixing, "WRITE_EVERY", 7)
+    draw = np.random.default_rng(2)
+    p = draw.dirichlet([0.4, 0.3, 0.2], 60).round(3)
+    p[:, 0] = 1 - p[:, 1] - p[:, 2]
+    n = draw.integers(1, 500, 60)
+    df = spark.createDataFrame([(int(a), [float(x) for x in b]) for a, b in zip(n, p, strict=True)], "n_tokens long, p array<double>")
+    rates, reached = mixing.fit_rates(df.coalesce(1), dict(zip(mixing.DOMAINS, targets, strict=True)))
+    got = {tuple(r["p"]): r["rate"] for r in rates.collect()}
+    own = np.array([got[tuple(x)] for x in p.tolist()])
+    assert (own >= 0).all() and reached == pytest.approx((p * (n * own)[:, None]).sum(0) / n.sum())
+    assert reached == pytest.approx(solved(p, n, np.array(targets)), abs=1e-3)
+
+
+def test_targets_out_of_reach_are_reported(spark):
+    df = spark.createDataFrame([(10, [1.0, 0.0, 0.0]), (5, [0.5, 0.5, 0.0])], "n_tokens long, p array<double>").coalesce(1)
+    with pytest.warns(UserWarning, match="reached"):
+        mixing.fit_rates(df, {"clean": 0.5, "low": 0.1, "toxic": 0.4})
+
+
+def test_words_are_counted_exactly(spark):
+    texts = [(d, " ".join(f"w{i}x{d if i % 50 == 0 else 0}" for i in range(j, j + 300))) for d in (0, 1) for j in range(0, 3000, 100)]
+    df = spark.createDataFrame(texts, "domain int, text string")
+    got = {}
+    for r in df.mapInArrow(mixing._count, "domain int, word long, n long").collect():
+        got[r["domain"], r["word"]] = got.get((r["domain"], r["word"]), 0) + r["n"]
+    assert Counter(got.values()) == Counter(Counter((d, w) for d, t in texts for w in set(t.split())).values())
+
+
 def test_mixing_of_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, None), (9, None, 1), (5, None, None)], "doc_id long, quality int, toxic int")
     assert mixing.mixture(odd, labels).count() == odd.count()
     assert mixing.mixture(odd, labels.where("false")).count() == odd.count()
     assert mixing.mixture(none, labels).count() == 0
+    # Rows of one id, and rows without one, are judged by their own texts.
+    texts = [(1, "good words here"), (1, "bad words there"), (None, "good words here"), (None, "bad words there")] + [(i, t) for i in range(2, 40) for t in [("good" if i % 2 else "bad") + f" words {i}"]]
+    docs = spark.createDataFrame([(*t, 7.0, 3) for t in texts], "doc_id long, text string, mix_rate double, p int")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(2, 40)], "doc_id long, quality int, toxic int")
+    rates = {(r["text"], r["rate"]) for r in mixing.mixture(docs, labels, {"clean": 1.0, "low": 0.0}).join(docs.select("doc_id", "text"), "doc_id").where("doc_id > 1").collect()}
+    kept = mixing.apply_mixture(docs, labels, {"clean": 1.0, "low": 0.0})
+    assert kept.columns == ["doc_id", "text", "p", "mix_rate", "mix_copies"]
+    assert {r["text"] for r in kept.collect() if r["doc_id"] in (1, None)} == {"good words here"} and len(rates) == 38
+    assert mixing.apply_mixture(kept, labels).columns == kept.columns
 
 
 def test_pipeline(spark):
