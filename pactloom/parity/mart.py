@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+from dataclasses import replace
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,7 @@ from pactloom.parity import inputs
 from pactloom.parity.case import Case
 from pactloom.parity.inputs import AS_OF, AS_OF_DATE, BUSINESS, ORDERS_RAW, SECOND_LOAD, STG_ORDERS, WITH_RAW, typed_sql
 from pactloom.parity.staging import stg_orders
+from pactloom.plans import entity
 from pactloom.sinks import tables as sinks
 from pactloom.sources.tables import create_table
 
@@ -135,6 +139,52 @@ def _archive_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _history(spark, sf_dir, "archive_idempotent", BUSINESS)
 
 
+def _entity_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs; rows with the stamps of those taken land between all steps of the first, older ones too."""
+    database = inputs.workspace(spark, "entity_run")
+    contract = orders_contract()
+    names = entity.EntityTables(*(f"{database}.{n}" for n in ("orders_raw", "orders_raw_hist", "stg_orders", "fct_orders", "checks")))
+    for name in (names.raw, names.history):
+        create_table(spark, name, RAW_FIELDS, partition_by="batch_date")
+    rows = inputs.stored(inputs.orders_raw(spark, sf_dir), "entity_rows")
+    part = F.coalesce(F.expr("try_cast(order_id AS BIGINT)"), F.lit(0)) % 5
+
+    def land(i: int) -> None:
+        sinks.raw_rows(rows.where(part == i), spark.table(names.raw).columns).write.insertInto(names.raw)
+
+    land(0)
+    entity.begin(spark, names)
+    land(1)
+    entity.refresh_staging(spark, names, contract, AS_OF, snapshot=True)
+    land(2)
+    entity.take_staging(spark, names, contract, AS_OF)
+    land(3)
+    entity.run_checks(spark, names, contract, AS_OF)
+    land(4)
+    entity.archive(spark, names, contract, AS_OF_DATE)
+    entity.run_entity(spark, names, contract, AS_OF)
+    text = F.concat_ws("|", F.coalesce(F.col("order_id").cast("string"), F.lit("")), "status").alias("row_text")
+    sides = [spark.table(t).select(F.lit(s).alias("side"), text, "batch_date", "processed_dttm") for s, t in (("mart", names.mart), ("history", names.history), ("raw", names.raw))]
+    return sides[0].unionByName(sides[1]).unionByName(sides[2])
+
+
+def _incremental_merge_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows up to two days before the mark are taken once more, and replace those of their keys."""
+    table = _mart_table(spark, sf_dir, "incremental_merge_lookback")
+    sinks.incremental_merge(_second_load(spark, sf_dir), table, orders_contract().key, lookback=timedelta(hours=30))
+    return spark.table(table)
+
+
+def _upsert_duplicate_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch with all versions of a key: the newest counts."""
+    target = inputs.stored(first_mart(spark, sf_dir), "upsert_target")
+    raw = inputs.orders_raw(spark, sf_dir)
+    contract = orders_contract()
+    keyless = replace(contract, columns=tuple(replace(c, primary_key=False, unique=False) for c in contract.columns))
+    every = stage(raw, keyless, AS_OF)
+    return mart.upsert_by_key(target, inputs.stored(every, "upsert_batch"), ["order_id"])
+
+
 def _dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("o_orderkey") % 60).cast("int"))
     return inputs.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", day.alias("batch_date"))
@@ -189,6 +239,14 @@ CASES = [
         UNION ALL SELECT {_B}, DATE '{AS_OF_DATE}', processed_dttm FROM orders_raw"""),
     Case("archive_idempotent", _archive_idempotent, WITH_MART + f"""SELECT {_B}, DATE '{FIRST_DATE}' AS batch_date, processed_dttm FROM first_raw
         UNION ALL SELECT {_B}, DATE '{AS_OF_DATE}', processed_dttm FROM orders_raw WHERE processed_dttm >= TIMESTAMP '{SECOND_LOAD}'"""),
+    Case("entity_run", _entity_run, WITH_RAW.rstrip() + f""", {STG_ORDERS}
+        SELECT 'mart' AS side, concat(coalesce(CAST(order_id AS VARCHAR), ''), '|', status) AS row_text, batch_date, processed_dttm FROM stg_orders
+        UNION ALL SELECT 'history', concat(order_id, '|', status), DATE '{AS_OF_DATE}', processed_dttm FROM orders_raw"""),
+    Case("incremental_merge_lookback", _incremental_merge_lookback, WITH_MART + _MERGED.replace(_NEW, _NEW.replace(_MARK, f"{_MARK} - INTERVAL '30' HOUR"))),
+    Case("upsert_duplicate_batch", _upsert_duplicate_batch, WITH_MART + f"""SELECT {STG} FROM stg_orders WHERE order_id IS NOT NULL
+        UNION ALL SELECT {STG} FROM fct_orders WHERE order_id IS NULL
+        UNION ALL SELECT TRY_CAST(order_id AS BIGINT), customer_name, TRY_CAST(amount AS DECIMAL(38,9)), status, TRY_CAST(order_date AS DATE),
+          TRY_CAST(warehouse_id AS BIGINT), DATE '{AS_OF_DATE}', processed_dttm, TIMESTAMP '{AS_OF}' FROM orders_raw WHERE TRY_CAST(order_id AS BIGINT) IS NULL"""),
     Case("partition_retention", _partition_retention, _KEPT),
     Case("retained_rows", _retained_rows, _KEPT),
     Case("union_append", _union_append, WITH_MART + f"""SELECT {STG} FROM stg_orders

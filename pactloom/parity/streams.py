@@ -10,7 +10,8 @@ from pactloom.parity import inputs
 from pactloom.parity.case import Case
 from pactloom.parity.inputs import AS_OF
 from pactloom.parity.ingest import CLASSIFIED, messages
-from pactloom.plans.ingest import IngestTargets
+from pactloom.plans.ingest import IngestTargets, ingest
+from pactloom.sources.files import list_files
 from pactloom.sources.tables import create_table
 from pactloom.streaming import arrivals, events
 
@@ -62,6 +63,48 @@ def _file_arrival_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded[0].unionByName(loaded[1]).unionByName(loaded[2]).unionByName(ledger)
 
 
+def _landed_orders(spark: SparkSession, sf_dir: str, run: str, database: str, files: int) -> DataFrame:
+    """Orders as delimited files, a raw table for them and the rule that leads there."""
+    orders = inputs.orders_raw(spark, sf_dir).select("order_id", "customer_name", "status")
+    orders.repartition(files, "order_id").write.options(header="true", sep="|").csv(f"{run}/landing/orders")
+    create_table(spark, f"{database}.orders_raw", _text_fields(["order_id", "customer_name", "status"]), partition_by="batch_date")
+    return spark.sql(f"""SELECT * FROM VALUES ('orders/.*[.]csv$', '{database}', 'orders_raw', 'sales', '|', true)
+      AS t(file_pattern, target_dataset, target_table, domain, delimiter, is_active)""")
+
+
+def _row_text(rows: DataFrame, side: str) -> DataFrame:
+    values = [F.coalesce(c, F.lit("")) for c in ("order_id", "customer_name", "status")]
+    return rows.select(F.lit(side).alias("side"), F.concat_ws("|", *values).alias("row_text"))
+
+
+def _archive_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Handled files are moved; the addresses in the ledger lead to the rows that landed, and nothing is left behind."""
+    run, database = inputs.folder(spark, "archive_files"), inputs.workspace(spark, "archive_files")
+    rules = _landed_orders(spark, sf_dir, run, database, 6)
+    targets = IngestTargets(f"{database}.ingestion_log", archive_root=f"{run}/archive", moves=f"{database}.moves")
+    ingest(spark, list_files(spark, f"{run}/landing"), rules, targets, as_of=AS_OF, batch_id="b")
+    # The ledger of one batch of a few files.
+    moved = [r[0] for r in spark.table(f"{database}.ingestion_log").where("status = 'SUCCESS'").select("file_uri").collect()]
+    archived = spark.read.options(header="true", sep="|", pathGlobFilter="*").schema("order_id string, customer_name string, status string").csv(moved)
+    left = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{run}/landing")
+    count = left.agg(F.lit("left").alias("side"), F.count(F.lit(1)).cast("string").alias("row_text"))
+    return _row_text(spark.table(f"{database}.orders_raw"), "raw").unionByName(_row_text(archived, "archive")).unionByName(count)
+
+
+def _ledger_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that got half-way is delivered again, twice; every file is loaded and listed once."""
+    run, database = inputs.folder(spark, "ledger_recovery"), inputs.workspace(spark, "ledger_recovery")
+    rules = _landed_orders(spark, sf_dir, run, database, 6)
+    targets = IngestTargets(f"{database}.ingestion_log")
+    files = inputs.stored(list_files(spark, f"{run}/landing"), "listing")
+    first = files.orderBy("path").limit(3)
+    for part in (first, files, files):
+        ingest(spark, part, rules, targets, as_of=AS_OF, batch_id="b")
+    log = spark.table(f"{database}.ingestion_log").where("status = 'SUCCESS'")
+    listed = log.agg(F.lit("ledger").alias("side"), F.concat_ws("|", F.count(F.lit(1)), F.count_distinct("ingestion_id"), F.sum("good_records"), F.sum("bad_records")).alias("row_text"))
+    return _row_text(spark.table(f"{database}.orders_raw"), "raw").unionByName(listed)
+
+
 def _envelopes(spark: SparkSession, sf_dir: str, target: str, copies: int) -> None:
     sent = messages(spark, sf_dir).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
     sent.select(
@@ -96,6 +139,7 @@ def _dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _BLANK = "coalesce(order_id, '') = '' OR coalesce(customer_name, '') = '' OR coalesce(status, '') = ''"
+_TEXT = "concat(coalesce(order_id, ''), '|', coalesce(customer_name, ''), '|', coalesce(status, ''))"
 _AUDIT = f"DATE '9999-12-31' AS batch_date, TIMESTAMP '{AS_OF}' AS processed_dttm"
 
 CASES = [
@@ -106,6 +150,10 @@ CASES = [
         UNION ALL SELECT 'ledger orders_raw', concat(CAST(count(*) FILTER (NOT ({_BLANK})) AS VARCHAR), '|', CAST(count(*) FILTER ({_BLANK}) AS VARCHAR)), NULL, NULL FROM orders_raw
         UNION ALL SELECT 'ledger customer_raw', concat(CAST(count(*) AS VARCHAR), '|0'), NULL, NULL FROM customer
         UNION ALL SELECT 'ledger events_raw', concat(CAST(count(*) AS VARCHAR), '|0'), NULL, NULL FROM events"""),
+    Case("archive_files", _archive_files, inputs.WITH_RAW + f"""SELECT s.side, {_TEXT} AS row_text FROM orders_raw, (VALUES ('raw'), ('archive')) s(side)
+        UNION ALL SELECT 'left', '0'"""),
+    Case("ledger_recovery", _ledger_recovery, inputs.WITH_RAW + f"""SELECT 'raw' AS side, {_TEXT} AS row_text FROM orders_raw
+        UNION ALL SELECT 'ledger', concat('6|6|', CAST(count(*) FILTER (NOT ({_BLANK})) AS VARCHAR), '|', CAST(count(*) FILTER ({_BLANK}) AS VARCHAR)) FROM orders_raw"""),
     Case("drift_event_stream", _drift_event_stream, f"WITH {CLASSIFIED} SELECT date_trunc('millisecond', ts) AS published_at, value FROM messages"),
     Case("dedup_events", _dedup_events, f"WITH {CLASSIFIED} SELECT * EXCLUDE (ts) FROM requests"),
 ]

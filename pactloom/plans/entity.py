@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactloom.contract import PROCESSED, Contract, contract_rules
+from pactloom.functions.predicates import any_null
 from pactloom.operators import quality
+from pactloom.operators.mart import not_yet_archived
 from pactloom.operators.staging import stage, with_audit_columns
 from pactloom.sinks import tables as sinks
 
@@ -23,8 +25,21 @@ class EntityTables:
     checks: str
 
 
-def refresh_staging(spark: SparkSession, names: EntityTables, contract: Contract, as_of: str | None = None) -> None:
-    staged = stage(spark.table(names.raw), contract, as_of)
+    @property
+    def snapshot(self) -> str:
+        """Files of the raw table that the run at work takes."""
+        return f"{self.raw}__snapshot"
+
+    @property
+    def leaving(self) -> str:
+        """Files of the raw table that are in history and are to be removed."""
+        return f"{self.raw}__leaving"
+
+
+def refresh_staging(spark: SparkSession, names: EntityTables, contract: Contract, as_of: str | None = None, *, snapshot: bool = False) -> None:
+    """Staging from the raw rows, or with ``snapshot`` from those of the files that it lists."""
+    raw = sinks.snapshot_rows(spark, names.raw, names.snapshot) if snapshot else spark.table(names.raw)
+    staged = stage(raw, contract, as_of)
     sinks.materialize_table(
         staged, names.staging, partition_by=contract.partition_by, cluster_by=contract.cluster_by
     )
@@ -47,6 +62,32 @@ def refresh_mart(
         sinks.incremental_append(source, names.mart)
 
 
+def take_staging(spark: SparkSession, names: EntityTables, contract: Contract, as_of: str | None = None, *, merge: bool = True) -> None:
+    """All staging rows into the mart, whatever their time; a second time changes nothing.
+
+    With ``merge`` a row replaces that of its key unless the mart's is newer. Rows without a key, or all without
+    ``merge``, are added where the mart lacks them, business values and time compared.
+    """
+    source = with_audit_columns(spark.table(names.staging), as_of)
+    sinks.recover_table(spark, names.mart)
+    if not spark.catalog.tableExists(names.mart):
+        sinks.append_table(source, names.mart)
+        return
+    columns = [*(c.name for c in contract.business_columns), PROCESSED]
+    if not merge or not contract.key:
+        sinks.append_table(not_yet_archived(source, spark.table(names.mart), columns), names.mart)
+        return
+    sinks.resume_merge(spark, names.mart, contract.key)
+    mart = spark.table(names.mart)
+    no_key = any_null(contract.key)
+    have = mart.where(~no_key).groupBy(*contract.key).agg(F.max(PROCESSED).alias("_have"))
+    keyed = source.where(~no_key).join(have, list(contract.key), "left")
+    keyed = keyed.where(F.col("_have").isNull() | (F.col(PROCESSED) >= F.col("_have")))
+    keyless = not_yet_archived(source.where(no_key), mart.where(no_key), columns)
+    batch = keyed.select(*source.columns).unionByName(keyless)
+    sinks.merge_rows(batch, names.mart, contract.key)
+
+
 def check_report(df: DataFrame, layer: str, contract: Contract, as_of: str | None = None) -> DataFrame:
     """All checks of one table as rows of the quality layer."""
     objectives = quality.Objectives(contract.freshness_hours, contract.completeness_percent)
@@ -61,27 +102,48 @@ def run_checks(spark: SparkSession, names: EntityTables, contract: Contract, as_
         sinks.append_table(report, names.checks, partition_by=None)
 
 
+def begin(spark: SparkSession, names: EntityTables) -> None:
+    """Settles which files of the raw table the run takes: those of a run that was stopped, else all there are now."""
+    if spark.catalog.tableExists(names.leaving):
+        sinks.drop_snapshot(spark, names.raw, names.leaving)
+    if not spark.catalog.tableExists(names.snapshot):
+        sinks.take_snapshot(spark, names.raw, names.snapshot)
+
+
+def archive(spark: SparkSession, names: EntityTables, contract: Contract, day: str) -> None:
+    """The rows of the snapshot's files into history, and the files out of the raw table.
+
+    The list is renamed once history has its rows; from then on files are only removed.
+    """
+    columns = [c.name for c in contract.business_columns]
+    sinks.archive_snapshot(spark, names.raw, names.history, names.snapshot, day, columns)
+    spark.sql(f"ALTER TABLE {names.snapshot} RENAME TO {names.leaving}")
+    sinks.drop_snapshot(spark, names.raw, names.leaving)
+
+
 def run_entity(
-    spark: SparkSession, names: EntityTables, contract: Contract, as_of: str | None = None, *, merge: bool = True
+    spark: SparkSession,
+    names: EntityTables,
+    contract: Contract,
+    as_of: str | None = None,
+    *,
+    merge: bool = True,
+    lookback: timedelta | None = None,
 ) -> None:
     """One scheduled run.
 
-    The archive takes what staging saw and no more: rows that land while the
-    run is going wait for the next one.
+    It takes the files that the raw table has when it begins: staging, mart, history and the emptying go by that list,
+    not by time, so rows that land while the run is going wait for the next one, whatever their stamp. A run that
+    stopped anywhere is finished by the next, with its list. With ``lookback`` the mart takes, as a table that isn't
+    emptied would need it, the staging rows past its high-water mark or past so long before it.
     """
-    refresh_staging(spark, names, contract, as_of)
-    refresh_mart(spark, names, contract, as_of, merge=merge)
+    begin(spark, names)
+    refresh_staging(spark, names, contract, as_of, snapshot=True)
+    if lookback is None:
+        take_staging(spark, names, contract, as_of, merge=merge)
+    else:
+        refresh_mart(spark, names, contract, as_of, merge=merge, lookback=lookback)
     run_checks(spark, names, contract, as_of)
-    newest = spark.table(names.staging).agg(F.max(PROCESSED).cast("string")).first()[0]
-    if newest is None:
-        return
     day = as_of[:10] if as_of else spark.range(1).select(F.current_date().cast("string")).first()[0]
-    sinks.archive_history(
-        spark,
-        names.raw,
-        names.history,
-        day,
-        business_columns=[c.name for c in contract.business_columns],
-        up_to=newest,
-    )
+    archive(spark, names, contract, day)
     sinks.expire_partitions(spark, names.history, day)

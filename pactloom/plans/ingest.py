@@ -3,26 +3,34 @@
 from __future__ import annotations
 
 import math
+import threading
 import uuid
+import warnings
+from collections.abc import Callable, Iterator
+from concurrent.futures import Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
+from itertools import chain
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from pactloom.functions.predicates import any_blank
-from pactloom.functions.text import norm_blank
+from pactloom.functions.text import basename, norm_blank
 from pactloom.operators import drift, routing
 from pactloom.session import cut_lineage
-from pactloom.sinks import tables as sinks
-from pactloom.sinks.ledger import audit_ingestion
+from pactloom.sinks import moves, tables as sinks
+from pactloom.sinks.ledger import audit_ingestion, batch_records, ingestion_rows
 from pactloom.sinks.messages import emit_drift_events
 from pactloom.sources import files as sources
 from pactloom.sources.tables import table_columns
 
 # One load job reads at most this many files; the rest of a group go to further jobs.
 FILES_PER_LOAD = 2000
+# So many loads run side by side, of different tables.
+LOADS_AT_ONCE = 4
 
 _GROUP = (
     "table_ref",
@@ -42,6 +50,12 @@ class IngestTargets:
     events_folder: str | None = None
     bucket: str = "landing"
     archive_root: str | None = None
+    #: A table of intents; with it handled files are moved below ``archive_root``.
+    moves: str | None = None
+
+    def __post_init__(self) -> None:
+        if self.moves and not self.archive_root:
+            raise ValueError("files can only be moved to an archive_root")
 
 
 def plan_files(files: DataFrame, registry: DataFrame) -> DataFrame:
@@ -185,6 +199,47 @@ def _load_group(spark: SparkSession, group: Row, manifest: DataFrame, replaced:
     return sinks.staged_load(rows, table, finish)
 
 
+def _side_by_side(spark: SparkSession, groups: Iterator[Row], load: Callable[[Row], DataFrame]) -> Iterator[DataFrame]:
+    """Runs ``load`` for each group, those of different tables side by side, those of one table in their order.
+
+    Each table's jobs are in a scheduler pool of its own, so with fair scheduling a large load doesn't hold up the
+    others. Results come as they are ready. A load that fails ends the batch once the others that run are done.
+    """
+    last: dict[str, Future] = {}
+    failed: list[BaseException] = []
+
+    def run(group: Row, before: Future | None):
+        if before is not None:
+            wait([before])
+            if before.exception() is not None:
+                return None
+        if failed:
+            return None
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", group["table_ref"])
+        return load(group)
+
+    with ThreadPoolExecutor(LOADS_AT_ONCE) as pool:
+        running: set[Future] = set()
+        for group in chain(groups, [None]):
+            if group is not None:
+                table = group["table_ref"]
+                last[table] = pool.submit(inheritable_thread_target(spark)(run), group, last.get(table))
+                running.add(last[table])
+                if len(running) < 2 * LOADS_AT_ONCE:
+                    continue
+            while running:
+                done, running = wait(running, return_when="FIRST_COMPLETED")
+                for future in done:
+                    if future.exception() is not None:
+                        failed.append(future.exception())
+                    elif future.result() is not None:
+                        yield future.result()
+                if group is not None:
+                    break
+    if failed:
+        raise failed[0]
+
+
 def ingest(
     spark: SparkSession,
     files: DataFrame,
@@ -200,42 +255,85 @@ def ingest(
     files it lists under the same batch are not loaded again: a batch that is
     delivered again after a crash goes on where it stopped. A very large
     backlog is best taken through the file stream, which cuts it into batches.
+
+    Loads of different tables run side by side. With ``targets.moves`` each load writes down which files it took; when
+    all are done these are moved, and the ledger names the address they then have. A batch delivered again first
+    finishes the moves that are open.
     """
     started = as_of or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
     at = F.lit(started).cast("timestamp")
     ended = at if as_of else F.current_timestamp()
     batch_id = batch_id or uuid.uuid4().hex
+    _settle(spark, targets, batch_id)
     arrived = files.withColumn("ingestion_id", F.sha2(F.concat_ws("|", F.lit(batch_id), "path"), 256))
+    if targets.moves:
+        arrived = _with_own_names(arrived)
     manifest = cut_lineage(
-        inspect_files(plan_files(_with_records(arrived, targets), registry), registry)
+        inspect_files(plan_files(_with_records(arrived, targets, batch_id), registry), registry)
         .withColumn("trace_id", F.concat(F.lit("traces/"), F.col("ingestion_id")))
         .withColumn("bucket", F.lit(targets.bucket))
     )
     open_files = manifest.where("recorded IS NULL")
     replaced = _replaced_before(manifest)
-    parts = []
-    for group in _load_groups(open_files).toLocalIterator():
+
+    recording = threading.Lock()
+
+    def record(handled: DataFrame) -> None:
+        # Two jobs that add to one table's folder would clear each other's temporary files.
+        with recording:
+            if targets.moves:
+                files_ = handled.select("ingestion_id", "path", "place", F.col("file_size").alias("length"))
+                moves.intend(ingestion_rows(handled, at, ended).join(files_, "ingestion_id"), targets.moves, batch_id)
+            else:
+                audit_ingestion(handled, targets.ledger, at, ended, batch_id)
+
+    def load(group: Row) -> DataFrame:
         counts = _load_group(spark, group, open_files, replaced, started)
         loaded = _with_counts(open_files.join(counts.drop("modified_at"), "path"), targets, started)
-        audit_ingestion(loaded, targets.ledger, at, ended)
+        record(loaded)
+        return loaded
+
+    parts = []
+    groups = _load_groups(open_files).toLocalIterator()
+    for loaded in _side_by_side(spark, groups, load):
         parts.append(loaded)
     no_counts = {c: F.lit(None).cast("bigint") for c in ("total", "bad", "unreadable")}
     refused = open_files.where(F.col("status") != routing.SUCCESS).withColumns(no_counts)
     refused = _with_counts(refused, targets, started)
     if targets.events_folder:
         emit_drift_events(drift.drift_events(refused, at), targets.events_folder)
-    audit_ingestion(refused, targets.ledger, at, ended)
+    record(refused)
+    _settle(spark, targets, batch_id)
     return reduce(DataFrame.unionByName, parts, refused)
 
 
-def _with_records(arrived: DataFrame, targets: IngestTargets) -> DataFrame:
+def _settle(spark: SparkSession, targets: IngestTargets, batch_id: str) -> None:
+    if targets.moves:
+        for error in moves.settle(spark, targets.moves, targets.ledger, targets.archive_root, batch_id):
+            warnings.warn(f"a file could not be moved: {error}", stacklevel=3)
+
+
+def _with_own_names(arrived: DataFrame) -> DataFrame:
+    """Adds what sets files of one base name apart in the archive, where a batch has several such."""
+    name = basename(F.col("file_name"))
+    shared = arrived.groupBy(name.alias("_name")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    joined = arrived.join(shared, name == F.col("_name"), "left")
+    suffix = F.when(F.col("_n") > 1, F.concat(F.lit("_"), F.substring("ingestion_id", 1, 12))).otherwise(F.lit(""))
+    return joined.withColumn("name_suffix", suffix).drop("_name", "_n")
+
+
+def _with_records(arrived: DataFrame, targets: IngestTargets, batch_id: str) -> DataFrame:
     """Adds the status an earlier delivery of the batch recorded for a file, if it did."""
     spark = arrived.sparkSession
-    if not spark.catalog.tableExists(targets.ledger):
+    recorded = []
+    if spark.catalog.tableExists(targets.ledger):
+        recorded.append(batch_records(spark, targets.ledger, batch_id).select("ingestion_id", "status"))
+    if targets.moves and spark.catalog.tableExists(targets.moves):
+        recorded.append(spark.table(targets.moves).where(F.col("batch_id") == batch_id).select("ingestion_id", "status"))
+    if not recorded:
         return arrived.withColumn("recorded", F.lit(None).cast("string"))
-    # The ledger grows for ever, the batch does not: narrow the ledger first.
-    ledger = spark.table(targets.ledger).select("ingestion_id", F.col("status").alias("recorded"))
-    known = ledger.join(arrived.select("ingestion_id"), "ingestion_id", "left_semi")
+    known = reduce(DataFrame.unionByName, recorded).withColumnRenamed("status", "recorded")
+    known = known.join(arrived.select("ingestion_id"), "ingestion_id", "left_semi")
     return arrived.join(known.dropDuplicates(["ingestion_id"]), "ingestion_id", "left")
 
 
@@ -258,13 +356,16 @@ def _with_counts(counted: DataFrame, targets: IngestTargets, started: str) -> Da
         }
     )
     root = (targets.archive_root or targets.bucket).rstrip("/")
-    path = routing.archive_path(
+    place = routing.archive_path(
         routing.archive_folder(F.col("status")), F.col("file_name"), F.lit(started).cast("timestamp")
     )
+    if "name_suffix" in counted.columns:
+        place = F.concat(place, F.col("name_suffix"))
     return failed.withColumns(
         {
             "good": F.col("total") - F.col("bad"),
-            "file_uri": F.concat(F.lit(root + "/"), path),
+            "place": place,
+            "file_uri": F.concat(F.lit(root + "/"), place),
             "target_table": F.nullif("table_ref", F.lit("")),
         }
     )

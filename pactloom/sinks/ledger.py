@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactloom.functions.text import new_id, truncate_error
@@ -13,6 +15,9 @@ INGESTION_LEDGER = (
     "error_message string, start_time timestamp, end_time timestamp, domain string, target_table string, "
     "data_contracts string, total_records bigint, processed_records bigint, good_records bigint, bad_records bigint"
 )
+INGESTION_COLUMNS = [c.split()[0] for c in INGESTION_LEDGER.split(", ")]
+#: Partitions of the ingestion ledger besides the day: a batch is in one of so many.
+LEDGER_KEYS = 256
 OPERATIONS_LEDGER = (
     "operation_id string, timestamp timestamp, ai_agent_id string, resource_group string, resource_type string, "
     "resource_id string, action_type string, change_payload string, outcome_status string, reference_link string"
@@ -46,8 +51,32 @@ def ingestion_rows(outcomes: DataFrame, start: Column, end: Column) -> DataFrame
     )
 
 
-def audit_ingestion(outcomes: DataFrame, table: str, start: Column, end: Column) -> None:
-    append_table(ingestion_rows(outcomes, start, end), table, partition_by=None)
+def audit_ingestion(outcomes: DataFrame, table: str, start: Column, end: Column, batch_id: str | None = None) -> None:
+    rows = ingestion_rows(outcomes, start, end)
+    if batch_id is None:
+        append_table(rows, table, partition_by=None)
+    else:
+        append_ledger(rows, table, batch_id)
+
+
+def batch_key(batch_id: str) -> int:
+    """The partition of a batch: what looks a batch up reads one of ``LEDGER_KEYS`` of the ledger, whatever its age."""
+    return int(hashlib.sha256(batch_id.encode()).hexdigest()[:8], 16) % LEDGER_KEYS
+
+
+def append_ledger(rows: DataFrame, table: str, batch_id: str) -> None:
+    """Ledger rows of a batch, into the partition of its key and of the day it started."""
+    day = F.coalesce(F.col("start_time").cast("date"), F.lit("1970-01-01").cast("date"))
+    placed = rows.withColumns({"batch_id": F.lit(batch_id), "batch_key": F.lit(batch_key(batch_id)), "started_on": day})
+    append_table(placed, table, partition_by=("batch_key", "started_on"))
+
+
+def batch_records(spark: SparkSession, table: str, batch_id: str) -> DataFrame:
+    """What the ledger says of a batch: other partitions aren't read."""
+    rows = spark.table(table)
+    if "batch_key" not in rows.columns:  # a ledger from before it had partitions
+        return rows
+    return rows.where((F.col("batch_key") == batch_key(batch_id)) & (F.col("batch_id") == batch_id))
 
 
 def operation_rows(operations: DataFrame, agent: str, at: Column, payload: list[str]) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from datetime import timedelta
 from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +18,9 @@ RAW_BATCH_DATE = "9999-12-31"
 
 Result = TypeVar("Result")
 
+# The overwrite mode is a setting of the session: loads that run side by side take turns with it.
+_overwriting = threading.RLock()
+
 
 def _now(as_of: str | None) -> Column:
     return F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
@@ -48,14 +53,18 @@ def replace_raw(batch: DataFrame, table: str, as_of: str | None = None) -> None:
 
 def _overwrite_all(df: DataFrame, table: str) -> None:
     """Replaces every partition, whatever overwrite mode the session is in."""
-    spark = df.sparkSession
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "STATIC")
-    try:
-        df.write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(mode, before)
+    _overwrite(df, table, "STATIC")
+
+
+def _overwrite(df: DataFrame, table: str, how: str) -> None:
+    spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    with _overwriting:
+        before = spark.conf.get(mode)
+        spark.conf.set(mode, how)
+        try:
+            df.write.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set(mode, before)
 
 
 def truncate(spark: SparkSession, table: str) -> None:
@@ -89,13 +98,14 @@ def materialize_table(
     writer.saveAsTable(table)
 
 
-def append_table(df: DataFrame, table: str, *, partition_by: str | None = BATCH_DATE) -> None:
+def append_table(df: DataFrame, table: str, *, partition_by: str | Sequence[str] | None = BATCH_DATE) -> None:
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
         df.select(*spark.table(table).columns).write.insertInto(table)
         return
     writer = df.write.format("parquet")
-    (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(table)
+    columns = [partition_by] if isinstance(partition_by, str) else list(partition_by or ())
+    (writer.partitionBy(*columns) if columns else writer).saveAsTable(table)
 
 
 def incremental_append(source: DataFrame, table: str, *, column: str = PROCESSED) -> None:
@@ -136,9 +146,9 @@ def merge_rows(
 ) -> None:
     """Upserts ``batch`` into ``table`` by key.
 
-    The batch is stored first and dropped last. A run that stopped half-way
-    left its batch behind for ``resume_merge``, which is safe because merging
-    a stored batch twice gives the same table.
+    The batch is stored first, and dropped when the table holds it. A run that
+    stopped half-way left it behind for ``resume_merge``, which merges it only
+    if the table lacks it: rows without a key would be added once more.
     """
     if not keys:
         raise ValueError(f"merging into {table} needs a key")
@@ -152,10 +162,19 @@ def merge_rows(
 def resume_merge(
     spark: SparkSession, table: str, keys: Sequence[str], *, partition_by: str | None = BATCH_DATE
 ) -> None:
-    """Finishes a merge that was interrupted, if there is one."""
+    """Finishes a merge that was interrupted, if there is one.
+
+    A merge drops its stored batch as soon as the table holds it, and only then what the batch's merge was built in: so
+    what stands there without a batch is a leaving, and a replaced table beside a batch says that the batch is in.
+    """
     recover_table(spark, table)
-    pending = f"{table}__batch"
-    if spark.catalog.tableExists(pending):
+    pending, rebuilt, old = f"{table}__batch", f"{table}__rebuilt", f"{table}__old"
+    if not spark.catalog.tableExists(pending):
+        if left := [t for t in (rebuilt, old) if spark.catalog.tableExists(t)]:
+            drop_tables(spark, left)
+    elif spark.catalog.tableExists(old):
+        drop_tables(spark, [pending, old])
+    else:
         _merge_stored(spark, pending, table, keys, partition_by)
 
 
@@ -163,9 +182,10 @@ def _merge_stored(spark: SparkSession, pending: str, table: str, keys: Sequence[
     batch = spark.table(pending)
     if partition_by:
         _merge_by_partition(batch, table, keys, partition_by)
+        drop_tables(spark, [pending, f"{table}__rebuilt"])
     else:
-        swap_table(upsert_by_key(spark.table(table), batch, keys), table)
-    drop_tables(spark, [pending])
+        swap_table(upsert_by_key(spark.table(table), batch, keys), table, keep_old=True)
+        drop_tables(spark, [pending, f"{table}__old"])
 
 
 def _merge_by_partition(batch: DataFrame, table: str, keys: Sequence[str], partition_by: str) -> None:
@@ -194,7 +214,6 @@ def _merge_by_partition(batch: DataFrame, table: str, keys: Sequence[str], parti
         touched = _partitions_with_keys(spark.table(table), batch, keys, partition_by)
     for value in touched - filled:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_by} = {_partition_literal(value)})")
-    drop_tables(spark, [rebuilt])
 
 
 def _partitions_with_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str], partition_by: str) -> set:
@@ -213,17 +232,10 @@ def _partition_literal(value) -> str:
 
 
 def _overwrite_partitions(df: DataFrame, table: str) -> None:
-    spark = df.sparkSession
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "DYNAMIC")
-    try:
-        df.write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(mode, before)
+    _overwrite(df, table, "DYNAMIC")
 
 
-def swap_table(df: DataFrame, table: str) -> None:
+def swap_table(df: DataFrame, table: str, *, keep_old: bool = False) -> None:
     """Replaces a table by a result that reads it: written beside it, then renamed."""
     spark = df.sparkSession
     fresh, old = f"{table}__next", f"{table}__old"
@@ -231,7 +243,8 @@ def swap_table(df: DataFrame, table: str) -> None:
     df.write.saveAsTable(fresh, format="parquet", mode="overwrite")
     spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
-    drop_tables(spark, [old])
+    if not keep_old:
+        drop_tables(spark, [old])
 
 
 def recover_table(spark: SparkSession, table: str) -> None:
@@ -272,6 +285,53 @@ def archive_history(
     _put_back(spark, held, raw_table)
 
 
+def snapshot_rows(spark: SparkSession, raw_table: str, snapshot: str) -> DataFrame:
+    """The raw rows of the files that ``snapshot (path)`` lists; files that landed later are no part of it."""
+    rows = spark.table(raw_table).withColumn("_path", F.col("_metadata.file_path"))
+    return rows.join(F.broadcast(spark.table(snapshot)), F.col("_path") == F.col("path"), "left_semi").drop("_path")
+
+
+def take_snapshot(spark: SparkSession, raw_table: str, snapshot: str) -> None:
+    """Writes down which files the raw table has now."""
+    spark.catalog.refreshTable(raw_table)
+    files = spark.table(raw_table).select(F.col("_metadata.file_path").alias("path")).distinct()
+    files.write.saveAsTable(snapshot, format="parquet", mode="overwrite")
+
+
+def archive_snapshot(
+    spark: SparkSession, raw_table: str, history_table: str, snapshot: str, as_of_date: str, business_columns: Sequence[str]
+) -> None:
+    """Adds the rows of a snapshot to history, those it lacks: a second time adds nothing."""
+    leaving = snapshot_rows(spark, raw_table, snapshot)
+    leaving = not_yet_archived(leaving, spark.table(history_table), [*business_columns, PROCESSED])
+    archive_rows(leaving, as_of_date).select(*spark.table(history_table).columns).write.insertInto(history_table)
+
+
+def drop_snapshot(spark: SparkSession, raw_table: str, snapshot: str) -> None:
+    """Removes the files of a snapshot from the raw table, in tasks, and then the snapshot.
+
+    Nothing is rewritten, so files that land meanwhile stay as they are. Files that are gone already are no fault.
+    """
+    files = spark.table(snapshot)
+    files.repartition(F.col("path")).mapInArrow(_delete_files, "path string").count()
+    spark.catalog.refreshTable(raw_table)
+    drop_tables(spark, [snapshot])
+
+
+def _delete_files(batches: Iterator) -> Iterator:
+    import re
+
+    from pyarrow import fs
+
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            uri = re.sub("^file:/*", "file:///", re.sub(r"^s3[an]://", "s3://", path.replace(" ", "%20")))
+            system, inner = fs.FileSystem.from_uri(uri)
+            if system.get_file_info(inner).is_file:
+                system.delete_file(inner)
+        yield batch
+
+
 def _put_back(spark: SparkSession, held: str, raw_table: str) -> None:
     _overwrite_all(spark.table(held).select(*spark.table(raw_table).columns), raw_table)
     drop_tables(spark, [held])

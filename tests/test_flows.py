@@ -1,5 +1,6 @@
 import json
 import os
+import threading
 from datetime import date, datetime
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pactloom.contract import orders_contract
 from pactloom.operators.drift import AUDIT_FIELDS
 from pactloom.plans import entity, ingest as flow
-from pactloom.sinks import tables as sinks
+from pactloom.sinks import ledger, moves, tables as sinks
 from pactloom.sources import files, tables
 from pactloom.streaming import arrivals, events
 
@@ -184,6 +185,100 @@ def test_ingest_goes_on_after_a_crash(spark, db, landing, tmp_path, monkeypatch)
     check_ledger(spark, db)
 
 
+def test_the_ledger_is_pruned_by_batch(spark, db, landing):
+    targets = flow.IngestTargets(ledger=f"{db}.ingestion_log")
+    for b in ("b1", "b2"):
+        flow.ingest(spark, files.list_files(spark, str(landing)).where("file_name LIKE 'pairs_1%'"), spark.table(f"{db}.rules"), targets, as_of=AS_OF, batch_id=b)
+    found = ledger.batch_records(spark, targets.ledger, "b1")
+    assert found.count() == 1 and spark.table(targets.ledger).count() == 2
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert f"(batch_key#" in plan.split("PartitionFilters:")[1].split("]")[0]
+    assert len(found.inputFiles()) < len(spark.table(targets.ledger).inputFiles())
+    assert spark.table(targets.ledger).select("started_on").distinct().first()[0] == date(2024, 1, 7)
+
+
+def test_loads_of_different_tables_run_side_by_side(spark, db, landing, monkeypatch):
+    (landing / "snap_1.csv").write_text("a,b\ns,1\n")
+    both, load = threading.Barrier(2, timeout=60), flow._load_group
+
+    def meet(spark_, group, *rest):
+        if group["table_ref"].endswith("snap_raw") or group["file_format"] == "parquet":
+            both.wait()
+        return load(spark_, group, *rest)
+
+    monkeypatch.setattr(flow, "_load_group", meet)
+    targets = flow.IngestTargets(ledger=f"{db}.ingestion_log")
+    wanted = files.list_files(spark, str(landing)).where("file_name IN ('snap_1.csv', 'pairs_6.parquet')")
+    flow.ingest(spark, wanted, spark.table(f"{db}.rules"), targets, as_of=AS_OF)
+    assert spark.table(f"{db}.snap_raw").count() == 1 and spark.table(f"{db}.pairs_raw").count() == 1
+
+
+def moved_to(spark, db):
+    return {r["file_name"]: r["file_uri"] for r in spark.table(f"{db}.ingestion_log").collect()}
+
+
+@pytest.mark.parametrize("step", ["none", "intend", "_copy", "_delete", "append_ledger", "ledger"])
+def test_files_are_moved_whatever_stops(spark, db, landing, tmp_path, monkeypatch, step):
+    """A run stops before or at a step; delivered again, the batch is loaded, moved and listed once."""
+    (landing / "more").mkdir()
+    (landing / "more" / "pairs_1.csv").write_text("a|b\n30|again\n")
+    before = {str(p.relative_to(landing)): p.read_bytes() for p in landing.rglob("*") if p.is_file()}
+    targets = flow.IngestTargets(f"{db}.ingestion_log", archive_root=str(tmp_path / "archive"), moves=f"{db}.moves")
+    listed = spark.createDataFrame(files.list_files(spark, str(landing)).collect())
+
+    def run():
+        flow.ingest(spark, listed, spark.table(f"{db}.rules"), targets, as_of=AS_OF, batch_id="b1")
+
+    if step in ("intend", "append_ledger", "_copy", "_delete"):
+        original, calls = getattr(moves, step), []
+
+        def stop(*args):
+            # In tasks of another process each attempt counts for itself: there the step fails for one file.
+            if step in ("_copy", "_delete"):
+                if "pairs_2" in args[0]:
+                    raise RuntimeError("lost")
+            elif len(calls) == (0 if step == "append_ledger" else 1):
+                raise RuntimeError("lost")
+            calls.append(1)
+            return original(*args)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(moves, step, stop)
+            if step in ("_copy", "_delete"):
+                with pytest.warns(UserWarning, match="lost"):
+                    run()
+                assert "pairs_2.txt" not in moved_to(spark, db)
+            else:
+                with pytest.raises(RuntimeError):
+                    run()
+    elif step == "ledger":
+        run()
+    run()
+    addresses = moved_to(spark, db)
+    assert set(addresses) == {*EXPECTED, "more/pairs_1.csv"} and spark.table(f"{db}.ingestion_log").count() == len(addresses)
+    for name, address in addresses.items():
+        with open(address, "rb") as moved:
+            assert moved.read() == before[name]
+    assert len(set(addresses.values())) == len(addresses)
+    left = {str(p.relative_to(landing)) for p in landing.rglob("*") if p.is_file()}
+    assert left == {"processed/pairs_0.csv"} and not list((tmp_path / "archive").rglob("*.part"))
+    if step != "intend":  # what a load inserted before its intents were written is inserted again
+        assert rows(spark.table(f"{db}.pairs_raw").select("a", "b")) == sorted([*LOADED, ("30", "again")], key=repr)
+
+
+def test_a_taken_address_is_left_alone(spark, db, landing, tmp_path):
+    targets = flow.IngestTargets(f"{db}.ingestion_log", archive_root=str(tmp_path / "archive"), moves=f"{db}.moves")
+    taken = tmp_path / "archive" / "processed" / "pairs_1.csv_20240107120000"
+    taken.parent.mkdir(parents=True)
+    taken.write_text("another")
+    wanted = files.list_files(spark, str(landing)).where("file_name = 'pairs_1.csv'")
+    with pytest.warns(UserWarning, match="another file"):
+        flow.ingest(spark, wanted, spark.table(f"{db}.rules"), targets, as_of=AS_OF, batch_id="b1")
+    assert taken.read_text() == "another" and (landing / "pairs_1.csv").exists()
+    with pytest.raises(ValueError, match="archive_root"):
+        flow.IngestTargets("x", moves="y")
+
+
 def test_ingest_nothing(spark, db, landing):
     targets = flow.IngestTargets(ledger=f"{db}.ingestion_log")
     none = files.list_files(spark, str(landing)).where("false")
@@ -225,6 +320,45 @@ def test_entity_runs(spark, orders, merge):
     assert doubled.first()["failing_rows"] == (0 if merge else 1)
 
 
+@pytest.mark.parametrize("calls", range(7))
+def test_an_entity_run_is_finished_by_the_next(spark, orders, monkeypatch, calls):
+    """Rows of one stamp land between all steps, some without a key; the run stops after any of its steps."""
+    contract, stamp = orders_contract(), "2024-01-01 08:00:00"
+    order = lambda i, status="SHIPPED": (i, "Ann", "10.5", status, "2024-01-01", "3")
+    load(spark, orders.raw, stamp, order("1", "PENDING"), order("2"), order("x"))
+    steps = ["begin", "refresh_staging", "take_staging", "run_checks", "archive"]
+    done = []
+
+    def stepwise(name, function):
+        def run(*args, **kwargs):
+            if len(done) == calls:
+                raise RuntimeError("lost")
+            out = function(*args, **kwargs)
+            done.append(name)
+            load(spark, orders.raw, stamp, order(str(10 + len(done))))
+            return out
+
+        return run
+
+    with monkeypatch.context() as patch:
+        for name in steps:
+            patch.setattr(entity, name, stepwise(name, getattr(entity, name)))
+        patch.setattr(sinks, "drop_snapshot", stepwise("drop_snapshot", sinks.drop_snapshot))
+        try:
+            entity.run_entity(spark, orders, contract, "2024-01-01 12:00:00")
+        except RuntimeError:
+            pass
+    load(spark, orders.raw, "2024-01-01 07:00:00", order("1", "CANCELLED"))  # late, and older than what the mart has
+    for hour in (13, 14):
+        entity.run_entity(spark, orders, contract, f"2024-01-01 {hour}:00:00")
+    landed = ["1", "1", "2", "x", *(str(10 + i) for i in range(1, len(done) + 1))]
+    assert sorted(r[0] for r in spark.table(orders.history).select("order_id").collect()) == sorted(landed)
+    mart = rows(spark.table(orders.mart).select("order_id", "status"))
+    assert sorted(mart, key=repr) == sorted([(1, "PENDING"), (2, "SHIPPED"), (None, "SHIPPED"), *((10 + i, "SHIPPED") for i in range(1, len(done) + 1))], key=repr)
+    assert spark.table(orders.raw).count() == 0
+    assert not [t.name for t in spark.catalog.listTables(orders.raw.split(".")[0]) if "__" in t.name]
+
+
 def test_drift_stream_restarts(spark, tmp_path):
     def send(name, *messages):
         from base64 import b64encode

@@ -109,6 +109,42 @@ def test_merge_finishes_an_interrupted_run(spark, db, monkeypatch, step, before)
     assert [t.name for t in spark.catalog.listTables(db) if not t.isTemporary] == ["fct"]
 
 
+def stopped_after(function, calls):
+    """The function, failing once it was called so often."""
+    done = []
+
+    def run(*args, **kwargs):
+        if len(done) == calls:
+            raise Lost
+        done.append(1)
+        return function(*args, **kwargs)
+
+    return run
+
+
+@pytest.mark.parametrize("partition_by", ["batch_date", None])
+@pytest.mark.parametrize("calls", range(9))
+def test_rows_without_a_key_are_merged_once(spark, db, monkeypatch, partition_by, calls):
+    table = f"{db}.fct"
+    sinks.append_table(mart_rows(spark, (1, "a", 1, 1), (None, "old", 1, 1)), table, partition_by=partition_by)
+    pieces = (mart_rows(spark, (1, "b", 4, 1), (None, "new", 4, 1)), mart_rows(spark, (2, "c", 5, 1)))
+    with monkeypatch.context() as patch:
+        # Each statement on tables is a step; stops fall between any two of them.
+        original = type(spark).sql
+        counter = stopped_after(original, calls)
+        patch.setattr(type(spark), "sql", lambda self, query, *a, **k: counter(self, query, *a, **k) if "DROP TABLE" in query or "RENAME" in query else original(self, query, *a, **k))
+        try:
+            sinks.merge_rows(pieces[0], table, ["k"], partition_by=partition_by)
+        except Lost:
+            pass
+    sinks.resume_merge(spark, table, ["k"], partition_by=partition_by)
+    if not spark.table(table).where("v = 'b'").count():  # it stopped before the batch was stored
+        sinks.merge_rows(pieces[0], table, ["k"], partition_by=partition_by)
+    sinks.merge_rows(pieces[1], table, ["k"], partition_by=partition_by)
+    assert rows(spark.table(table).select("k", "v")) == [(1, "b"), (2, "c"), (None, "new"), (None, "old")]
+    assert [t.name for t in spark.catalog.listTables(db) if not t.isTemporary] == ["fct"]
+
+
 def test_merge_recovers_a_half_replaced_partition(spark, db, monkeypatch):
     """The old partition is gone and the new one has not arrived when the run stops."""
     table = f"{db}.fct"
