@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from pactloom.parity import inputs
 from pactloom.parity.case import Case
 from pactloom.parity.inputs import AS_OF
 from pactloom.parity.ingest import CLASSIFIED, messages
+from pactloom.plans import repair
 from pactloom.plans.ingest import IngestTargets, ingest
 from pactloom.sources.files import list_files
 from pactloom.sources.tables import create_table
@@ -105,6 +108,36 @@ def _ledger_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _row_text(spark.table(f"{database}.orders_raw"), "raw").unionByName(listed)
 
 
+def _drift_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files drift or lack a table, the requests that follow change the tables, the files load; a replay changes nothing."""
+    run, database = inputs.folder(spark, "drift_repair"), inputs.workspace(spark, "drift_repair")
+    rules = _landed_orders(spark, sf_dir, run, database, 4)
+    inputs.table(spark, sf_dir, "customer").select("c_custkey", "c_name").write.json(f"{run}/landing/customer")
+    rules = rules.unionByName(spark.sql(f"SELECT 'customer/.*[.]json$' AS file_pattern, '{database}' AS target_dataset, 'customer_raw' AS target_table, 'crm' AS domain, NULL AS delimiter, true AS is_active"))
+    # The table of the orders knows a column that the files lack, and lacks one of theirs.
+    spark.sql(f"DROP TABLE {database}.orders_raw")
+    for name in ("orders_raw", "orders_raw_hist"):
+        create_table(spark, f"{database}.{name}", _text_fields(["order_id", "customer_name", "coupon"]), partition_by="batch_date")
+    targets = IngestTargets(f"{database}.ingestion_log", events_folder=f"{run}/drift")
+    listing = inputs.stored(list_files(spark, f"{run}/landing"), "listing")
+    first = ingest(spark, listing, rules, targets, as_of=AS_OF, batch_id="b1").groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    refused = first.select(F.concat(F.lit("first "), F.lower("status")).alias("side"), F.when(F.col("n") > 0, "some").alias("row_text"))
+    refused = inputs.stored(refused, "refused")
+    repairs = repair.RepairTargets(f"{database}.requests", f"{database}.versions", [database])
+    for attempt in ("a", "b"):  # the second has no checkpoint and gets all messages again
+        requests = events.drift_requests(events.emitted_messages(spark, f"{run}/drift"))
+        repair.repair_tables(requests, repairs, f"{run}/checkpoint-{attempt}").awaitTermination()
+    second = ingest(spark, listing, rules, targets, as_of=AS_OF, batch_id="b2")
+    drifted = second.where("status != 'SUCCESS'").agg(F.lit("left").alias("side"), F.count(F.lit(1)).cast("string").alias("row_text"))
+    versions = spark.table(repairs.versions).select(
+        F.lit("version").alias("side"),
+        F.concat_ws("|", F.element_at(F.split("table_ref", r"\."), -1), "version", "action", F.array_join("added", ","), F.array_join("removed", ",")).alias("row_text"),
+    )
+    customers = spark.table(f"{database}.customer_raw").select(F.lit("customer").alias("side"), F.concat_ws("|", "c_custkey", "c_name").alias("row_text"))
+    parts = [_row_text(spark.table(f"{database}.orders_raw"), "raw"), customers, refused, drifted, versions]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _envelopes(spark: SparkSession, sf_dir: str, target: str, copies: int) -> None:
     sent = messages(spark, sf_dir).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
     sent.select(
@@ -152,6 +185,10 @@ CASES = [
         UNION ALL SELECT 'ledger events_raw', concat(CAST(count(*) AS VARCHAR), '|0'), NULL, NULL FROM events"""),
     Case("archive_files", _archive_files, inputs.WITH_RAW + f"""SELECT s.side, {_TEXT} AS row_text FROM orders_raw, (VALUES ('raw'), ('archive')) s(side)
         UNION ALL SELECT 'left', '0'"""),
+    Case("drift_repair", _drift_repair, inputs.WITH_RAW + f"""SELECT 'raw' AS side, {_TEXT} AS row_text FROM orders_raw
+        UNION ALL SELECT 'customer', concat(CAST(c_custkey AS VARCHAR), '|', c_name) FROM customer
+        UNION ALL SELECT * FROM (VALUES ('first drift_detected', 'some'), ('first table_missing', 'some'), ('left', '0'),
+          ('version', 'orders_raw|1|change|status|coupon'), ('version', 'customer_raw|1|create|c_custkey,c_name|')) v"""),
     Case("ledger_recovery", _ledger_recovery, inputs.WITH_RAW + f"""SELECT 'raw' AS side, {_TEXT} AS row_text FROM orders_raw
         UNION ALL SELECT 'ledger', concat('6|6|', CAST(count(*) FILTER (NOT ({_BLANK})) AS VARCHAR), '|', CAST(count(*) FILTER ({_BLANK}) AS VARCHAR)) FROM orders_raw"""),
     Case("drift_event_stream", _drift_event_stream, f"WITH {CLASSIFIED} SELECT date_trunc('millisecond', ts) AS published_at, value FROM messages"),

@@ -32,8 +32,14 @@ def scan_registry(spark: SparkSession, name: str) -> DataFrame:
 
 
 def table_columns(spark: SparkSession, names: Iterable[str]) -> DataFrame:
-    """(table_ref, columns) of the tables that exist; a missing one gives no row."""
-    rows = [(n, spark.table(n).columns) for n in sorted(set(names)) if spark.catalog.tableExists(n)]
+    """(table_ref, columns) of the tables that exist, as they are now; a missing one gives no row.
+
+    A session remembers a table as it first saw it, and another one may have changed its columns since.
+    """
+    present = [n for n in sorted(set(names)) if spark.catalog.tableExists(n)]
+    for name in present:
+        spark.catalog.refreshTable(name)
+    rows = [(n, spark.table(n).columns) for n in present]
     return spark.createDataFrame(rows, "table_ref string, columns array<string>")
 
 

@@ -21,6 +21,12 @@ def drift_messages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def emitted_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages as ``emit_drift_events`` writes them, a JSON text a line, with the time they name."""
+    lines = spark.readStream.schema("value string").text(folder)
+    return lines.select(F.get_json_object("value", "$.timestamp").try_cast("timestamp").alias("published_at"), "value")
+
+
 def dedup_events(messages: DataFrame, delay: str = "1 hour", key: str = "trace_id", at: str = "published_at") -> DataFrame:
     """One message per key within ``delay``: delivery is at least once, so copies arrive close together.
 
