@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactloom.functions import casts, messages, predicates, text
+from pactloom.functions import casts, messages, predicates, text, variant
 from pactloom.parity import inputs
 from pactloom.parity.case import Case
 from pactloom.parity.inputs import AS_OF
@@ -171,6 +171,10 @@ CASES = [
             fallback=F.coalesce(F.get_json_object("props", "$.protoPayload.status.message"), F.get_json_object("props", "$.k"), F.lit("none")))),
         """SELECT event_id, json_extract_string(props, '$.k') AS k,
            coalesce(json_extract_string(props, '$.protoPayload.status.message'), json_extract_string(props, '$.k'), 'none') AS fallback FROM events"""),
+    Case("fn_variant_path", lambda spark, sf_dir: variant.variant_fields(
+            inputs.table(spark, sf_dir, "events").select("event_id", variant.as_variant("props").alias("v")), "v",
+            {"k": ("$.k", "bigint"), "as_text": ("$.k", "string"), "absent": ("$.a.b", "bigint")}).drop("v"),
+        "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, json_extract_string(props, '$.k') AS as_text, CAST(NULL AS BIGINT) AS absent FROM events"),
     Case("fn_json_keys", _over("events", lambda: dict(event_id=F.col("event_id"), names=F.array_join(F.json_object_keys("props"), ","), has_k=messages.has_key(F.col("props"), "k"))),
         "SELECT event_id, array_to_string(json_keys(props), ',') AS names, list_contains(json_keys(props), 'k') AS has_k FROM events"),
     Case("fn_first_sample_keys", _over("events", lambda: dict(event_id=F.col("event_id"), names=F.array_join(messages.first_sample_keys(

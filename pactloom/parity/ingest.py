@@ -3,6 +3,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pactloom.functions import variant
 from pactloom.operators import drift, routing
 from pactloom.parity import inputs
 from pactloom.parity.case import Case
@@ -59,6 +60,30 @@ def _registry_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed.groupBy("target_table", "domain").agg(F.count(F.lit(1)).alias("files"))
 
 
+def _registry_routing_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule for each customer, a file for each order; customers in debt are switched off."""
+    customers = inputs.table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("c"), "c_acctbal")
+    registry = customers.select(
+        F.concat(F.lit("^in/customer_"), "c", F.lit("_")).alias("file_pattern"),
+        F.lit("raw").alias("target_dataset"),
+        F.concat(F.lit("customer_"), "c").alias("target_table"),
+        F.lit("sales").alias("domain"),
+        (F.col("c_acctbal") > 0).alias("is_active"),
+    )
+    names = F.concat(F.lit("in/customer_"), F.col("o_custkey").cast("string"), F.lit("_"), F.col("o_orderkey").cast("string"), F.lit(".csv"))
+    routed = routing.route_files(inputs.table(spark, sf_dir, "orders").select(names.alias("file_name")), registry)
+    return routed.groupBy("target_table").agg(F.count(F.lit(1)).alias("files"))
+
+
+def _audit_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads of the operations as VARIANT, some of them cut short; bad ones are kept apart with their text."""
+    cut = F.when(F.col("resource_id") == "raw.error", F.substring("change_payload", 1, 9)).otherwise(F.col("change_payload"))
+    rows = _operations(spark, sf_dir).select("resource_id", cut.alias("payload"))
+    parsed = rows.withColumns({"v": variant.as_variant("payload"), "is_bad": variant.is_bad_json("payload")})
+    named = variant.variant_fields(parsed, "v", {"event_id": ("$.event_id", "bigint"), "user_id": ("$.user_id", "bigint"), "absent": ("$.nothing", "string")})
+    return named.select("resource_id", "is_bad", F.when(F.col("is_bad"), F.col("payload")).alias("bad_payload"), "event_id", "user_id", "absent")
+
+
 def _schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     diff = drift.schema_diff(inputs.file_headers(spark, sf_dir), inputs.table_columns(spark, sf_dir))
     return diff.select(
@@ -280,6 +305,13 @@ CASES = [
     Case("registry_routing", _registry_routing, """SELECT CASE WHEN n_regionkey <> 2 THEN concat('nation_', CAST(n_nationkey AS VARCHAR)) END AS target_table,
         CASE WHEN n_regionkey <> 2 THEN concat('region_', CAST(n_regionkey AS VARCHAR)) END AS domain, count(*) AS files
         FROM lineitem LEFT JOIN nation ON n_nationkey = l_suppkey % 25 GROUP BY ALL"""),
+    Case("registry_routing_large", _registry_routing_large, """SELECT CASE WHEN c_acctbal > 0 THEN concat('customer_', CAST(c_custkey AS VARCHAR)) END AS target_table,
+        count(*) AS files FROM orders LEFT JOIN customer ON c_custkey = o_custkey GROUP BY ALL"""),
+    Case("audit_variant", _audit_variant, f"""SELECT resource_id, resource_id = 'raw.error' AS is_bad,
+        CASE WHEN resource_id = 'raw.error' THEN substring(change_payload, 1, 9) END AS bad_payload,
+        CASE WHEN resource_id <> 'raw.error' THEN CAST(change_payload ->> '$.event_id' AS BIGINT) END AS event_id,
+        CASE WHEN resource_id <> 'raw.error' THEN CAST(change_payload ->> '$.user_id' AS BIGINT) END AS user_id, CAST(NULL AS VARCHAR) AS absent
+        FROM ({_OPERATIONS}) o"""),
     Case("schema_diff", _schema_diff, f"""WITH {HEADERS} SELECT e.event_id,
         coalesce(string_agg(d.column_name, ',' ORDER BY d.column_name) FILTER (d.change = 'unknown'), '') AS new_columns,
         coalesce(string_agg(d.column_name, ',' ORDER BY d.column_name) FILTER (d.change = 'missing'), '') AS deleted_columns

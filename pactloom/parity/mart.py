@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-from dataclasses import replace
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +12,7 @@ from pactloom.operators.staging import stage, with_audit_columns
 from pactloom.parity import inputs
 from pactloom.parity.case import Case
 from pactloom.parity.inputs import AS_OF, AS_OF_DATE, BUSINESS, ORDERS_RAW, SECOND_LOAD, STG_ORDERS, WITH_RAW, typed_sql
-from pactloom.parity.staging import stg_orders
+from pactloom.parity.staging import keyless_contract, stg_orders
 from pactloom.plans import entity
 from pactloom.sinks import tables as sinks
 from pactloom.sources.tables import create_table
@@ -179,9 +178,7 @@ def _upsert_duplicate_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch with all versions of a key: the newest counts."""
     target = inputs.stored(first_mart(spark, sf_dir), "upsert_target")
     raw = inputs.orders_raw(spark, sf_dir)
-    contract = orders_contract()
-    keyless = replace(contract, columns=tuple(replace(c, primary_key=False, unique=False) for c in contract.columns))
-    every = stage(raw, keyless, AS_OF)
+    every = stage(raw, keyless_contract(), AS_OF)
     return mart.upsert_by_key(target, inputs.stored(every, "upsert_batch"), ["order_id"])
 
 

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactloom.contract import contract_rules, orders_contract
+from pactloom.contract import Rules, contract_rules, orders_contract
 from pactloom.functions import predicates
 from pactloom.operators import profile, quality
 from pactloom.parity import inputs
@@ -80,6 +82,21 @@ def _assertion_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assertion_report(inputs.stored(stg_orders(spark, sf_dir), "assertion_report"), _rules())
 
 
+def _assert_unique_each(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two unique columns, each checked on its own."""
+    contract = orders_contract()
+    named = ("order_id", "customer_name")
+    columns = tuple(replace(c, primary_key=False, unique=c.name in named, not_null=False, tests=()) for c in contract.columns)
+    rules = contract_rules(replace(contract, columns=columns))
+    staged = inputs.stored(stg_orders(spark, sf_dir), "assert_unique_each")
+    return quality.assertion_report(staged, rules).where("rule_type = 'uniqueKey'")
+
+
+def _report_unique_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules that are a key and nothing else."""
+    return quality.assertion_report(inputs.orders_raw(spark, sf_dir), Rules((), (("order_id",),), ()))
+
+
 def _check_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = inputs.stored(stg_orders(spark, sf_dir), "check_report")
     return check_report(staged, "stg_orders", orders_contract(), STALE)
@@ -182,6 +199,10 @@ CASES = [
     Case("assert_custom_sql", _assert_custom_sql, WITH_STG + f"""SELECT {STG} FROM stg_orders
         WHERE NOT (status <> 'DELIVERED' OR processed_dttm >= TIMESTAMP '2024-01-06 00:00:00')"""),
     Case("assertion_report", _assertion_report, WITH_STG + _report_sql()),
+    Case("assert_unique_each", _assert_unique_each, WITH_STG + " UNION ALL ".join(f"""SELECT 'uniqueKey' AS rule_type, '{c}' AS rule_name,
+        (SELECT count(*) FROM (SELECT {c} FROM stg_orders GROUP BY {c} HAVING count(*) > 1) d) AS failing_rows""" for c in ("order_id", "customer_name"))),
+    Case("assertion_report_unique_only", _report_unique_only, WITH_RAW + """SELECT 'uniqueKey' AS rule_type, 'order_id' AS rule_name,
+        (SELECT count(*) FROM (SELECT order_id FROM orders_raw GROUP BY order_id HAVING count(*) > 1) d) AS failing_rows"""),
     Case("contract_to_assertions", _check_report, WITH_STG + f"""SELECT 'stg_orders' AS table_name, TIMESTAMP '{STALE}' AS checked_at, * FROM (
         {_report_sql()}
         UNION ALL SELECT 'sla', 'freshness', 1 FROM stg_orders HAVING MAX(processed_dttm) < TIMESTAMP '{STALE}' - INTERVAL 24 HOUR

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,6 +81,25 @@ def _scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.scan_csv(spark, target, BUSINESS, delimiter="|").drop(files.SOURCE_FILE)
 
 
+def _scan_csv_preamble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three lines before the records, one of them empty."""
+    target = inputs.folder(spark, "scan_csv_preamble")
+    lines = inputs.orders_raw(spark, sf_dir).select(F.to_csv(F.struct(*BUSINESS), {"sep": "|", "nullValue": "", "emptyValue": '""'}).alias("value"))
+    head = spark.createDataFrame([("export of orders",), ("",), ("|".join(BUSINESS),)], "value string")
+    head.coalesce(1).union(lines.coalesce(1)).coalesce(1).write.text(target)
+    return files.scan_csv(spark, target, BUSINESS, delimiter="|", skip_rows=3).drop(files.SOURCE_FILE)
+
+
+def keyless_contract():
+    contract = orders_contract()
+    return replace(contract, columns=tuple(replace(c, primary_key=False, unique=False) for c in contract.columns))
+
+
+def _stage_without_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A contract without a key has no versions: every raw row is staged."""
+    return staging.stage(inputs.orders_raw(spark, sf_dir), keyless_contract(), AS_OF)
+
+
 def _scan_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every second record has a nested value, which arrives as its JSON text."""
     target = inputs.folder(spark, "scan_ndjson")
@@ -138,6 +159,10 @@ CASES = [
         o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate,
         o_orderpriority FROM orders"""),
     Case("scan_csv", _scan_csv, WITH_RAW + f"SELECT {', '.join(BUSINESS)} FROM orders_raw"),
+    Case("scan_csv_preamble", _scan_csv_preamble, WITH_RAW + f"SELECT {', '.join(BUSINESS)} FROM orders_raw"),
+    Case("stage_without_key", _stage_without_key, WITH_RAW + f"""SELECT TRY_CAST(order_id AS BIGINT) AS order_id, customer_name,
+        TRY_CAST(amount AS DECIMAL(38,9)) AS amount, status, TRY_CAST(order_date AS DATE) AS order_date, TRY_CAST(warehouse_id AS BIGINT) AS warehouse_id,
+        DATE '{AS_OF_DATE}' AS batch_date, processed_dttm, TIMESTAMP '{AS_OF}' AS updated_dttm FROM orders_raw"""),
     Case("scan_ndjson", _scan_ndjson, """SELECT CAST(event_id AS VARCHAR) AS event_id, event_type,
         CASE WHEN event_id % 2 = 0 THEN concat('{"user_id":', CAST(user_id AS VARCHAR), ',"event_type":"', event_type, '"}') END AS detail
         FROM events"""),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pactloom.contract import AUDIT_COLUMNS
 from pactloom.functions.messages import encode_base64
-from pactloom.operators.drift import AUDIT_FIELDS
+from pactloom.operators.drift import AUDIT_FIELDS, classify_drift_events
 from pactloom.parity import inputs
 from pactloom.parity.case import Case
 from pactloom.parity.inputs import AS_OF
@@ -16,7 +16,7 @@ from pactloom.plans import repair
 from pactloom.plans.ingest import IngestTargets, ingest
 from pactloom.sources.files import list_files
 from pactloom.sources.tables import create_table
-from pactloom.streaming import arrivals, events
+from pactloom.streaming import arrivals, events, seen
 
 
 def _text_fields(names: list[str]) -> list[dict]:
@@ -171,6 +171,21 @@ def _dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream_result(flat.drop("published_at"), run)
 
 
+def _dedup_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies with equal times, in one batch and in later ones, one message very often; the last batch comes twice."""
+    database = inputs.workspace(spark, "dedup_seen")
+    keys = seen.SeenKeys(f"{database}.seen", f"{database}.requests")
+    sent = messages(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("published_at"), "value")
+    requests = inputs.stored(classify_drift_events(sent), "requests")
+    often = F.when(F.col("trace_id") == "t3", 5000).otherwise(2)
+    copies = requests.withColumn("copy", F.explode(F.sequence(F.lit(1), often))).drop("copy")
+    odd = requests.where(F.pmod(F.xxhash64("trace_id"), F.lit(2)) == 1)
+    for number, batch in enumerate((odd, copies, copies)):
+        seen.take_batch(batch, min(number, 1), keys, "2024-01-07")
+    flat = seen.given(spark, keys).withColumns({"added": F.array_join("added", ","), "removed": F.array_join("removed", ",")})
+    return flat.drop("published_at")
+
+
 _BLANK = "coalesce(order_id, '') = '' OR coalesce(customer_name, '') = '' OR coalesce(status, '') = ''"
 _TEXT = "concat(coalesce(order_id, ''), '|', coalesce(customer_name, ''), '|', coalesce(status, ''))"
 _AUDIT = f"DATE '9999-12-31' AS batch_date, TIMESTAMP '{AS_OF}' AS processed_dttm"
@@ -192,5 +207,6 @@ CASES = [
     Case("ledger_recovery", _ledger_recovery, inputs.WITH_RAW + f"""SELECT 'raw' AS side, {_TEXT} AS row_text FROM orders_raw
         UNION ALL SELECT 'ledger', concat('6|6|', CAST(count(*) FILTER (NOT ({_BLANK})) AS VARCHAR), '|', CAST(count(*) FILTER ({_BLANK}) AS VARCHAR)) FROM orders_raw"""),
     Case("drift_event_stream", _drift_event_stream, f"WITH {CLASSIFIED} SELECT date_trunc('millisecond', ts) AS published_at, value FROM messages"),
+    Case("dedup_seen", _dedup_seen, f"WITH {CLASSIFIED} SELECT * EXCLUDE (ts) FROM requests"),
     Case("dedup_events", _dedup_events, f"WITH {CLASSIFIED} SELECT * EXCLUDE (ts) FROM requests"),
 ]
