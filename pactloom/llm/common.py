@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import cache, wraps
 
 import numpy as np
@@ -53,6 +54,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def written() -> Iterator[list[str]]:
+    """The folders of the tables that are written inside, for ``remove``."""
+    _written.append([])
+    try:
+        yield _written[-1]
+    finally:
+        _written.pop()
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
