@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pactloom.llm import decontamination, language, minhash, mixing, site_lines
-from pactloom.llm.common import stored, table
+from pactloom.llm.common import remove, stored, table, written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +47,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's result is written and read again."""
+    """All stages over ``documents``; each one's result is written and read again, and what it wrote on the way removed."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with written() as leavings:
+            out = stage(spark, docs, sf_dir)
+        docs = stored(out, name)
+        for folder in leavings:
+            remove(spark, folder)
     return docs
