@@ -11,6 +11,7 @@ from pactloom.contract import AUDIT_COLUMNS, BATCH_DATE, PROCESSED
 from pactloom.functions.messages import PLATFORM_WORD, first_sample_keys, read_messages
 from pactloom.operators import routing
 
+# The event type here, and the message texts in ``drift_outcome``, which readers of the messages know.
 EVENT_TYPE = "SCHEMA_DRIFT_AI"
 
 

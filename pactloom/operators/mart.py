@@ -7,6 +7,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from pactloom.contract import BATCH_DATE, PROCESSED
 from pactloom.functions.predicates import any_null
@@ -47,8 +48,9 @@ def incremental_filter(
 def upsert_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key is not in the source, and the source rows, the newest of each key.
 
-    Newest is the greatest processing time, where the source has one. Without keys nothing is replaced: all rows of
-    both sides stay.
+    Newest is the greatest processing time, where the source has one; among rows of equal time, or without one, the
+    row with the greatest other values counts, column by column. Without keys nothing is replaced: all rows of both
+    sides stay.
 
     A NULL key matches nothing, so such rows stay and are added to. Since they
     need no partner they are spread over many tasks, however many there are;
@@ -59,7 +61,9 @@ def upsert_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
         return target.unionByName(source.select(*target.columns))
     no_key = any_null(keys)
     keyed = source.where(~no_key)
-    keyed = latest_per_key(keyed, keys) if PROCESSED in source.columns else keyed.dropDuplicates([*keys])
+    by_time = [PROCESSED] if PROCESSED in source.columns else []
+    rest = [f.name for f in source.schema if f.name not in (*keys, *by_time) and not isinstance(f.dataType, MapType | VariantType)]
+    keyed = latest_per_key(keyed, keys, by_time, rest) if by_time or rest else keyed.dropDuplicates([*keys])
     source = keyed.unionByName(source.where(no_key))
     spread = F.when(no_key, 1 + F.pmod(F.spark_partition_id(), F.lit(NULL_KEY_TASKS))).otherwise(0)
     replaced = keyed.select(*keys, F.lit(0).alias("_spread"))

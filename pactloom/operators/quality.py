@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pactloom.contract import PROCESSED, Rules
 from pactloom.functions.predicates import any_blank, any_null, no_nulls
 
+# Reasons as the check reports have them.
 FRESHNESS_REASON = "Freshness Breach: Max processed_dttm is older than {hours:g} hours"
 COMPLETENESS_REASON = "Completeness Breach: share of good records is below the objective"
 
