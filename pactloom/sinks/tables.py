@@ -273,9 +273,9 @@ def archive_history(
     raw = spark.table(raw_table)
     leaving = raw if up_to is None else raw.where(F.col(PROCESSED) <= F.lit(up_to).cast("timestamp"))
     if business_columns is not None:
-        leaving = not_yet_archived(leaving, spark.table(history_table), [*business_columns, PROCESSED])
-    rows = archive_rows(leaving, as_of_date)
-    rows.select(*spark.table(history_table).columns).write.insertInto(history_table)
+        add_to_history(leaving, history_table, as_of_date, business_columns)
+    else:
+        archive_rows(leaving, as_of_date).select(*spark.table(history_table).columns).write.insertInto(history_table)
     if up_to is None:
         truncate(spark, raw_table)
         return
@@ -302,9 +302,20 @@ def archive_snapshot(
     spark: SparkSession, raw_table: str, history_table: str, snapshot: str, as_of_date: str, business_columns: Sequence[str]
 ) -> None:
     """Adds the rows of a snapshot to history, those it lacks: a second time adds nothing."""
-    leaving = snapshot_rows(spark, raw_table, snapshot)
-    leaving = not_yet_archived(leaving, spark.table(history_table), [*business_columns, PROCESSED])
-    archive_rows(leaving, as_of_date).select(*spark.table(history_table).columns).write.insertInto(history_table)
+    add_to_history(snapshot_rows(spark, raw_table, snapshot), history_table, as_of_date, business_columns)
+
+
+def add_to_history(rows: DataFrame, history_table: str, as_of_date: str, business_columns: Sequence[str]) -> None:
+    """Adds the rows that history lacks. Of history only the partitions are read whose sketch says that they may hold one."""
+    from pactloom.sinks import sketch
+
+    columns = [*business_columns, PROCESSED]
+    history = rows.sparkSession.table(history_table)
+    touched = sketch.touched_partitions(rows, history_table, columns)
+    leaving = not_yet_archived(rows, history.where(F.col(BATCH_DATE).isin(touched)), columns) if touched else rows
+    placed = archive_rows(leaving, as_of_date).select(*history.columns)
+    sketch.add_rows(archive_rows(rows, as_of_date), history_table, columns)
+    placed.write.insertInto(history_table)
 
 
 def drop_snapshot(spark: SparkSession, raw_table: str, snapshot: str) -> None:
@@ -355,8 +366,11 @@ def expire_partitions(
     limit = spark.range(1).select(F.date_sub(F.lit(as_of_date).cast("date"), days).cast("string")).first()[0]
     values = [r[0].partition("=")[2] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
     expired = [v for v in values if v != "__HIVE_DEFAULT_PARTITION__" and v <= limit]
+    from pactloom.sinks import sketch
+
     for value in expired:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = '{value}')")
+        sketch.drop_partition(spark, table, value)
     return expired
 
 

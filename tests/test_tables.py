@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from pactloom.operators.drift import AUDIT_FIELDS
-from pactloom.sinks import ledger, tables as sinks
+from pactloom.sinks import ledger, sketch, tables as sinks
 from pactloom.sources import tables
 
 FIELDS = [{"name": c, "type": "STRING", "description": f"It's {c}", "defaultValueExpression": "NULL"} for c in ("k", "v")]
@@ -276,3 +276,41 @@ def test_operations_ledger(spark, db):
         [("r1", '{"n":1}', "link"), ("r2", '{"n":2}', "own"), ("r1", '{"n":1}', None), ("r2", '{"n":2}', "own")], key=repr
     )
     assert got.schema.simpleString() == spark.createDataFrame([], ledger.OPERATIONS_LEDGER).schema.simpleString()
+
+
+def archived(spark, history, day, *items):
+    schema = "k string, v string, batch_date date, processed_dttm timestamp"
+    rows_ = [(k, v, date(9999, 12, 31), None if d is None else datetime(2024, 1, d)) for k, v, d in items]
+    sinks.add_to_history(spark.createDataFrame(rows_, schema), history, day, ["k", "v"])
+    return rows(spark.table(history).select("k", "v", F.dayofmonth("processed_dttm"), F.dayofmonth("batch_date")))
+
+
+@pytest.mark.parametrize("bits", [22, 6])
+def test_history_is_read_where_its_sketch_says_so(spark, raw, monkeypatch, bits):
+    """With 6 bits every bitmap is full: partitions are read in vain, and the result is the same."""
+    monkeypatch.setattr(sketch, "BITS", bits)
+    history, read = f"{raw}_hist", []
+    touched = sketch.touched_partitions
+    monkeypatch.setattr(sketch, "touched_partitions", lambda *a: read.append(touched(*a)) or read[-1])
+    many = [(f"k{i}", "x", 1) for i in range(300)]
+    first = [("a", "1", 1), ("a", "1", 1), (None, "1", 1), ("b", None, None), *many]
+    archived(spark, history, "2024-01-02", *first)
+    archived(spark, history, "2024-01-03", ("c", "1", 2), ("a", "2", 2), *[(f"m{i}", "x", 2) for i in range(300)])
+    got = archived(spark, history, "2024-01-04", ("a", "1", 1), (None, "1", 1), ("b", None, None), (None, "2", 1), ("new", "1", 3))
+    fresh = [r for r in got if r[3] == 4]
+    assert sorted(fresh, key=repr) == sorted([(None, "2", 1, 4), ("new", "1", 3, 4)], key=repr)
+    # Times alone rule the second day out.
+    assert read == [[], [], ["2024-01-02"]] and len(got) == len(first) + 302 + 2
+    assert archived(spark, history, "2024-01-05", ("late", "1", 9)) and read[-1] == []
+    in_range = archived(spark, history, "2024-01-06", ("other", "1", 2), ("c", "1", 2))
+    assert read[-1] == ["2024-01-03"] and [r for r in in_range if r[3] == 6] == [("other", "1", 2, 6)]
+    assert sinks.expire_partitions(spark, history, "2024-02-02") == ["2024-01-02", "2024-01-03"]
+    assert "2024-01-02" not in {str(r[0]) for r in spark.table(sketch.tables_of(history)[0]).select("batch_date").collect()}
+
+
+def test_a_history_without_a_sketch_is_read_whole(spark, raw):
+    history = f"{raw}_hist"
+    old = spark.createDataFrame([("a", "1", datetime(2024, 1, 1), date(2024, 1, 2))], "k string, v string, processed_dttm timestamp, batch_date date")
+    old.select(*spark.table(history).columns).write.insertInto(history)
+    got = archived(spark, history, "2024-01-03", ("a", "1", 1), ("b", "1", 1))
+    assert [(r[0], r[3]) for r in got] == [("a", 2), ("b", 3)]
