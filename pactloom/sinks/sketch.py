@@ -1,4 +1,4 @@
-"""What each partition of a history may hold: ranges of time and bitmaps over row digests, looked at before it is read."""
+"""What each partition of a history may hold: a bitmap over row digests with spans of time, looked at before it is read."""
 
 from __future__ import annotations
 
@@ -24,46 +24,46 @@ def _words(rows: DataFrame, columns: Sequence[str], *by: str) -> DataFrame:
     return rows.select(*by, slot.alias("_slot"), F.col(PROCESSED).alias("_at")).withColumn("word", F.shiftright("_slot", 6).cast("int"))
 
 
-def tables_of(history: str) -> tuple[str, str]:
-    return f"{history}__ranges", f"{history}__words"
+def table_of(history: str) -> str:
+    return f"{history}__sketch"
+
+
+def _days(spark: SparkSession, table: str) -> set[str]:
+    return {r[0].partition("=")[2] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
 
 
 def add_rows(rows: DataFrame, history: str, columns: Sequence[str]) -> None:
     """Adds rows that go to a history to the sketches of their partitions; call it before they are inserted.
 
-    A sketch that knows rows which never came is no fault: it says what may be there.
+    A word of the bitmap is kept with the span of times of its rows. A sketch that knows rows which never came is no
+    fault: it says what may be there.
     """
-    ranges, words = tables_of(history)
-    times = rows.groupBy(BATCH_DATE).agg(F.min(PROCESSED).alias("low"), F.max(PROCESSED).alias("high"), F.bool_or(F.col(PROCESSED).isNull()).alias("without"))
-    bits = _words(rows, columns, BATCH_DATE).groupBy(BATCH_DATE, "word").agg(F.expr("bit_or(shiftleft(1L, CAST(_slot & 63 AS INT)))").alias("mask"))
-    append_table(bits.select("word", "mask", F.lit(BITS).alias("bits"), BATCH_DATE), words, partition_by=BATCH_DATE)
-    # The range comes last: a partition without one counts as unknown and is read.
-    append_table(times.select("low", "high", "without", BATCH_DATE), ranges, partition_by=BATCH_DATE)
+    words = _words(rows, columns, BATCH_DATE).groupBy(BATCH_DATE, "word").agg(
+        F.expr("bit_or(shiftleft(1L, CAST(_slot & 63 AS INT)))").alias("mask"),
+        F.min("_at").alias("low"),
+        F.max("_at").alias("high"),
+        F.bool_or(F.col("_at").isNull()).alias("without"),
+    )
+    append_table(words.select("word", "mask", "low", "high", "without", F.lit(BITS).alias("bits"), BATCH_DATE), table_of(history), partition_by=BATCH_DATE)
 
 
 def touched_partitions(rows: DataFrame, history: str, columns: Sequence[str]) -> list:
     """Batch dates of the partitions that may hold a row of ``rows``: all but those whose sketch rules it out.
 
-    A history has a partition for each day that it is kept, so they are few.
+    A history has a partition for each day that it is kept, so they are few. One without a sketch is read.
     """
     spark = rows.sparkSession
-    present = {r[0].partition("=")[2] for r in spark.sql(f"SHOW PARTITIONS {history}").collect()}
-    ranges, words = tables_of(history)
-    if not (spark.catalog.tableExists(ranges) and spark.catalog.tableExists(words)):
+    present = _days(spark, history)
+    if not present or not spark.catalog.tableExists(table_of(history)):
         return sorted(present)
-    spans = spark.table(ranges).groupBy(BATCH_DATE).agg(F.min("low").alias("low"), F.max("high").alias("high"), F.bool_or("without").alias("without"))
-    known = {str(r[0]) for r in spans.select(BATCH_DATE).collect()}
-    bits = spark.table(words).where(F.col("bits") == BITS).groupBy(BATCH_DATE, "word").agg(F.bit_or("mask").alias("mask"))
+    sketch = spark.table(table_of(history)).where(F.col("bits") == BITS)
     # Distinct slots and times first, so copies of a row ask once.
-    asked = _words(rows, columns).distinct()
-    hits = asked.join(bits, "word").where("shiftright(mask, CAST(_slot & 63 AS INT)) & 1L = 1L")
-    hits = hits.join(F.broadcast(spans), BATCH_DATE)  # a row for each day kept
+    hits = _words(rows, columns).distinct().join(sketch, "word").where("shiftright(mask, CAST(_slot & 63 AS INT)) & 1L = 1L")
     hits = hits.where("_at BETWEEN low AND high OR (_at IS NULL AND without)")
     found = {str(r[0]) for r in hits.select(BATCH_DATE).distinct().collect()}
-    return sorted(found & present | present - known)
+    return sorted(found & present | present - _days(spark, table_of(history)))
 
 
 def drop_partition(spark: SparkSession, history: str, value: str) -> None:
-    for table in tables_of(history):
-        if spark.catalog.tableExists(table):
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({BATCH_DATE} = '{value}')")
+    if spark.catalog.tableExists(table_of(history)):
+        spark.sql(f"ALTER TABLE {table_of(history)} DROP IF EXISTS PARTITION ({BATCH_DATE} = '{value}')")

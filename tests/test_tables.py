@@ -299,13 +299,13 @@ def test_history_is_read_where_its_sketch_says_so(spark, raw, monkeypatch, bits)
     got = archived(spark, history, "2024-01-04", ("a", "1", 1), (None, "1", 1), ("b", None, None), (None, "2", 1), ("new", "1", 3))
     fresh = [r for r in got if r[3] == 4]
     assert sorted(fresh, key=repr) == sorted([(None, "2", 1, 4), ("new", "1", 3, 4)], key=repr)
-    # Times alone rule the second day out.
+    # Times alone rule the second day out, and the first for rows of the second.
     assert read == [[], [], ["2024-01-02"]] and len(got) == len(first) + 302 + 2
     assert archived(spark, history, "2024-01-05", ("late", "1", 9)) and read[-1] == []
     in_range = archived(spark, history, "2024-01-06", ("other", "1", 2), ("c", "1", 2))
     assert read[-1] == ["2024-01-03"] and [r for r in in_range if r[3] == 6] == [("other", "1", 2, 6)]
     assert sinks.expire_partitions(spark, history, "2024-02-02") == ["2024-01-02", "2024-01-03"]
-    assert "2024-01-02" not in {str(r[0]) for r in spark.table(sketch.tables_of(history)[0]).select("batch_date").collect()}
+    assert "2024-01-02" not in {str(r[0]) for r in spark.table(sketch.table_of(history)).select("batch_date").collect()}
 
 
 def test_a_history_without_a_sketch_is_read_whole(spark, raw):
