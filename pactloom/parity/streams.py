@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactloom.contract import AUDIT_COLUMNS
+from pactloom.contract import AUDIT_COLUMNS, orders_contract
 from pactloom.functions.messages import encode_base64
 from pactloom.operators.drift import AUDIT_FIELDS, classify_drift_events
 from pactloom.parity import inputs
@@ -16,7 +16,7 @@ from pactloom.plans import repair
 from pactloom.plans.ingest import IngestTargets, ingest
 from pactloom.sources.files import list_files
 from pactloom.sources.tables import create_table
-from pactloom.streaming import arrivals, events, seen
+from pactloom.streaming import arrivals, events, marts, seen
 
 
 def _text_fields(names: list[str]) -> list[dict]:
@@ -171,6 +171,22 @@ def _dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream_result(flat.drop("published_at"), run)
 
 
+def _mart_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows land in three files, newer versions first; a second stream brings all of them once more."""
+    run, database = inputs.folder(spark, "mart_stream"), inputs.workspace(spark, "mart_stream")
+    rows = inputs.orders_raw(spark, sf_dir)
+    late = F.col("status") != "DELIVERED"
+    # Rows whose key is no number have no key in the mart, so their versions are told apart within a batch only.
+    part = F.when(~late | F.col("order_id").startswith("X"), 0).when(F.pmod(F.xxhash64("order_id"), F.lit(2)) == 0, 1).otherwise(2)
+    rows.withColumn("part", part).repartition(3, "part").write.partitionBy("part").parquet(f"{run}/raw")
+    table = f"{database}.fct_orders"
+    for attempt in ("a", "b"):
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/raw/part=*")
+        marts.keep_mart(stream, table, orders_contract(), f"{run}/checkpoint-{attempt}", as_of=AS_OF).awaitTermination()
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def _dedup_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies with equal times, in one batch and in later ones, one message very often; the last batch comes twice."""
     database = inputs.workspace(spark, "dedup_seen")
@@ -207,6 +223,7 @@ CASES = [
     Case("ledger_recovery", _ledger_recovery, inputs.WITH_RAW + f"""SELECT 'raw' AS side, {_TEXT} AS row_text FROM orders_raw
         UNION ALL SELECT 'ledger', concat('6|6|', CAST(count(*) FILTER (NOT ({_BLANK})) AS VARCHAR), '|', CAST(count(*) FILTER ({_BLANK}) AS VARCHAR)) FROM orders_raw"""),
     Case("drift_event_stream", _drift_event_stream, f"WITH {CLASSIFIED} SELECT date_trunc('millisecond', ts) AS published_at, value FROM messages"),
+    Case("mart_stream", _mart_stream, inputs.WITH_STG + "SELECT * FROM stg_orders"),
     Case("dedup_seen", _dedup_seen, f"WITH {CLASSIFIED} SELECT * EXCLUDE (ts) FROM requests"),
     Case("dedup_events", _dedup_events, f"WITH {CLASSIFIED} SELECT * EXCLUDE (ts) FROM requests"),
 ]

@@ -63,29 +63,34 @@ def refresh_mart(
 
 
 def take_staging(spark: SparkSession, names: EntityTables, contract: Contract, as_of: str | None = None, *, merge: bool = True) -> None:
-    """All staging rows into the mart, whatever their time; a second time changes nothing.
+    """All staging rows into the mart, whatever their time; a second time changes nothing."""
+    take_rows(with_audit_columns(spark.table(names.staging), as_of), names.mart, contract, merge=merge)
+
+
+def take_rows(source: DataFrame, table: str, contract: Contract, *, merge: bool = True) -> None:
+    """Staged rows into a mart, in any order and any number of times.
 
     With ``merge`` a row replaces that of its key unless the mart's is newer. Rows without a key, or all without
     ``merge``, are added where the mart lacks them, business values and time compared.
     """
-    source = with_audit_columns(spark.table(names.staging), as_of)
-    sinks.recover_table(spark, names.mart)
-    if not spark.catalog.tableExists(names.mart):
-        sinks.append_table(source, names.mart)
+    spark = source.sparkSession
+    sinks.recover_table(spark, table)
+    if not spark.catalog.tableExists(table):
+        sinks.append_table(source, table)
         return
+    spark.catalog.refreshTable(table)
     columns = [*(c.name for c in contract.business_columns), PROCESSED]
     if not merge or not contract.key:
-        sinks.append_table(not_yet_archived(source, spark.table(names.mart), columns), names.mart)
+        sinks.append_table(not_yet_archived(source, spark.table(table), columns), table)
         return
-    sinks.resume_merge(spark, names.mart, contract.key)
-    mart = spark.table(names.mart)
+    sinks.resume_merge(spark, table, contract.key)
+    mart = spark.table(table)
     no_key = any_null(contract.key)
     have = mart.where(~no_key).groupBy(*contract.key).agg(F.max(PROCESSED).alias("_have"))
     keyed = source.where(~no_key).join(have, list(contract.key), "left")
     keyed = keyed.where(F.col("_have").isNull() | (F.col(PROCESSED) >= F.col("_have")))
     keyless = not_yet_archived(source.where(no_key), mart.where(no_key), columns)
-    batch = keyed.select(*source.columns).unionByName(keyless)
-    sinks.merge_rows(batch, names.mart, contract.key)
+    sinks.merge_rows(keyed.select(*source.columns).unionByName(keyless), table, contract.key)
 
 
 def check_report(df: DataFrame, layer: str, contract: Contract, as_of: str | None = None) -> DataFrame:
