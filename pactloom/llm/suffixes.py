@@ -144,12 +144,14 @@ def _sort_out(piece_rows: int):
         border[0] = open_start
         border[-1] |= open_end  # a piece of one row may be open on either side
         pick = again | border
-        # Groups whose contexts are all alike need no comparison.
+        # Groups whose contexts are all alike need no comparison, nor do those whose contexts all stand elsewhere too:
+        # such rows are repeated from end to end.
         ids = np.cumsum(np.append(True, ~gram)) - 1
         kinds = np.bincount(ids, first, int(ids[-1]) + 1)[ids]
         edges = np.zeros(int(ids[-1]) + 1, bool)
         edges[ids[border]] = True
-        compare = first & ((kinds > 1) | edges[ids]) & pick
+        single = np.bincount(ids, ~full, int(ids[-1]) + 1)[ids] > 0
+        compare = first & (((kinds > 1) & single) | edges[ids]) & pick
         given = pick & (full | compare)
         given[0] &= not skip_first
         given[-1] &= not skip_last
