@@ -23,16 +23,20 @@ from pyspark.sql.window import Window
 from pactloom.llm.common import FILTER_BITS, GOLDEN, bitmap, listed, mix, prepare, stored, table, tidy
 
 TOP = 50
-#: Bits of a signature for each (term, level) of its document, rounded up to a power of two; hashes of each.
-BITS_PER_KEY = 8
-HASHES = 3
-#: A signature has 2^21 bits at most: a longer one couldn't be addressed by a third of a 64-bit hash. Longer documents
-#: fill it more densely, which loosens their bounds and excludes fewer of them.
+#: Bits of a signature for each (term, level) of its document, rounded up to a power of two; bits that a key sets. A
+#: rare term that a document only seems to hold lifts its bound above the limit at once, so that must be rare: with
+#: these it is so for one key in 2000 at most.
+BITS_PER_KEY = 16
+HASHES = 8
+#: A signature has 2^21 bits at most, which bounds what a task holds. Longer documents fill it more densely, which
+#: loosens their bounds and excludes fewer of them.
 MOST_BITS = 1 << 21
+#: So many times the wanted documents, those with the highest bounds, are scored first, to find the limit.
+FIRST = 4
 #: Bits of a block; so many documents share it.
 BLOCK_BITS = 1 << 22
 #: Items whose terms are held by a task at once, and their terms; more items are searched in further rounds.
-ROUND_ITEMS = 5_000
+ROUND_ITEMS = 2_000
 ROUND_TERMS = 200_000
 #: Terms whose hashes a task remembers.
 REMEMBERED = 300_000
@@ -59,7 +63,9 @@ class _Hashes(dict):
 def bit_rows(hashes: np.ndarray, level: np.ndarray | int, bits: int) -> np.ndarray:
     """The rows of a signature of ``bits`` bits that stand for (term, level): ``HASHES`` for each."""
     y = mix(hashes + GOLDEN * (np.asarray(level).astype(np.uint64) + np.uint64(1)))
-    return np.stack([(y >> np.uint64(21 * j)) & np.uint64(bits - 1) for j in range(HASHES)]).astype(np.int64)
+    # Double hashing: steps of an odd width through the signature.
+    step = (y >> np.uint64(32)) | np.uint64(1)
+    return np.stack([(y + np.uint64(j) * step) & np.uint64(bits - 1) for j in range(HASHES)]).astype(np.int64)
 
 
 def _length(raw: pa.Scalar) -> bytes:
@@ -166,8 +172,8 @@ class Questions:
         present = np.full((len(live), bits.shape[1]), 255, np.uint8)
         worth, level = np.zeros(docs, np.int64), 0
         while len(live):
-            a, b, c = bit_rows(self.hashes[live], level, rows)
-            present = present & bits[a] & bits[b] & bits[c]
+            for at in bit_rows(self.hashes[live], level, rows):
+                present &= bits[at]
             some = present.any(axis=1)
             live, present = live[some], present[some]
             most = np.minimum((1 << (level + 1)) - 1, top)
@@ -284,9 +290,9 @@ def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def search(docs: DataFrame, items: DataFrame, top_k: int = TOP) -> DataFrame:
     """``item_id, rank, doc_id, score``: the ``top_k`` documents of the highest score above 0 for each item.
 
-    Blocks of signatures bound every document's score for every item. The ``top_k`` documents with the highest bounds
-    are scored exactly; what scores less than the last of them can't be among the first, so exactly all documents whose
-    bound reaches that score are scored, whatever their number. Equal scores go by doc_id. Items are taken in rounds, so
+    Blocks of signatures bound every document's score for every item. The documents with the highest bounds, ``FIRST``
+    times ``top_k``, are scored exactly; what scores less than the ``top_k``-th best of them can't be among the first, so
+    exactly all documents whose bound reaches that score are scored, whatever their number. Equal scores go by doc_id. Items are taken in rounds, so
     that what a task holds of them is bounded; an item with more terms than a round holds has a round with others at
     most as long.
 
@@ -329,9 +335,9 @@ def search(docs: DataFrame, items: DataFrame, top_k: int = TOP) -> DataFrame:
             length,
         )
         held = spark.sparkContext.broadcast(questions)
-        first = stored(blocks.mapInArrow(_highest(held, top_k), BOUNDED), "highest-bounds")
+        first = stored(blocks.mapInArrow(_highest(held, FIRST * top_k), BOUNDED), "highest-bounds")
         place = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("bound"), "key"))
-        first = first.withColumn("place", place).where(F.col("place") <= top_k)
+        first = first.withColumn("place", place).where(F.col("place") <= FIRST * top_k)
         scored = exact_scores(docs, first.select("item", "key"), held)
         nth = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score")))
         # A number for each item of the round.
