@@ -38,6 +38,8 @@ BLOCK_BITS = 1 << 22
 #: Items whose terms are held by a task at once, and their terms; more items are searched in further rounds.
 ROUND_ITEMS = 2_000
 ROUND_TERMS = 200_000
+#: Bytes of (document, items) rows that are broadcast to the documents, at most.
+BROADCAST_BYTES = 32 << 20
 #: Terms whose hashes a task remembers.
 REMEMBERED = 300_000
 #: Bytes of term bitmaps that are unpacked at once.
@@ -269,9 +271,18 @@ def _score(held):
 
 
 def exact_scores(docs: DataFrame, pairs: DataFrame, held) -> DataFrame:
-    """``item, doc_id, score`` for ``pairs (item, key)``; each document is read once for all of its items."""
+    """``item, doc_id, score`` for ``pairs (item, key)``; each document is read once for all of its items.
+
+    The items go to the documents where they are few enough to be broadcast, by their count; else both are shuffled,
+    the documents after a look into a bitmap of the keys.
+    """
     items = stored(pairs.groupBy("key").agg(F.collect_set("item").alias("items")), "candidates")
-    texts = listed(docs, items, "key").join(items, "key").select("doc_id", "text", "items")
+    size = items.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("items")).alias("m")).first()
+    if 64 * size["n"] + 8 * (size["m"] or 0) <= BROADCAST_BYTES:
+        texts = docs.join(F.broadcast(items), "key")
+    else:
+        texts = listed(docs, items, "key").join(items.hint("merge"), "key")
+    texts = texts.select("doc_id", "text", "items")
     return stored(texts.mapInArrow(_score(held), "item int, doc_id long, score long"), "scores").where("score > 0")
 
 

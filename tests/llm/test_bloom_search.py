@@ -50,9 +50,10 @@ def corpus():
     return docs, items
 
 
-@pytest.mark.parametrize(("items", "bits"), [(5_000, 1 << 21), (7, 1 << 21), (5_000, 128)])
-def test_ranks_against_brute_force(spark, monkeypatch, corpus, items, bits):
+@pytest.mark.parametrize(("items", "bits", "broadcast"), [(5_000, 1 << 21, 1 << 25), (7, 1 << 21, 0), (5_000, 128, 0)])
+def test_ranks_against_brute_force(spark, monkeypatch, corpus, items, bits, broadcast):
     """In one round and in several; also where signatures are so short that they exclude next to nothing."""
+    monkeypatch.setattr(bloom_search, "BROADCAST_BYTES", broadcast)
     monkeypatch.setattr(bloom_search, "ROUND_ITEMS", items)
     monkeypatch.setattr(bloom_search, "MOST_BITS", bits)
     docs, asked = corpus
