@@ -376,3 +376,38 @@ def test_norm_blank_trims_all_white_space(spark):
 
     df = spark.createDataFrame([("\tnan\n",), ("\t",), ("\u00a0 x\n",), (None,)], "a string")
     assert [r[0] for r in df.select(norm_blank(df.a)).collect()] == [None, None, "x", None]
+
+
+def test_routing_by_needed_texts(spark, monkeypatch):
+    """Patterns whose needed text is hard to tell: a join by texts finds what trying all patterns finds."""
+    patterns = [
+        "^in/ab", "^in/ab*", "^in/ab?c", "^in/a+", "^in/x{0}y", "^zzzz|ab_1", "^in/(zz|ab)_", r"^in/\(zz|ab_1", r"^in/[(]z|ab_1", "(?i)^IN/AB",
+        r"^in/\Qab\E", r"^in/ab\.c", "^in/ab[.]c", ".*ab_1", "^.*_1[.]", ".*?ab_12", "ab_12345678|q", "ab_12345678.*csv$", "ab_1234567(8|9)",
+        "größe_", "b_1$", "^", "", "csv$|json$", "in/ab_1234567890123456789012345678901234567890", "(^in/ab_1)", "[.]c", "^in/ab'",
+    ]
+    names = ["in/ab", "in/a", "in/ac", "in/y", "in/ab_1", "in/ab.csv", "IN/AB", "in/(zz", "in/größe_1.csv", "ab_1", "in/ab_12345678.csv", "x/ab_12345679.csv", "", None]
+    names += ["in/ab_1234567890123456789012345678901234567890.csv", "in/ab\nab_1234", "in/ab'", "q", "other.json", "in/ab_1"]
+    files = spark.createDataFrame([(n,) for n in names], "file_name string")
+    registry = spark.createDataFrame([(p, f"t{i}", f"{2000 + i}", True) for i, p in enumerate(patterns)], "file_pattern string, target_table string, created_at string, is_active boolean")
+    monkeypatch.setattr(routing, "RULES_PER_CASE", 12)
+    names = files.select(F.col("file_name").alias("_name"))
+    every = names.crossJoin(registry).where("_name RLIKE file_pattern").select("_name", "file_pattern", "created_at")
+    first = every.groupBy("_name").agg(F.min_by("file_pattern", "created_at"))
+    got = routing.route_files(files, registry).where("file_pattern IS NOT NULL").select("file_name", "file_pattern")
+    assert rows(got.distinct()) == rows(first)
+    monkeypatch.setattr(routing, "RULES_PER_CASE", 1)
+    found = routing._candidates(names, routing.sound_rules(registry)[0])
+    assert rows(found.select("_name", "file_pattern")) == rows(every.select("_name", "file_pattern"))
+
+
+def test_routing_by_many_rules_stays_a_table(spark):
+    """Rules beyond one CASE expression never come to the driver, and the plan doesn't grow with them."""
+    rule = ["concat('^in/customer_', id, '_') AS file_pattern", "concat('t', id) AS target_table", "id % 3 > 0 AS is_active"]
+    files = spark.range(3000).selectExpr("concat('in/customer_', id, '_7.csv') AS file_name")
+    plans = []
+    for n in (2000, 20000):
+        routed = routing.route_files(files, spark.range(n).selectExpr(*rule))
+        plans.append(len(routed._jdf.queryExecution().analyzed().toString()))
+        assert routed.where("target_table IS NOT NULL").count() == sum(1 for i in range(min(n, 3000)) if i % 3)
+        assert routed.where("target_table != replace(replace(file_name, 'in/customer_', 't'), '_7.csv', '')").count() == 0
+    assert plans[1] < 2 * plans[0]
