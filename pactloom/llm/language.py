@@ -6,15 +6,14 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pactloom.llm.common import code_points, letters, mix, prepare, shared_folder, stored, table, text_chunks
@@ -23,8 +22,10 @@ from pactloom.llm.warc import open_folder
 ORDER = 4
 #: Grams of one file of the model. Scoring tasks map files into memory, so their number bounds nothing.
 SHARD_ROWS = 1 << 20
-#: Training rows that the temperature and the bounds of the rejection are fitted on, about.
-CALIBRATION_ROWS = 4000
+#: Temperatures that are tried.
+TEMPERATURES = tuple(2.0**i for i in range(11))
+#: Spreads of cross-entropies are counted in steps of one part in so many, to find their medians.
+STEPS = 1e9
 #: A text is rejected whose cross-entropy is so many standard deviations above its language's mean, and also this
 #: share of the mean: texts of mixed languages or with codes among the words stay, what is no language goes.
 REJECT_AT = 8.0
@@ -352,30 +353,39 @@ class Model:
         p = np.exp(np.maximum(z, -700))
         return p / p.sum(axis=1, keepdims=True)
 
-    def calibrate(self, rows: pd.DataFrame) -> None:
-        """Temperature by the likelihood of the rows' languages; mean and spread of each language's cross-entropy."""
-        entropy = np.stack(rows["entropy"].to_numpy()) if len(rows) else np.zeros((0, len(self.languages)))
-        truth = rows["lang"].map({x: i for i, x in enumerate(self.languages)}).to_numpy(dtype=float)
-        known = ~np.isnan(truth)
-        entropy, truth, n = entropy[known], truth[known].astype(int), rows["n"].to_numpy()[known]
-        best = None
-        for t in 2.0 ** np.arange(0, 11):
-            self.temperature = t
-            p = self.confidence(entropy, n)[np.arange(len(truth)), truth]
-            loss = -np.log(np.maximum(p, 1e-12)).mean() if len(truth) else 0
-            if best is None or loss < best[0]:
-                best = (loss, t)
-        self.temperature = best[1]
-        self.bounds = np.zeros((len(self.languages), 3))
-        for i in range(len(self.languages)):
-            own, size = entropy[truth == i, i], n[truth == i]
-            if len(own) < 2:
-                self.bounds[i] = (np.log(ALPHABET), 0, 0)
-                continue
-            mean = np.average(own, weights=size)
+    def losses(self, entropy: np.ndarray, n: np.ndarray, truth: np.ndarray) -> np.ndarray:
+        """What each text's own language costs at each of the temperatures."""
+        plain = replace(self, temperature=1.0)
+        costs = []
+        for plain.temperature in TEMPERATURES:
+            p = plain.confidence(entropy, n)[np.arange(len(truth)), truth]
+            costs.append(-np.log(np.maximum(p, 1e-12)))
+        return np.stack(costs, axis=1)
+
+    def calibrate(self, scored: DataFrame) -> None:
+        """Temperature by the likelihood of all rows' languages; mean and spread of each language's cross-entropy.
+
+        ``scored (language, n, own, losses)`` is the whole training table. Sums are of decimals, so their order is free.
+        """
+        total = scored.agg(*[F.sum(F.col("losses")[i].cast("decimal(18,9)")) for i in range(len(TEMPERATURES))]).first()
+        self.temperature = TEMPERATURES[int(np.argmin([float(x or 0) for x in total]))]
+        width = len(self.languages)
+        weight = F.sum("n").alias("size")
+        own = F.sum((F.col("own") * F.col("n")).cast("decimal(38,6)")).alias("total")
+        mean, known = np.zeros(width), []
+        for r in scored.groupBy("language").agg(F.count(F.lit(1)).alias("rows"), weight, own).collect():
+            if r["rows"] > 1:
+                known.append(r["language"])
+                mean[r["language"]] = float(r["total"]) / r["size"]
+        self.bounds = np.tile([np.log(ALPHABET), 0.0, 0.0], (width, 1))
+        means = F.array(*[F.lit(float(m)) for m in mean])
+        spread = F.pow(F.col("own") - means[F.col("language")], F.lit(2.0)) * F.col("n")
+        rows = scored.where(F.col("language").isin(known)).select("language", "n", spread.alias("spread"))
+        middle = medians(rows.select("language", (F.col("spread") * STEPS).cast("long").alias("value")), width)
+        for r in rows.groupBy("language").agg(weight, F.sum(F.col("spread").cast("decimal(38,12)")).alias("total")).collect():
             # Spread of long texts, and what a text's few symbols add to it.
-            within = np.median((own - mean) ** 2 * size) / 0.455
-            self.bounds[i] = (mean, np.average((own - mean) ** 2, weights=size), within)
+            i = r["language"]
+            self.bounds[i] = (mean[i], float(r["total"]) / r["size"], middle[i] / STEPS / 0.455)
 
     def rejects(self, entropy: np.ndarray, n: np.ndarray, best: np.ndarray) -> np.ndarray:
         mean, between, within = self.bounds[best].T
@@ -383,30 +393,60 @@ class Model:
         return entropy[np.arange(len(best)), best] > mean + margin
 
 
-def _entropies(model):
+def medians(rows: DataFrame, width: int) -> dict[int, int]:
+    """The median (of two, the lower) of ``value``, whole numbers from 0, of each ``language`` below ``width``.
+
+    Exact: the values are counted in 256 ranges, then those of the range that holds the middle in finer ones, and so on.
+    """
+    within, rank = [0] * width, [-1] * width
+    for r in rows.groupBy("language").agg(F.count(F.lit(1)).alias("n")).collect():
+        rank[r["language"]] = (r["n"] - 1) // 2
+    of_language = lambda values: F.array(*[F.lit(v).cast("long") for v in values])[F.col("language")]
+    for shift in range(56, -1, -8):
+        inside = rows.where(F.shiftright("value", min(shift + 8, 63)) == of_language(within))
+        counts = inside.groupBy("language", F.shiftright("value", shift).alias("range")).agg(F.count(F.lit(1)).alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("language").orderBy("range"))
+        placed = counts.withColumns({"before": upto - F.col("n"), "rank": of_language(rank)})
+        for r in placed.where("before <= rank AND rank < before + n").collect():
+            within[r["language"]] = r["range"]
+            rank[r["language"]] -= r["before"]
+    return {i: within[i] for i in range(width) if rank[i] >= 0}
+
+
+SCORED = "language int, n long, own double, losses array<float>"
+
+
+def _score(model):
+    """Rows of a learned language with symbols, with their cross-entropy under it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = model.value
+        place = {x: i for i, x in enumerate(m.languages)}
         for batch in batches:
             for at, end in text_chunks(batch.column("text")):
                 part = batch.slice(at, end - at)
-                entropy, n, _ = model.value.entropies([t or "" for t in part.column("text").to_pylist()])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("lang"), pa.array(n), pa.array(list(entropy), pa.list_(pa.float64()))], ["lang", "n", "entropy"]
-                )
+                entropy, n, _ = m.entropies(part.column("text").to_pylist())
+                truth = np.array([place.get(x, -1) for x in part.column("lang").to_pylist()], np.int32)
+                kept = np.flatnonzero((truth >= 0) & (n > 0))
+                entropy, n, truth = entropy[kept], n[kept], truth[kept]
+                losses = pa.array(list(m.losses(entropy, n, truth).astype(np.float32)), pa.list_(pa.float32()))
+                own = entropy[np.arange(len(truth)), truth]
+                yield pa.RecordBatch.from_arrays([pa.array(truth), pa.array(n), pa.array(own), losses], ["language", "n", "own", "losses"])
 
     return run
 
 
-def train(rows: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> Model | None:
-    """A model from all of ``rows (doc_id, lang, text)`` that have a language and a text; None where there are none."""
+def train(rows: DataFrame) -> Model | None:
+    """A model from all of ``rows (doc_id, lang, text)`` that have a language and a text; None where there are none.
+
+    Counts, temperature and bounds are of all these rows, none are left out.
+    """
     prepare(rows.sparkSession)
-    rows = rows.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text")
-    model = Model.of(gram_counts(rows.select("lang", "text")))
+    rows = rows.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
+    model = Model.of(gram_counts(rows))
     if model is None:
         return None
-    step = max(1, rows.count() // calibration_rows)
-    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0).select("lang", "text")
-    scored = sample.mapInArrow(_entropies(rows.sparkSession.sparkContext.broadcast(model)), "lang string, n long, entropy array<double>")
-    model.calibrate(scored.toPandas())
+    model.calibrate(stored(rows.mapInArrow(_score(rows.sparkSession.sparkContext.broadcast(model)), SCORED), "scored"))
     return model
 
 
@@ -457,20 +497,20 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     return rows.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model)), PREDICTED)
 
 
-def identify(docs: DataFrame, **options) -> DataFrame:
+def identify(docs: DataFrame) -> DataFrame:
     """Learns from the rows of ``docs`` that aren't held out and predicts all; adds ``held_out`` to ``predict``.
 
     A row is held out when crc32 of its doc_id as text leaves 2 by 4. Rows without a doc_id are predicted only, and
     not held out. Repeated rows are learned from and predicted each. An empty table gives an empty result.
     """
-    model = train(docs.where(~is_held_out() & F.col("doc_id").isNotNull()), **options)
+    model = train(docs.where(~is_held_out() & F.col("doc_id").isNotNull()))
     return predict(docs, model).select("doc_id", is_held_out().alias("held_out"), "lang_pred", "score", "entropy", "rejected")
 
 
-def drop_rejected(docs: DataFrame, **options) -> DataFrame:
+def drop_rejected(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that language ID rejects; columns as they were."""
     prepare(docs.sparkSession)
-    model = train(docs.where(~is_held_out() & F.col("doc_id").isNotNull()), **options)
+    model = train(docs.where(~is_held_out() & F.col("doc_id").isNotNull()))
     if model is None:
         return docs.limit(0)
     held = docs.sparkSession.sparkContext.broadcast(model)

@@ -420,6 +420,27 @@ def test_models_hold_every_gram(spark, monkeypatch):
         assert got[:, i] == pytest.approx(np.log(want), abs=1e-4)
 
 
+def test_language_bounds_are_of_all_rows(spark):
+    draw = random.Random(5)
+    word = lambda signs: "".join(draw.choice(signs) for _ in range(draw.randint(2, 6)))
+    texts = [("aa" if i % 2 else "bb", " ".join(word("abcdef" if i % 2 else "defghi") for _ in range(draw.randint(1, 12)))) for i in range(9000)]
+    texts += [("zz", "xyz zyx xxy"), ("zz", "zzy xyx"), ("zz", "yyx zxz xyz yzy"), ("zz", "12 34"), ("yy", "qqq"), ("ww", "5")]
+    docs = [(i, lang, text) for i, (lang, text) in enumerate(texts)]
+    model = language.train(spark.createDataFrame(docs, "doc_id long, lang string, text string").repartition(8))
+    assert model.languages == ["aa", "bb", "yy", "zz"]
+    entropy, n, _ = model.entropies([t for _, t in texts])
+    truth = np.array([model.languages.index(x) if x != "ww" else -1 for x, _ in texts])
+    used = (truth >= 0) & (n > 0)
+    loss = model.losses(entropy[used], n[used], truth[used]).mean(axis=0)
+    assert model.temperature == language.TEMPERATURES[int(loss.argmin())]
+    for i, lang in enumerate(model.languages):
+        own, size = entropy[used & (truth == i), i], n[used & (truth == i)]
+        mean = np.average(own, weights=size)
+        spread = (own - mean) ** 2 * size
+        want = (mean, np.average((own - mean) ** 2, weights=size), np.sort(spread)[(len(own) - 1) // 2] / 0.455)
+        assert model.bounds[i] == pytest.approx(want if lang != "yy" else (np.log(language.ALPHABET), 0, 0), abs=1e-6)
+
+
 def test_reparameterised_questions(spark):
     question = "a train leaves the station near Paris with 12 passengers and each of the 12 passengers pays 7 dollars to Anna before lunch today"
     benchmark = spark.createDataFrame([(1, question), (2, question), (3, None), (4, "too short")], "item_id long, text string")
