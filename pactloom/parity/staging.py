@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from itertools import chain
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,11 +84,12 @@ def _scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scan_csv_preamble(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three lines before the records, one of them empty."""
+    """Three lines before the records of each file, one of them empty."""
     target = inputs.folder(spark, "scan_csv_preamble")
     lines = inputs.orders_raw(spark, sf_dir).select(F.to_csv(F.struct(*BUSINESS), {"sep": "|", "nullValue": "", "emptyValue": '""'}).alias("value"))
-    head = spark.createDataFrame([("export of orders",), ("",), ("|".join(BUSINESS),)], "value string")
-    head.coalesce(1).union(lines.coalesce(1)).coalesce(1).write.text(target)
+    head = pa.RecordBatch.from_pylist([{"value": line} for line in ("export of orders", "", "|".join(BUSINESS))])
+    # Each task writes a file of its own.
+    lines.mapInArrow(lambda batches: chain([head], batches), "value string").write.text(target)
     return files.scan_csv(spark, target, BUSINESS, delimiter="|", skip_rows=3).drop(files.SOURCE_FILE)
 
 

@@ -130,3 +130,13 @@ def test_sample_rows(spark):
     sample = files.sample_rows(df)
     assert sample.count() == 50
     assert sample.where("lower(b) = 'nan'").count() == 0
+
+
+def test_preamble_query_writes_a_file_for_each_task(spark, tmp_path):
+    from pactloom.parity import CASES
+
+    for name, parts in (("orders", 4), ("customer", 1)):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").repartition(parts).write.parquet(str(tmp_path / f"{name}.parquet"))
+    found = CASES["scan_csv_preamble"].build(spark, str(tmp_path))
+    assert len(found.inputFiles()) >= 4
+    assert found.count() == CASES["scan_csv_preamble"].build(spark, "/root/testdata/sf0.001").count()
