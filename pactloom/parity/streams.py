@@ -172,17 +172,25 @@ def _dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mart_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw rows land in three files, newer versions first; a second stream brings all of them once more."""
+    """Raw rows land in three parts, newer versions first; other streams bring each part once more."""
     run, database = inputs.folder(spark, "mart_stream"), inputs.workspace(spark, "mart_stream")
     rows = inputs.orders_raw(spark, sf_dir)
     late = F.col("status") != "DELIVERED"
     # Rows whose key is no number have no key in the mart, so their versions are told apart within a batch only.
     part = F.when(~late | F.col("order_id").startswith("X"), 0).when(F.pmod(F.xxhash64("order_id"), F.lit(2)) == 0, 1).otherwise(2)
-    rows.withColumn("part", part).repartition(3, "part").write.partitionBy("part").parquet(f"{run}/raw")
     table = f"{database}.fct_orders"
-    for attempt in ("a", "b"):
-        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/raw/part=*")
-        marts.keep_mart(stream, table, orders_contract(), f"{run}/checkpoint-{attempt}", as_of=AS_OF).awaitTermination()
+
+    def take(path: str, checkpoint: str) -> None:
+        # What has landed since makes a batch, in as many files as tasks wrote.
+        stream = spark.readStream.schema(rows.schema).parquet(path)
+        marts.keep_mart(stream, table, orders_contract(), f"{run}/checkpoint-{checkpoint}", as_of=AS_OF).awaitTermination()
+
+    parts = [f"{run}/raw/part={i}" for i in range(3)]
+    for i, path in enumerate(parts):
+        rows.where(part == i).write.parquet(path)
+        take(f"{run}/raw/part=*", "a")
+    for i, path in enumerate(parts):
+        take(path, f"b{i}")
     spark.catalog.refreshTable(table)
     return spark.table(table)
 

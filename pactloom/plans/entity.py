@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import timedelta
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pactloom.contract import PROCESSED, Contract, contract_rules
@@ -70,7 +73,8 @@ def take_staging(spark: SparkSession, names: EntityTables, contract: Contract, a
 def take_rows(source: DataFrame, table: str, contract: Contract, *, merge: bool = True) -> None:
     """Staged rows into a mart, in any order and any number of times.
 
-    With ``merge`` a row replaces that of its key unless the mart's is newer. Rows without a key, or all without
+    With ``merge`` a row replaces that of its key unless the mart's is newer, or the same but for the day and time of
+    its staging. Rows without a key, or all without
     ``merge``, are added where the mart lacks them, business values and time compared.
     """
     spark = source.sparkSession
@@ -86,11 +90,23 @@ def take_rows(source: DataFrame, table: str, contract: Contract, *, merge: bool
     sinks.resume_merge(spark, table, contract.key)
     mart = spark.table(table)
     no_key = any_null(contract.key)
-    have = mart.where(~no_key).groupBy(*contract.key).agg(F.max(PROCESSED).alias("_have"))
-    keyed = source.where(~no_key).join(have, list(contract.key), "left")
-    keyed = keyed.where(F.col("_have").isNull() | (F.col(PROCESSED) >= F.col("_have")))
+    keyed = _changing(source.where(~no_key), mart.where(~no_key), contract.key, columns)
     keyless = not_yet_archived(source.where(no_key), mart.where(no_key), columns)
-    sinks.merge_rows(keyed.select(*source.columns).unionByName(keyless), table, contract.key)
+    sinks.merge_rows(keyed.unionByName(keyless), table, contract.key)
+
+
+def _changing(source: DataFrame, mart: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Rows of ``source`` that change the mart: theirs is not newer, nor the one row of its key and the same.
+
+    One join of the mart finds both, and a batch that comes again leaves nothing to merge.
+    """
+    held = mart.select(*[F.col(f"`{c}`").alias(f"_m_{c}") for c in columns])
+    held = held.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*[f"_m_{k}" for k in keys])))
+    time, have = F.col(PROCESSED), F.col(f"_m_{PROCESSED}")
+    newer = (have > time) | (time.isNull() & have.isNotNull())
+    same = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.col(f"`_m_{c}`")) for c in columns], F.col("_n") == 1)
+    own = reduce(and_, [F.col(f"`{k}`") == F.col(f"`_m_{k}`") for k in keys])
+    return source.join(held, own & (newer | same), "left_anti")
 
 
 def check_report(df: DataFrame, layer: str, contract: Contract, as_of: str | None = None) -> DataFrame:

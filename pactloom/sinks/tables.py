@@ -156,6 +156,9 @@ def merge_rows(
     resume_merge(spark, table, keys, partition_by=partition_by)
     pending = f"{table}__batch"
     batch.select(*spark.table(table).columns).write.saveAsTable(pending, format="parquet", mode="overwrite")
+    if spark.table(pending).isEmpty():
+        drop_tables(spark, [pending])
+        return
     _merge_stored(spark, pending, table, keys, partition_by)
 
 

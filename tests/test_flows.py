@@ -381,3 +381,30 @@ def test_drift_stream_restarts(spark, tmp_path):
     assert run() == [("a", True)]
     send("2.json", (drop, "2024-01-01T00:00:20Z"), ({"trace_id": "b", "added_columns": ["x"]}, "2024-01-01T00:00:30Z"))
     assert run() == [("a", True), ("b", False)]
+
+
+def test_a_batch_that_comes_again_leaves_nothing_to_merge(spark, db, monkeypatch):
+    from pactloom.operators.staging import with_audit_columns
+
+    contract, table = orders_contract(), f"{db}.fct"
+    row = "CAST({} AS BIGINT) AS order_id, '{}' AS customer_name, 1.5BD AS amount, 'PENDING' AS status, DATE '2024-01-01' AS order_date, 1L AS warehouse_id, CAST({} AS TIMESTAMP) AS processed_dttm"
+
+    def batch(*cells):
+        return with_audit_columns(spark.sql(" UNION ALL ".join("SELECT " + row.format(*c) for c in cells)), "2024-01-07 12:00:00")
+
+    old, new = "'2024-01-01 00:00:00'", "'2024-01-02 00:00:00'"
+    first = batch((1, "a", new), (2, "b", "NULL"), (3, "c", old), (4, "d", old), ("NULL", "x", old))
+    entity.take_rows(first, table, contract)
+    merged, real = [], sinks._merge_stored
+    monkeypatch.setattr(sinks, "_merge_stored", lambda spark, pending, *rest: (merged.append(spark.table(pending).count()), real(spark, pending, *rest)))
+    entity.take_rows(first, table, contract)
+    entity.take_rows(batch((1, "late", old), (1, "undated", "NULL")), table, contract)
+    assert merged == [] and spark.table(table).count() == 5
+    entity.take_rows(batch((2, "now", old), (3, "same time", old), (4, "d", old), (5, "new", "NULL")), table, contract)
+    assert merged == [3]
+    assert rows(spark.table(table).select("order_id", "customer_name")) == sorted([(1, "a"), (2, "now"), (3, "same time"), (4, "d"), (5, "new"), (None, "x")], key=repr)
+    # A key that an appended table holds twice becomes one row, as before.
+    entity.take_rows(batch((4, "d2", old)), table, contract, merge=False)
+    entity.take_rows(batch((4, "d", old)), table, contract)
+    assert rows(spark.table(table).where("order_id = 4").select("customer_name")) == [("d",)]
+    assert not spark.catalog.tableExists(f"{table}__batch")
