@@ -508,9 +508,12 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def drop_rejected(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that language ID rejects; columns as they were."""
+    """``docs`` without the rows that language ID rejects; columns as they were.
+
+    Nothing is held out: all rows with a language and a text are learned from, those without a doc_id too.
+    """
     prepare(docs.sparkSession)
-    model = train(docs.where(~is_held_out() & F.col("doc_id").isNotNull()))
+    model = train(docs)
     if model is None:
         return docs.limit(0)
     held = docs.sparkSession.sparkContext.broadcast(model)

@@ -391,6 +391,18 @@ def test_language_of_odd_rows(odd, none):
     assert language.drop_rejected(odd).columns == odd.columns
 
 
+def test_rows_are_dropped_by_all_rows(spark):
+    """A language whose rows op5 holds out, and one whose rows have no doc_id, are learned as well."""
+    ids = [r[0] for r in spark.range(400).where(language.is_held_out("id")).collect()]
+    others = sorted({*range(400)} - {*ids})
+    docs = [(i, "en", f"{PROSE} number {i}") for i in others]
+    docs += [(i, "ru", f"и это обычный текст о погоде и о доме номер {i}") for i in ids[:40]]
+    docs += [(None, "el", f"και αυτό είναι ένα απλό κείμενο για τον καιρό {i}") for i in range(40)]
+    docs += [(ids[40], None, "漢字仮名交文章"), (others[0], None, "12 34")]
+    kept = language.drop_rejected(spark.createDataFrame(docs, "doc_id long, lang string, text string"))
+    assert rows(kept) == sorted(docs[:-2], key=repr)
+
+
 def test_kneser_ney_sums_to_one():
     draw = np.random.default_rng(3)
     codes = draw.integers(97, 101, 4000).astype(np.uint64)
