@@ -145,11 +145,15 @@ def _entity_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = entity.EntityTables(*(f"{database}.{n}" for n in ("orders_raw", "orders_raw_hist", "stg_orders", "fct_orders", "checks")))
     for name in (names.raw, names.history):
         create_table(spark, name, RAW_FIELDS, partition_by="batch_date")
-    rows = inputs.stored(inputs.orders_raw(spark, sf_dir), "entity_rows")
-    part = F.coalesce(F.expr("try_cast(order_id AS BIGINT)"), F.lit(0)) % 5
+    part = (F.coalesce(F.expr("try_cast(order_id AS BIGINT)"), F.lit(0)) % 5).cast("int")
+    parted = inputs.orders_raw(spark, sf_dir).withColumn("part", part)
+    landing = inputs.folder(spark, "entity_rows")
+    # By part, so that each landing reads its own rows.
+    parted.write.partitionBy("part").parquet(landing)
+    rows = spark.read.schema(parted.schema).parquet(landing)
 
     def land(i: int) -> None:
-        sinks.raw_rows(rows.where(part == i), spark.table(names.raw).columns).write.insertInto(names.raw)
+        sinks.raw_rows(rows.where(F.col("part") == i), spark.table(names.raw).columns).write.insertInto(names.raw)
 
     land(0)
     entity.begin(spark, names)

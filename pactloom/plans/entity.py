@@ -118,9 +118,9 @@ def check_report(df: DataFrame, layer: str, contract: Contract, as_of: str | Non
 
 
 def run_checks(spark: SparkSession, names: EntityTables, contract: Contract, as_of: str | None = None) -> None:
-    for table in (names.staging, names.mart):
-        report = check_report(spark.table(table), table, contract, as_of)
-        sinks.append_table(report, names.checks, partition_by=None)
+    """Reports of staging and mart, which are read side by side and added in one write."""
+    staging, mart = (check_report(spark.table(t), t, contract, as_of) for t in (names.staging, names.mart))
+    sinks.append_table(staging.unionByName(mart), names.checks, partition_by=None)
 
 
 def begin(spark: SparkSession, names: EntityTables) -> None:

@@ -314,3 +314,44 @@ def test_a_history_without_a_sketch_is_read_whole(spark, raw):
     old.select(*spark.table(history).columns).write.insertInto(history)
     got = archived(spark, history, "2024-01-03", ("a", "1", 1), ("b", "1", 1))
     assert [(r[0], r[3]) for r in got] == [("a", 2), ("b", 3)]
+
+
+def test_rows_are_asked_only_where_words_leave_it_open(spark, raw, monkeypatch):
+    history, asked = f"{raw}_hist", []
+    words = sketch._words
+    monkeypatch.setattr(sketch, "_words", lambda *a: asked.append(len(a)) or words(*a))
+    old = [("a", "1", 1), ("b", "1", 5), ("c", None, None)]
+    archived(spark, history, "2024-01-02", *old)
+    assert len(archived(spark, history, "2024-01-03", *old)) == 3  # held for certain
+    assert len(archived(spark, history, "2024-01-04", ("a", "1", 7))) == 4  # not held for certain
+    assert asked == [3, 3, 3]
+    # Two rows of one word, and the word's span holds the time of one: they are asked themselves.
+    monkeypatch.setattr(sketch, "BITS", 6)
+    archived(spark, history, "2024-01-05", *[(f"k{i}", "x", 10) for i in range(600)])
+    assert len(archived(spark, history, "2024-01-06", ("k1", "x", 10), ("k1", "x", 20))) == 605
+    assert asked[3:] == [3, 3, 2]
+
+
+def test_a_sketch_under_its_old_name_is_taken_over(spark, raw):
+    history = f"{raw}_hist"
+    archived(spark, history, "2024-01-02", ("a", "1", 1))
+    spark.sql(f"ALTER TABLE {history}_sketch RENAME TO {history}__sketch")
+    assert len(archived(spark, history, "2024-01-02", ("b", "1", 1))) == 2
+    assert len(archived(spark, history, "2024-01-02", ("a", "1", 1), ("b", "1", 1))) == 2
+    assert not spark.catalog.tableExists(f"{history}__sketch")
+
+
+def test_merging_looks_for_keys_outside_the_partitions_it_rewrites(spark, db, monkeypatch):
+    table, seen = f"{db}.fct_parted", []
+    days = lambda *r: spark.createDataFrame(
+        [(k, v, datetime(2024, 1, t), date(2024, 1, d)) for k, v, t, d in r], "k long, v string, processed_dttm timestamp, batch_date date"
+    )
+    sinks.append_table(days((1, "a", 1, 1), (2, "a", 1, 1), (3, "a", 1, 2), (4, "a", 1, 4), (5, "a", 1, 5)), table)
+    real = sinks._partitions_with_keys
+    monkeypatch.setattr(sinks, "_partitions_with_keys", lambda target, *rest: seen.append({r[0].day for r in target.select("batch_date").collect()}) or real(target, *rest))
+    sinks.merge_rows(days((1, "b", 2, 1), (3, "old", 2, 2), (3, "new", 3, 3), (5, "b", 2, 3)), table, ["k"])
+    assert seen == [{4, 5}]
+    got = rows(spark.table(table).select("k", "v", F.dayofmonth("batch_date")))
+    assert got == [(1, "b", 1), (2, "a", 1), (3, "new", 3), (4, "a", 4), (5, "b", 3)]
+    # What the batch added to and replaced whole is gone, as is what only lost its rows.
+    assert sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()) == [f"batch_date=2024-01-0{d}" for d in (1, 3, 4)]
